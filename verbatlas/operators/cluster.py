@@ -15,16 +15,15 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from verbatlas.functions import blocks
 from verbatlas.functions.distance import distance
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.ordering import ranks_within
 from verbatlas.operators.sampling import sample_exact
-from verbatlas.session import BROADCAST_LIMIT_BYTES, materialise
+from verbatlas.session import materialise
 
 # Seeds and chunk sizes of the original fits.
 KMEANS_SEED = 4526
@@ -34,6 +33,9 @@ ENSEMBLE_CHUNK = 100_000
 ENSEMBLE_CHUNKS = 5
 SECOND_LEVEL_K = 100
 
+# The centres of one fit live on the driver and in every task.
+CENTRES_LIMIT_BYTES = 512 * 1024 * 1024
+
 
 def mean_vectors(df: DataFrame, group: str, vector: str = "vector", out: str = "centroid") -> DataFrame:
     """Component-wise mean per group, as one hash aggregate with a slot per component.
@@ -47,12 +49,20 @@ def mean_vectors(df: DataFrame, group: str, vector: str = "vector", out: str = "
     return sums.select(group, "n", F.array(*[F.col(f"_m{i}") for i in range(width)]).alias(out))
 
 
-def _centre_table(spark, ids: Sequence[int], matrix: np.ndarray) -> DataFrame:
-    if matrix.nbytes > BROADCAST_LIMIT_BYTES * 8:
-        raise ValueError(f"{len(ids)} centres of width {matrix.shape[1]} are too many for one driver")
-    schema = T.StructType.fromDDL("label int, centroid array<double>, n bigint")
-    rows = [(int(i), [float(x) for x in row], 0) for i, row in zip(ids, matrix)]
-    return spark.createDataFrame(rows, schema)
+def _check_size(k: int, dim: int) -> None:
+    if k * dim * 8 > CENTRES_LIMIT_BYTES:
+        raise ValueError(f"{k} centres of width {dim} are too many for one driver")
+
+
+def _centre_table(spark: SparkSession, matrix: np.ndarray, counts: np.ndarray) -> DataFrame:
+    table = pa.table(
+        {
+            "label": pa.array(np.arange(len(matrix)), pa.int32()),
+            "centroid": blocks.to_lists(matrix),
+            "n": pa.array(counts, pa.int64()),
+        }
+    )
+    return spark.createDataFrame(table)
 
 
 def _sums(vectors: DataFrame, matrix: np.ndarray, vector: str) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +109,9 @@ def _start(vectors: DataFrame, k: int, init: DataFrame | None, item_id: str, vec
     table = init.select(item_id, vector).toArrow().sort_by(item_id)
     if table.num_rows != k:
         raise ValueError(f"need {k} starting vectors, got {table.num_rows}")
-    return blocks.to_matrix(table[vector])
+    matrix = blocks.to_matrix(table[vector])
+    _check_size(*matrix.shape)
+    return matrix
 
 
 def fit_minibatch(
@@ -129,8 +141,7 @@ def fit_minibatch(
         total = (seen + counts)[moved, None]
         matrix[moved] = (matrix[moved] * seen[moved, None] + totals[moved]) / total
         seen += counts
-    table = _centre_table(vectors.sparkSession, range(k), matrix)
-    return _with_counts(table, seen)
+    return _centre_table(vectors.sparkSession, matrix, seen)
 
 
 def fit_lloyd(
@@ -150,20 +161,15 @@ def fit_lloyd(
         counts, totals = _sums(vectors, matrix, vector)
         moved = counts > 0
         matrix[moved] = totals[moved] / counts[moved, None]
-    return _with_counts(_centre_table(vectors.sparkSession, range(k), matrix), counts)
-
-
-def _with_counts(table: DataFrame, counts: np.ndarray) -> DataFrame:
-    known = F.array(*[F.lit(int(c)) for c in counts])
-    return table.withColumn("n", known[F.col("label")].cast("bigint"))
+    return _centre_table(vectors.sparkSession, matrix, counts)
 
 
 def fit_full(vectors: DataFrame, k: int, *, vector: str = "vector", seed: int = KMEANS_SEED, max_iter: int = 20) -> DataFrame:
-    """MLlib k-means with parallel seeding; returns ``label, centroid``."""
+    """MLlib k-means with parallel seeding; returns ``label, centroid, n``."""
     points = vectors.filter(F.col(vector).isNotNull()).select(array_to_vector(vector).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(points)
     centres = np.array(model.clusterCenters())
-    return _centre_table(vectors.sparkSession, range(len(centres)), centres).drop("n")
+    return _centre_table(vectors.sparkSession, centres, np.array(model.summary.clusterSizes))
 
 
 def members_ranked(
