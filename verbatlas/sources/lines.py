@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-empty lines in file order (``position`` grows within and across files)."""
-    lines = spark.read.text(path).withColumn("position", F.monotonically_increasing_id())
+    lines = spark.read.text(path, lineSep="\n").withColumn("position", F.monotonically_increasing_id())
     return lines.filter(F.col("value") != "").select("position", "value")
 
 
 def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
-    df.select(F.col(column).cast("string").alias("value")).write.mode("append").text(path)
+    df.select(F.col(column).cast("string").alias("value")).write.mode("append").text(path, lineSep="\n")
 
 
 def drop_empty(df: DataFrame, column: str = "value") -> DataFrame:

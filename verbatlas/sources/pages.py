@@ -16,32 +16,21 @@ HARVEST_NEEDLES = {
 LINK_PATTERN = 'href="([^"]*)"'
 
 
-def read_api_pages(spark: SparkSession, folder: str) -> DataFrame:
+def _saved_pages(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    reader = spark.read.schema(API_PAGE).option("multiLine", True).option("mode", "PERMISSIVE")
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(folder)
+
+
+def read_api_pages(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """Video ids of all JSON files below ``folder``; a file that does not parse gives none."""
-    pages = (
-        spark.read.schema(API_PAGE)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("mode", "PERMISSIVE")
-        .json(folder)
-    )
-    items = pages.select(F.explode("items").alias("item"))
+    items = _saved_pages(spark, folder, pattern).select(F.explode("items").alias("item"))
     return items.select(F.col("item.snippet.resourceId.videoId").alias("video_id")).filter("video_id is not null")
 
 
-def broken_api_pages(spark: SparkSession, folder: str) -> DataFrame:
+def broken_api_pages(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """Files below ``folder`` that hold no readable page."""
-    pages = (
-        spark.read.schema(API_PAGE)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("mode", "PERMISSIVE")
-        .json(folder)
-        .select(F.input_file_name().alias("file"), "items")
-    )
-    return pages.filter("items is null").select("file")
+    files = _saved_pages(spark, folder, pattern).select(F.input_file_name().alias("file"), "items")
+    return files.filter("items is null").select("file")
 
 
 def harvest_links(pages: DataFrame, html: str = "html", *keep: str) -> DataFrame:
