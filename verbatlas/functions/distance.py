@@ -27,6 +27,11 @@ def _pairs(a: Column, b: Column, f: Callable[[Column, Column], Column]) -> Colum
     return F.zip_with(as_double(a), as_double(b), f)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, not once per element of a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
 def dot(a: Column, b: Column) -> Column:
     return _sum(_pairs(a, b, lambda x, y: x * y))
 
@@ -61,13 +66,13 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def _centred(a: Column) -> Column:
-    a = as_double(a)
-    mean = F.try_divide(_sum(a), F.size(a).cast("double"))
-    return F.transform(a, lambda x: x - mean)
+    mean = F.try_divide(_sum(as_double(a)), F.size(a).cast("double"))
+    return _let(mean, lambda m: F.transform(as_double(a), lambda x: x - m))
 
 
 def correlation(a: Column, b: Column) -> Column:
-    return cosine(_centred(a), _centred(b))
+    both = F.struct(_centred(a).alias("a"), _centred(b).alias("b"))
+    return _let(both, lambda c: cosine(c["a"], c["b"]))
 
 
 def braycurtis(a: Column, b: Column) -> Column:
@@ -85,19 +90,22 @@ def canberra(a: Column, b: Column) -> Column:
 def jensenshannon(a: Column, b: Column) -> Column:
     """Null when a component is negative or a vector sums to zero."""
     a, b = as_double(a), as_double(b)
-    p_total, q_total = _sum(a), _sum(b)
-
-    def entropy_part(x: Column, y: Column) -> Column:
-        p, q = x / p_total, y / q_total
-        mid = (p + q) / 2
 
+    def part(p: Column, q: Column) -> Column:
         def rel(v: Column) -> Column:
-            return F.when(v == 0.0, F.lit(0.0)).otherwise(v * F.ln(v / mid))
+            return F.when(v == 0.0, F.lit(0.0)).otherwise(v * F.ln(v * 2 / (p + q)))
 
         return rel(p) + rel(q)
 
-    usable = (F.array_min(a) >= 0) & (F.array_min(b) >= 0) & (p_total > 0) & (q_total > 0)
-    return F.when(usable, F.sqrt(F.greatest(_sum(_pairs(a, b, entropy_part)) / 2, F.lit(0.0))))
+    def root(total: Column) -> Column:
+        def shares(x: Column, y: Column) -> Column:
+            return part(x / total["p"], y / total["q"])
+
+        divergence = _sum(F.zip_with(a, b, shares)) / 2
+        usable = (F.array_min(a) >= 0) & (F.array_min(b) >= 0) & (total["p"] > 0) & (total["q"] > 0)
+        return F.when(usable, F.sqrt(F.greatest(divergence, F.lit(0.0))))
+
+    return _let(F.struct(_sum(a).alias("p"), _sum(b).alias("q")), root)
 
 
 def hamming(a: Column, b: Column) -> Column:

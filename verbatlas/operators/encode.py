@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from verbatlas.functions import blocks
 
-TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+# Tokens are runs of letters and digits.
+TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 
 
 class Encoder(Protocol):
@@ -25,36 +28,36 @@ class Encoder(Protocol):
 class HashedEncoder:
     """Signed bag of words: every token adds +1 or -1 to one of ``dim`` components.
 
-    Tokens are cut and hashed by built-in functions. Only the arrays of small integers
-    go to Python, where one ``bincount`` adds up a whole Arrow batch; the row stays in
-    its partition, so nothing is exploded or shuffled.
+    Works on whole Arrow batches: the texts are cut by one vectorised call, each
+    distinct word of a batch is hashed once, and one ``bincount`` adds everything up.
+    The row stays in its partition; no tokens are exploded or shuffled.
     """
 
     def __init__(self, dim: int = 64):
         self.dim = dim
 
-    def hashes(self, text: Column) -> Column:
-        tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
-        return F.transform(
-            tokens,
-            lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 7), 16, 10).cast("int"),
-        )
-
     def column(self, text: Column) -> Column:
         dim = self.dim
 
         @arrow_udf("array<double>")
-        def add_up(hashed: pa.Array) -> pa.Array:
-            offsets = hashed.offsets.to_numpy(zero_copy_only=False)
-            values = hashed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            rows = np.repeat(np.arange(len(hashed)), np.diff(offsets))
-            signs = np.where((values // dim) % 2 == 0, 1.0, -1.0)
-            cells = np.bincount(rows * dim + values % dim, weights=signs, minlength=len(hashed) * dim)
-            matrix = cells.reshape(len(hashed), dim)
+        def encode(texts: pa.Array) -> pa.Array:
+            words = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), pattern=TOKEN_BREAK)
+            used = words.flatten().dictionary_encode()
+            hashes = np.array([_hash(w) for w in used.dictionary.to_pylist()], dtype=np.int64)
+            signs = np.where((hashes // dim) % 2 == 0, 1.0, -1.0) * (hashes >= 0)
+            at = used.indices.to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy(zero_copy_only=False)))
+            cells = np.bincount(rows * dim + (hashes % dim)[at], weights=signs[at], minlength=len(texts) * dim)
+            matrix = cells.reshape(len(texts), dim)
             length = np.sqrt(np.square(matrix).sum(axis=1, keepdims=True))
             return blocks.to_lists(np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0))
 
-        return F.when(text.isNotNull(), add_up(F.coalesce(self.hashes(text), F.array().cast("array<int>"))))
+        return encode(text)
+
+
+def _hash(word: str) -> int:
+    """First seven hex digits of the MD5; -1 for the empty piece beside a break."""
+    return int(hashlib.md5(word.encode()).hexdigest()[:7], 16) if word else -1
 
 
 class ModelEncoder:

@@ -23,6 +23,13 @@ from verbatlas.functions import blocks
 from verbatlas.operators.ordering import first_per_group, global_ordinals
 from verbatlas.session import BROADCAST_LIMIT_BYTES, scratch_path
 
+# A table with no more rows than this is fetched in one job.
+HEAD_ROWS = 16_384
+
+# Distances are compared to so many decimals. Vectors at the same distance whose float
+# sums differ in the last bits are then ordered by id, on every machine alike.
+TIE_DIGITS = 9
+
 # Longest IN list pushed to the scan of a keyed corpus; with more keys it reads all.
 PRUNE_KEYS = 1000
 
@@ -35,13 +42,13 @@ def bounded_blocks(
     Blocks of a table above the limit follow ``order_by``, so rows with equal keys
     stay together and a keyed scan of one block touches few partitions.
     """
-    first = df.select(F.size(vector).alias("n")).first()
-    width = max(1, first["n"]) if first else 1
+    head = df.limit(HEAD_ROWS + 1).toArrow()
+    width = max(1, len(head[vector][0])) if head.num_rows else 1
     rows = max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * width))
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows <= rows:
+    if head.num_rows <= min(rows, HEAD_ROWS):
         yield head
         return
+    del head
     numbered = global_ordinals(df, order_by, "_position")
     for start in range(0, numbered.count(), rows):
         block = numbered.filter((F.col("_position") >= start) & (F.col("_position") < start + rows))
@@ -239,16 +246,16 @@ def nearest(
                     close = dist < max_distance
                     qi, vi, dist = qi[close], vi[close], dist[close]
                 items = _values(batch.column(item_id))[vi]
-                place = dist if per_task else _values(batch.column(item_rank))[vi].astype(float)
+                place = np.round(dist, TIE_DIGITS) if per_task else _values(batch.column(item_rank))[vi].astype(float)
                 if held is not None:
                     qi, items = np.concatenate([held[0], qi]), np.concatenate([held[1], items])
                     dist, place = np.concatenate([held[2], dist]), np.concatenate([held[3], place])
                 top = blocks.keep_first(qi, [place, items], k)
                 held = qi[top], items[top], dist[top], place[top]
                 if per_task:
-                    full, counts = np.unique(held[0], return_counts=True)
-                    last = np.cumsum(counts) - 1
-                    limits[full[counts == k]] = np.minimum(limits[full], held[2][last])[counts == k]
+                    full, first, counts = np.unique(held[0], return_index=True, return_counts=True)
+                    worst = np.maximum.reduceat(held[2], first) if len(first) else held[2]
+                    limits[full[counts == k]] = np.minimum(limits[full], worst)[counts == k]
             if held is not None and len(held[0]):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -276,5 +283,5 @@ def nearest(
             results = []
     out = results[0] if path is None else spark.read.parquet(path)
     if mode == "first_n":
-        out = first_per_group(out.drop("rank"), [query_id], ["distance", item_id], k)
+        out = first_per_group(out.drop("rank"), [query_id], [F.round("distance", TIE_DIGITS), item_id], k)
     return out.select(query_id, item_id, "rank", "distance")

@@ -8,6 +8,7 @@ that lie in earlier partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from verbatlas.functions.ids import encode_id
-from verbatlas.session import materialise
+from verbatlas.session import broadcast_if_small, materialise
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row below
 
@@ -41,7 +42,7 @@ def global_ordinals(df: DataFrame, order_by: Sequence[str], name: str = "ordinal
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (
-        rows.join(offsets, "_part")
+        rows.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + F.col("_row"))
         .drop("_mark", "_part", "_row", "_before")
     )
@@ -54,12 +55,13 @@ def ranks_within(
     group = list(group_by)
     rows = _numbered(df, group + list(order_by))
     runs = rows.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    runs = materialise(runs, "runs")
     # At most one row per partition and group.
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     runs = runs.select("_part", *group, "_first", "_before")
     return (
-        rows.join(runs, ["_part", *group])
+        rows.join(broadcast_if_small(runs), ["_part", *group])
         .withColumn(name, F.col("_before") + F.col("_row") - F.col("_first") + F.lit(1))
         .drop("_mark", "_part", "_row", "_first", "_before")
     )
@@ -122,16 +124,17 @@ def zip_positions(left: DataFrame, right: DataFrame, value: str, order_by: Seque
 def value_grid(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> DataFrame:
     """Every combination of the distinct values of some columns.
 
-    The lists are found in one pass with a partial aggregate per task. A product above
-    ``limit`` is refused, because its size would no longer be a property of small lists.
+    The combinations that occur are found first, with a partial aggregate per task; they
+    bound every list. A grid above ``limit`` rows is refused, because its size would no
+    longer be a property of small lists.
     """
-    counts = df.select(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first()
-    size = 1
-    for c in columns:
-        size *= counts[c]
+    seen = materialise(df.select(*columns).distinct(), "seen")
+    if seen.count() > limit:
+        raise ValueError(f"more than {limit} combinations occur already")
+    lists = materialise(seen.agg(*[F.collect_set(c).alias(c) for c in columns]), "lists")
+    size = lists.select(math.prod([F.size(c) for c in columns], start=F.lit(1)).alias("n")).first()["n"]
     if size > limit:
-        raise ValueError(f"the grid would have about {size} rows; the limit is {limit}")
-    grid = df.agg(*[F.collect_set(c).alias(c) for c in columns])
+        raise ValueError(f"the grid would have {size} rows; the limit is {limit}")
     for c in columns:
-        grid = grid.withColumn(c, F.explode(c))
-    return grid
+        lists = lists.withColumn(c, F.explode(c))
+    return lists

@@ -30,6 +30,7 @@ class VectorIndex:
     postings: DataFrame
     lv1: DataFrame
     lv2: DataFrame | None = None
+    block_rows: int | None = None  # layout of the segments, once they are saved
 
     @property
     def level2_ids(self) -> DataFrame:
@@ -49,13 +50,17 @@ class VectorIndex:
             self.lv2.write.mode("overwrite").parquet(f"{path}/lv2")
 
 
-def load_index(spark: SparkSession, path: str, levels: int = 2) -> VectorIndex:
-    read = spark.read.option("inferSchema", False).parquet
+def load_index(
+    spark: SparkSession, path: str, levels: int = 2, block_rows: int = maintain.BLOCK_ROWS
+) -> VectorIndex:
+    """``block_rows`` must be the value the index was saved with."""
+    read = spark.read.parquet
     return VectorIndex(
         read(f"{path}/segments"),
         read(f"{path}/postings"),
         read(f"{path}/lv1"),
         read(f"{path}/lv2") if levels == 2 else None,
+        block_rows,
     )
 
 

@@ -11,6 +11,8 @@ from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.publish import reassemble
 from verbatlas.plans.index import VectorIndex
+from verbatlas.session import materialise
+from verbatlas.sources.tables import pick
 
 # The defaults of the original searches.
 SERVED_RESULTS = 300
@@ -49,9 +51,16 @@ def route(
     )
 
 
-def add_info(hits: DataFrame, segments: DataFrame, padded: bool = True, how: str = "left") -> DataFrame:
-    """Text, video and time label for the few rows that are left after ranking."""
-    info = segments.select("script_id", "video_id", time_label(F.col("timestamp"), padded).alias("at"), "text")
+def add_info(
+    hits: DataFrame, segments: DataFrame, padded: bool = True, how: str = "left", block_rows: int | None = None
+) -> DataFrame:
+    """Text, video and time label for the few rows that are left after ranking.
+
+    The hits are written first: they are small, and what follows needs their ids twice.
+    """
+    hits = materialise(hits, "hits")
+    found = pick(segments, hits, block_rows=block_rows)
+    info = found.select("script_id", "video_id", time_label(F.col("timestamp"), padded).alias("at"), "text")
     joined = hits.join(info, "script_id", how)
     return joined.select("query_id", "rank", "distance", "script_id", "video_id", "at", "text")
 
@@ -111,7 +120,7 @@ def search(
     distance threshold, which takes the first ``k`` members in stored order.
     """
     hits = ranked_ids(queries, index, k, levels, route_metric, rank_metric, max_distance, mode)
-    return add_info(hits, index.segments, padded)
+    return add_info(hits, index.segments, padded, block_rows=index.block_rows)
 
 
 def search_published(
@@ -128,9 +137,10 @@ def search_published(
 ) -> DataFrame:
     """One-level search over published documents; members without a document are skipped."""
     routed = assign(queries, centroids, item_id="query_id", keep=["vector"], metric=metric)
-    wanted = routed.select("cluster_id").distinct()
-    members = reassemble(chunks.join(wanted, "cluster_id", "left_semi"), first_chunk, last_chunk)
-    stored = members.join(documents.select("script_id", "vector"), "script_id")
+    routed = materialise(routed, "routed")
+    members = reassemble(pick(chunks, routed, "cluster_id"), first_chunk, last_chunk)
+    members = materialise(members, "members")
+    stored = members.join(pick(documents, members).select("script_id", "vector"), "script_id")
     # Order of a member: its chunk, then its place in it, as one exact number.
     order = (F.col("chunk_no") * F.lit(1 << 20) + F.col("place")).cast("double")
     hits = nearest(

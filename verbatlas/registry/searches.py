@@ -42,7 +42,7 @@ def _rounded(df, *keys):
 
 @query(
     f"""with {V}, p as (select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as d from v q, v c),
-        r as (select *, row_number() over (partition by query_id order by d, vec_id) as rank from p)
+        r as (select *, row_number() over (partition by query_id order by round(d, 9), vec_id) as rank from p)
         select query_id, vec_id, rank, round(d, 5) as distance from r where rank <= 10"""
 )
 def exhaustive_topk(spark, folder):
@@ -53,7 +53,7 @@ def exhaustive_topk(spark, folder):
 @query(
     f"""with {V}, {MEANS},
         p as (select cen.label as query_id, v.vec_id, list_distance(cen.c, v.e) as d from cen, v),
-        r as (select *, row_number() over (partition by query_id order by d, vec_id) as rank from p
+        r as (select *, row_number() over (partition by query_id order by round(d, 9), vec_id) as rank from p
               where d < 100)
         select query_id, vec_id, rank, round(d, 5) as distance from r where rank = 1"""
 )
@@ -107,7 +107,7 @@ def route_two_level(spark, folder):
                 from route r join ranked k on k.cluster_id = r.cluster_id),
         first as (select * from (select *, row_number() over (partition by query_id order by place) as n
                   from hit where d < {THRESHOLD}) where n <= 10)
-        select query_id, vec_id, row_number() over (partition by query_id order by d, vec_id) as rank,
+        select query_id, vec_id, row_number() over (partition by query_id order by round(d, 9), vec_id) as rank,
                round(d, 5) as distance from first"""
 )
 def search_one_level_first_n(spark, folder):
@@ -119,7 +119,7 @@ def search_one_level_first_n(spark, folder):
 
 
 _TOP = """top as (select * from (select r.query_id, k.vec_id, {0} as d,
-               row_number() over (partition by r.query_id order by {0}, {1}) as rank
+               row_number() over (partition by r.query_id order by round({0}, 9), {1}) as rank
         from route r join ranked k on k.cluster_id = r.cluster_id) where rank <= 10)"""
 
 
@@ -195,7 +195,7 @@ def search_saved_index(spark, folder):
                 join labels l on l.doc_id = k.vec_id join documents s on s.doc_id = k.vec_id),
         first as (select * from (select *, row_number() over (partition by query_id order by place) as n
                   from hit where d < {THRESHOLD}) where n <= 10),
-        top as (select *, row_number() over (partition by query_id order by d, {encoded("vec_id")}) as rank
+        top as (select *, row_number() over (partition by query_id order by round(d, 9), {encoded("vec_id")}) as rank
                 from first) {_with_info(time_plain)}"""
 )
 def search_published_docs(spark, folder):
@@ -233,7 +233,7 @@ _TEXT = hashed("d", "documents", "doc_id") + "," + hashed("q", "(select item_id,
 @query(
     f"""with {_TEXT},
         p as (select q.id as query_id, d.id as doc_id, list_distance(q.e, d.e) as x from qv q, dv d),
-        r as (select *, row_number() over (partition by query_id order by x, doc_id) as rank from p)
+        r as (select *, row_number() over (partition by query_id order by round(x, 9), doc_id) as rank from p)
         select query_id, doc_id, rank, round(x, 5) as distance from r where rank <= 5"""
 )
 def text_search(spark, folder):

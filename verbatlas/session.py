@@ -6,11 +6,15 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Largest table (bytes of float64 cells) that may be sent to every task at once.
 # Anything above it is worked off in blocks of this size, with the same result.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+# Largest list of keys that may be broadcast to find its rows in a big table.
+BROADCAST_ROWS = 1_000_000
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -51,6 +55,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A hint only for a list of keys that has been counted; ``df`` should be cheap to count."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

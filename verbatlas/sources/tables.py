@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verbatlas.functions.ids import encode_id
+from verbatlas.functions.ids import decode_id, encode_id
+from verbatlas.session import broadcast_if_small, materialise
+
+# Up to so many block numbers are listed in the partition filter of a scan.
+PRUNE_BLOCKS = 1000
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
@@ -30,6 +34,24 @@ def lookup(df: DataFrame, item: str | int, key: str = "script_id") -> DataFrame:
     return found
 
 
+def pick(table: DataFrame, ids: DataFrame, key: str = "script_id", block_rows: int | None = None) -> DataFrame:
+    """The rows of a big table whose key is listed in ``ids``.
+
+    The list is written and counted first. A short one is broadcast, so the table is
+    filtered where it lies instead of being shuffled; a long one is joined. If the
+    table is laid out in folders of ``block_rows`` ordinals, the folder of an id follows
+    from the id itself, and only the folders that occur are opened.
+    """
+    wanted = materialise(ids.select(key).distinct(), "wanted")
+    if block_rows is not None and "ord_block" in table.columns:
+        blocks = wanted.select(F.floor(decode_id(F.col(key)) / F.lit(block_rows)).alias("b")).distinct()
+        numbers = [r["b"] for r in blocks.limit(PRUNE_BLOCKS + 1).collect()]
+        if len(numbers) <= PRUNE_BLOCKS:
+            table = table.filter(F.col("ord_block").isin(numbers))
+    return table.join(broadcast_if_small(wanted), key, "left_semi")
+
+
 def multi_get(ids: DataFrame, table: DataFrame, key: str = "script_id", missing: bool = True) -> DataFrame:
     """Rows of the listed ids; with ``missing`` an absent id stays, with nulls."""
-    return ids.join(table, key, "left" if missing else "inner")
+    found = pick(table, ids, key)
+    return ids.join(found, key, "left" if missing else "inner")
