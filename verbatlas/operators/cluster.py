@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
-from verbatlas.functions.distance import distance
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.ordering import ranks_within
 from verbatlas.operators.sampling import sample_exact
@@ -154,13 +153,19 @@ def fit_lloyd(
     vector: str = "vector",
     seed: int = KMEANS_SEED,
 ) -> DataFrame:
-    """A fixed number of full passes from given (or sampled) centres."""
+    """At most ``iterations`` full passes from given (or sampled) centres.
+
+    It ends earlier when no centre moves any more, since further passes would then
+    repeat the last one.
+    """
     matrix = _start(vectors, k, init, item_id, vector, seed)
     counts = np.zeros(k, np.int64)
     for _ in range(iterations):
         counts, totals = _sums(vectors, matrix, vector)
-        moved = counts > 0
+        moved, before = counts > 0, matrix.copy()
         matrix[moved] = totals[moved] / counts[moved, None]
+        if np.array_equal(before, matrix):
+            break
     return _centre_table(vectors.sparkSession, matrix, counts)
 
 
@@ -183,12 +188,28 @@ def distance_to_own_centre(
     members: DataFrame,
     centres: DataFrame,
     cluster_id: str = "cluster_id",
+    item_id: str = "script_id",
     vector: str = "vector",
     metric: str = "euclidean",
 ) -> DataFrame:
-    """Members keep the cluster they have; only the distance to its centre is added."""
-    joined = members.join(centres.select(cluster_id, "centroid"), cluster_id)
-    return joined.withColumn("distance", distance(F.col(vector), F.col("centroid"), metric)).drop("centroid")
+    """Members keep the cluster they have; only the distance to its centre is added.
+
+    The centres travel to the members in blocks of checked size. A join on the cluster
+    would send all members of a large cluster to one task.
+    """
+    own = centres.select(cluster_id, "centroid", F.col(cluster_id).alias("_own"))
+    keep = [c for c in members.columns if c != item_id]
+    placed = assign(
+        members,
+        own,
+        item_id=item_id,
+        vector=vector,
+        centre_id="_own",
+        key=cluster_id,
+        keep=keep,
+        metric=metric,
+    )
+    return placed.drop("_own")
 
 
 def cluster_sizes(members: DataFrame, cluster_id: str = "cluster_id") -> DataFrame:

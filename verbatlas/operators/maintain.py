@@ -13,13 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from verbatlas.operators.encode import Encoder, embed
+from verbatlas.session import broadcast_if_small, materialise
+from verbatlas.sources.tables import PRUNE_BLOCKS, pick
 
 BLOCK_ROWS = 1 << 20
 
-# Up to so many block numbers are listed in the scan's partition filter; a larger
-# change finds its blocks by a join.
-PRUNE_BLOCKS = 1000
-
 
 def with_block(df: DataFrame, block_rows: int = BLOCK_ROWS, ordinal: str = "ordinal") -> DataFrame:
     return df.withColumn("ord_block", F.floor(F.col(ordinal) / F.lit(block_rows)))
@@ -41,9 +39,13 @@ def overwrite_blocks(df: DataFrame, path: str, block_rows: int = BLOCK_ROWS, ord
 
 
 def append_new(existing: DataFrame, arriving: DataFrame, key: str = "script_id") -> DataFrame:
-    """The arriving rows whose key is not stored yet, each key once."""
-    fresh = arriving.join(existing.select(key), key, "left_anti")
-    return fresh.dropDuplicates([key])
+    """The arriving rows whose key is not stored yet, each key once.
+
+    The arriving keys are looked up in the store, so a short delivery does not make
+    the keys of the whole store move.
+    """
+    known = pick(existing.select(key), arriving, key)
+    return arriving.join(known, key, "left_anti").dropDuplicates([key])
 
 
 def latest(versions: DataFrame, key: str, version: str) -> DataFrame:
@@ -55,11 +57,12 @@ def latest(versions: DataFrame, key: str, version: str) -> DataFrame:
 def upsert(base: DataFrame, updates: DataFrame, key: str = "script_id", version: str = "version") -> DataFrame:
     """Last write wins: per key the update with the highest version, else the base row.
 
-    Only keys are looked up in the updates, so a base that is large beside them is
-    scanned and filtered, not sorted.
+    The keys of the updates are written and counted first. If they are few, the base
+    is filtered where it lies and neither sorted nor shuffled.
     """
     winners = latest(updates, key, version).select(*base.columns)
-    untouched = base.join(updates.select(key).distinct(), key, "left_anti").select(*base.columns)
+    touched = materialise(updates.select(key).distinct(), "touched")
+    untouched = base.join(broadcast_if_small(touched), key, "left_anti").select(*base.columns)
     return untouched.unionByName(winners)
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbatlas.functions import blocks
+from verbatlas.functions.distance import METRICS
 from verbatlas.operators.ordering import first_per_group, global_ordinals
 from verbatlas.session import BROADCAST_LIMIT_BYTES, scratch_path
 
@@ -55,6 +56,11 @@ def bounded_blocks(
         yield block.drop("_position").toArrow()
 
 
+def _check_metric(metric: str) -> None:
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}; choose one of {sorted(METRICS)}")
+
+
 def _values(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -90,6 +96,7 @@ def assign(
     centres of its own key. More centres than fit one block are worked off block by
     block in the same pass over the vectors. ``max_distance`` drops what lies beyond.
     """
+    _check_metric(metric)
     passed = list(dict.fromkeys([item_id, *keep, *([key] if key else []), vector]))
     out = vectors.filter(F.col(vector).isNotNull()).select(*passed)
     fields = [out.schema[c] for c in passed]
@@ -173,6 +180,7 @@ def nearest(
     it is an upper bound of the true one, so tasks of the full pass need not report
     anything farther. It changes the work, never the result.
     """
+    _check_metric(metric)
     if mode not in ("top_k", "first_n"):
         raise ValueError("mode must be top_k or first_n")
     if mode == "first_n" and (item_rank is None or max_distance is None):

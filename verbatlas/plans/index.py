@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbatlas import schemas
 from verbatlas.functions.text import cluster_key
 from verbatlas.operators import cluster, maintain
 from verbatlas.operators.encode import Encoder, embed
@@ -42,7 +43,10 @@ class VectorIndex:
         maintain.save_blocks(self.segments, f"{path}/segments", block_rows)
         by = "lv2_id" if self.lv2 is not None else "cluster_id"
         keys = list(dict.fromkeys([by, "cluster_id", "rank"]))
-        ordered = self.postings.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        names = ["cluster_id", "script_id", "rank", "distance", "vector"]
+        postings = self.postings.withColumn("vector", F.col("vector").cast("array<float>"))
+        postings = postings.select(*names, *(["lv2_id"] if self.lv2 is not None else []))
+        ordered = postings.repartitionByRange(*keys).sortWithinPartitions(*keys)
         writer = ordered.write.mode("overwrite")
         (writer.partitionBy("lv2_id") if self.lv2 is not None else writer).parquet(f"{path}/postings")
         self.lv1.write.mode("overwrite").parquet(f"{path}/lv1")
@@ -54,12 +58,15 @@ def load_index(
     spark: SparkSession, path: str, levels: int = 2, block_rows: int = maintain.BLOCK_ROWS
 ) -> VectorIndex:
     """``block_rows`` must be the value the index was saved with."""
-    read = spark.read.parquet
+    def read(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{path}/{name}")
+
+    upper = levels == 2
     return VectorIndex(
-        read(f"{path}/segments"),
-        read(f"{path}/postings"),
-        read(f"{path}/lv1"),
-        read(f"{path}/lv2") if levels == 2 else None,
+        read("segments", schemas.SEGMENTS),
+        read("postings", schemas.POSTINGS_BY_LEVEL2 if upper else schemas.POSTINGS),
+        read("lv1", schemas.LV1_BY_LEVEL2 if upper else schemas.LV1),
+        read("lv2", schemas.LV2) if upper else None,
         block_rows,
     )
 
@@ -88,6 +95,7 @@ def build_index(
     """Encode, fit, assign, rank; with ``k2`` a second level over the centroids."""
     segments = materialise(segments, "segments")
     vectors = embed(segments.select("ordinal", "script_id", "text"), encoder).drop("text")
+    vectors = vectors.withColumn("vector", F.col("vector").cast("array<float>"))
     vectors = materialise(vectors, "vectors")
     centres = cluster.fit_minibatch(vectors, k1, chunk_size, seed=seed)
     lv1 = centres.select(cluster_key(F.col("label")).alias("cluster_id"), "centroid")

@@ -45,7 +45,7 @@ def label_centres(spark: SparkSession, folder: str) -> DataFrame:
 def label_members(spark: SparkSession, folder: str, centres: DataFrame) -> DataFrame:
     """``cluster_id, vec_id, vector, distance``: every vector in the cluster of its label."""
     v = vectors(spark, folder).withColumn("cluster_id", cluster_key(F.col("label")))
-    return distance_to_own_centre(v, centres).select("cluster_id", "vec_id", "vector", "distance")
+    return distance_to_own_centre(v, centres, item_id="vec_id").select("cluster_id", "vec_id", "vector", "distance")
 
 
 def segments(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ from verbatlas.functions import distance as D
 from verbatlas.operators.cluster import mean_vectors
 from verbatlas.registry import ORACLES, QUERIES, query
 from verbatlas.registry.common import MEANS, V, vectors
+from verbatlas.session import broadcast_if_small, materialise
 
 _PAIRS = f"with {V}, {MEANS}, pairs as (select v.vec_id, v.e as a, cen.c as b from v join cen using (label))"
 _R = "range(1, 65)"
@@ -72,7 +73,8 @@ def _prepare(metric: str, v: Column) -> Column:
 def _register(metric: str) -> None:
     def run(spark, folder):
         v = vectors(spark, folder)
-        pairs = v.join(mean_vectors(v, "label"), "label")
+        means = materialise(mean_vectors(v, "label"), "means")
+        pairs = v.join(broadcast_if_small(means, row_bytes=8 * 64), "label")
         a, b = _prepare(metric, F.col("vector")), _prepare(metric, F.col("centroid"))
         return pairs.select("vec_id", F.round(D.distance(a, b, metric, p=3.0), 5).alias("distance"))
 

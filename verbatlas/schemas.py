@@ -1,33 +1,22 @@
-"""Table layouts, declared once and enforced on read."""
+"""Table layouts as DDL, declared once and enforced on read."""
 
-from __future__ import annotations
+LINES = "value string"
+API_PAGE = "items array<struct<snippet:struct<resourceId:struct<videoId:string>>>>, nextPageToken string"
+TRANSCRIPTS = "video_id string, segments array<struct<text:string,start:double,duration:double>>"
+SCRIPTS = "video_id string, text string, timestamp double, duration double"
+SCRIPT_COLUMNS = ("video_id", "text", "timestamp", "duration")
 
-from pyspark.sql import types as T
+# The tables of a saved index. Vectors are stored in single precision; distances are
+# always computed in double precision.
+SEGMENTS = "ordinal bigint, script_id string, video_id string, timestamp double, text string, ord_block bigint"
+POSTINGS = "cluster_id string, script_id string, rank bigint, distance double, vector array<float>"
+POSTINGS_BY_LEVEL2 = POSTINGS + ", lv2_id string"
+LV1 = "cluster_id string, centroid array<double>"
+LV1_BY_LEVEL2 = LV1 + ", lv2_id string"
+LV2 = "lv2_id string, centroid array<double>"
 
-LINES = T.StructType([T.StructField("value", T.StringType())])
-
-API_PAGE = T.StructType.fromDDL(
-    "items array<struct<snippet:struct<resourceId:struct<videoId:string>>>>, nextPageToken string"
-)
-TRANSCRIPTS = T.StructType.fromDDL(
-    "video_id string, segments array<struct<text:string,start:double,duration:double>>"
-)
-SCRIPTS = T.StructType.fromDDL("video_id string, text string, timestamp double, duration double")
-SEGMENTS = T.StructType.fromDDL(
-    "ordinal bigint, script_id string, video_id string, timestamp double, text string"
-)
-VECTORS = T.StructType.fromDDL("ordinal bigint, script_id string, vector array<float>")
-LV1 = T.StructType.fromDDL("cluster_id string, lv2_id string, centroid array<double>")
-LV2 = T.StructType.fromDDL("lv2_id string, centroid array<double>")
-MEMBERS = T.StructType.fromDDL(
-    "cluster_id string, script_id string, rank bigint, distance double, vector array<float>"
-)
-MEMBER_CHUNKS = T.StructType.fromDDL(
-    "chunk_id string, cluster_id string, chunk_no bigint, n bigint, members array<string>"
-)
-PUBLISHED = T.StructType.fromDDL(
-    "script_id string, video_id string, timestamp double, text string, vector array<float>"
-)
-RESULTS = T.StructType.fromDDL(
+MEMBER_CHUNKS = "chunk_id string, cluster_id string, chunk_no bigint, n bigint, members array<string>"
+PUBLISHED = "script_id string, video_id string, timestamp double, text string, vector array<float>"
+RESULTS = (
     "query_id bigint, rank int, distance double, script_id string, video_id string, at string, text string"
 )

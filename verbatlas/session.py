@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 # Anything above it is worked off in blocks of this size, with the same result.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-# Largest list of keys that may be broadcast to find its rows in a big table.
-BROADCAST_ROWS = 1_000_000
-
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
@@ -55,9 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A hint only for a list of keys that has been counted; ``df`` should be cheap to count."""
-    return F.broadcast(df) if df.count() <= limit else df
+def broadcast_if_small(df: DataFrame, row_bytes: int = 64) -> DataFrame:
+    """Hint a broadcast only if the counted rows fit the limit; ``df`` should be cheap to count.
+
+    Without the hint the join is left to Spark, which shuffles both sides if it must.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_LIMIT_BYTES else df
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

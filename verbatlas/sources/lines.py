@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbatlas.schemas import LINES
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-empty lines in file order (``position`` grows within and across files)."""
-    lines = spark.read.text(path, lineSep="\n").withColumn("position", F.monotonically_increasing_id())
+    lines = spark.read.schema(LINES).text(path, lineSep="\n").withColumn("position", F.monotonically_increasing_id())
     return lines.filter(F.col("value") != "").select("position", "value")
 
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from verbatlas.functions.ids import decode_id, encode_id
 from verbatlas.session import broadcast_if_small, materialise
@@ -19,7 +18,7 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, columns: Sequence[str] = ()) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str | None = None, columns: Sequence[str] = ()) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     table = reader.parquet(path)
     return table.select(*columns) if columns else table
