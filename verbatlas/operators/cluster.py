@@ -36,13 +36,17 @@ SECOND_LEVEL_K = 100
 CENTRES_LIMIT_BYTES = 512 * 1024 * 1024
 
 
-def mean_vectors(df: DataFrame, group: str, vector: str = "vector", out: str = "centroid") -> DataFrame:
+def mean_vectors(
+    df: DataFrame, group: str, vector: str = "vector", out: str = "centroid", width: int | None = None
+) -> DataFrame:
     """Component-wise mean per group, as one hash aggregate with a slot per component.
 
     Map-side partial sums leave one row per group and task, however large a group is.
+    The width of the vectors is looked up in the first row unless it is given.
     """
-    first = df.select(F.size(vector).alias("n")).first()
-    width = first["n"] if first else 0
+    if width is None:
+        first = df.select(F.size(vector).alias("n")).first()
+        width = first["n"] if first else 0
     means = [F.avg(F.col(vector)[i].cast("double")).alias(f"_m{i}") for i in range(width)]
     sums = df.groupBy(group).agg(F.count("*").alias("n"), *means)
     return sums.select(group, "n", F.array(*[F.col(f"_m{i}") for i in range(width)]).alias(out))
@@ -94,6 +98,7 @@ def _sums(vectors: DataFrame, matrix: np.ndarray, vector: str) -> tuple[np.ndarr
     cells = partial.select("label", "n", F.posexplode("sums").alias("dim", "x"))
     merged = cells.groupBy("label", "dim").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
     got = merged.toArrow()  # at most k x dim rows
+    shared.unpersist()
     counts, totals = np.zeros(k, np.int64), np.zeros((k, dim))
     label = got["label"].to_numpy()
     totals[label, got["dim"].to_numpy()] = got["x"].to_numpy()

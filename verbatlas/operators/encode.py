@@ -52,7 +52,16 @@ class HashedEncoder:
             length = np.sqrt(np.square(matrix).sum(axis=1, keepdims=True))
             return blocks.to_lists(np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0))
 
-        return encode(text)
+        return _once(encode)(text)
+
+
+def _once(udf):
+    """Keep the optimizer from copying the call into filters on its result.
+
+    Encoding is the dearest step; a null check pushed below the projection would run
+    it a second time for every row.
+    """
+    return udf.asNondeterministic()
 
 
 def _hash(word: str) -> int:
@@ -77,7 +86,7 @@ class ModelEncoder:
                 matrix = np.asarray(model(texts), dtype=np.float64) if texts else np.zeros((0, dim))
                 yield blocks.to_lists(matrix.reshape(len(texts), dim))
 
-        return run(text)
+        return _once(run)(text)
 
 
 def embed(df: DataFrame, encoder: Encoder, text: str = "text", vector: str = "vector") -> DataFrame:

@@ -215,6 +215,8 @@ def nearest(
             bounds = np.minimum(bounds, np.array([known.get(i, np.inf) for i in ids]))
         return best(scan, table, bounds)
 
+    in_use = []
+
     def best(scan: DataFrame, table: pa.Table, bounds: np.ndarray) -> DataFrame:
         shared = spark.sparkContext.broadcast(
             (
@@ -224,6 +226,7 @@ def nearest(
                 bounds,
             )
         )
+        in_use.append(shared)
         per_task = k if mode == "top_k" else None
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,6 +292,8 @@ def nearest(
             for done in results:
                 done.write.mode("append").parquet(path)
             results = []
+            while in_use:
+                in_use.pop().unpersist()
     out = results[0] if path is None else spark.read.parquet(path)
     if mode == "first_n":
         out = first_per_group(out.drop("rank"), [query_id], [F.round("distance", TIE_DIGITS), item_id], k)

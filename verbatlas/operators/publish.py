@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatlas.functions.ids import encode_id
 from verbatlas.functions.text import chunk_key
-from verbatlas.operators.maintain import append_new
+from verbatlas.operators.maintain import BLOCK_ROWS, append_new, upsert_blocks
 from verbatlas.operators.ordering import ranks_within
 
 # The size of a member chunk and the number of chunks the original
@@ -28,6 +28,25 @@ def publish_documents(stored: DataFrame | None, docs: DataFrame, path: str, key:
     fresh.write.mode("append").parquet(path)
 
 
+def upsert_documents(
+    spark: SparkSession,
+    docs: DataFrame,
+    path: str,
+    batch_size: int,
+    resume: int = 0,
+    stop: bool = False,
+    block_rows: int = BLOCK_ROWS,
+) -> None:
+    """Set every document from ordinal ``resume`` on in a stored table, or add it.
+
+    ``docs`` carries the ordinal. With ``stop`` only the first batch is written.
+    """
+    window = docs.filter(F.col("ordinal") >= resume)
+    if stop:
+        window = window.filter(F.col("ordinal") < resume + batch_size)
+    upsert_blocks(spark, path, window.withColumn("version", F.lit(1)), block_rows=block_rows)
+
+
 def publish_json(docs: DataFrame, path: str) -> None:
     docs.write.mode("append").json(path)
 

@@ -22,7 +22,7 @@ from verbatlas.operators import cluster, maintain
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.ordering import ranks_within
-from verbatlas.session import materialise
+from verbatlas.session import broadcast_if_small, materialise, spread
 
 
 @dataclass(frozen=True)
@@ -32,6 +32,7 @@ class VectorIndex:
     lv1: DataFrame
     lv2: DataFrame | None = None
     block_rows: int | None = None  # layout of the segments, once they are saved
+    in_order: bool = False  # postings already lie in the order in which they are saved
 
     @property
     def level2_ids(self) -> DataFrame:
@@ -41,12 +42,13 @@ class VectorIndex:
 
     def save(self, path: str, block_rows: int = maintain.BLOCK_ROWS) -> None:
         maintain.save_blocks(self.segments, f"{path}/segments", block_rows)
-        by = "lv2_id" if self.lv2 is not None else "cluster_id"
-        keys = list(dict.fromkeys([by, "cluster_id", "rank"]))
+        keys = [*(["lv2_id"] if self.lv2 is not None else []), "cluster_id", "rank"]
         names = ["cluster_id", "script_id", "rank", "distance", "vector"]
         postings = self.postings.withColumn("vector", F.col("vector").cast("array<float>"))
         postings = postings.select(*names, *(["lv2_id"] if self.lv2 is not None else []))
-        ordered = postings.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        if not self.in_order:
+            postings = postings.repartitionByRange(*keys)
+        ordered = postings.sortWithinPartitions(*keys)
         writer = ordered.write.mode("overwrite")
         (writer.partitionBy("lv2_id") if self.lv2 is not None else writer).parquet(f"{path}/postings")
         self.lv1.write.mode("overwrite").parquet(f"{path}/lv1")
@@ -94,19 +96,21 @@ def build_index(
 ) -> VectorIndex:
     """Encode, fit, assign, rank; with ``k2`` a second level over the centroids."""
     segments = materialise(segments, "segments")
-    vectors = embed(segments.select("ordinal", "script_id", "text"), encoder).drop("text")
+    vectors = embed(spread(segments.select("ordinal", "script_id", "text")), encoder).drop("text")
     vectors = vectors.withColumn("vector", F.col("vector").cast("array<float>"))
     vectors = materialise(vectors, "vectors")
     centres = cluster.fit_minibatch(vectors, k1, chunk_size, seed=seed)
     lv1 = centres.select(cluster_key(F.col("label")).alias("cluster_id"), "centroid")
     lv2 = None
-    placed = assign(vectors, lv1, keep=["vector"])
+    # The dearest pass: written once, read by all that follows.
+    placed = materialise(assign(vectors, lv1, keep=["vector"]), "placed")
     used = placed.select("cluster_id").distinct()
     lv1 = materialise(lv1.join(used, "cluster_id", "left_semi"), "lv1")
     if k2 is not None:
         lv1, lv2 = second_level(lv1, k2, seed=seed)
         lv1, lv2 = materialise(lv1, "lv1"), materialise(lv2, "lv2")
-    postings = ranks_within(placed, ["cluster_id"], ["distance", "script_id"])
-    if k2 is not None:
-        postings = postings.join(lv1.select("cluster_id", "lv2_id"), "cluster_id")
-    return VectorIndex(segments, postings, lv1, lv2)
+        placed = placed.join(broadcast_if_small(lv1.select("cluster_id", "lv2_id")), "cluster_id")
+    # The range shuffle that ranks the members also brings them into the saved order.
+    groups = ["lv2_id", "cluster_id"] if k2 is not None else ["cluster_id"]
+    postings = ranks_within(placed, groups, ["distance", "script_id"])
+    return VectorIndex(segments, postings, lv1, lv2, in_order=True)

@@ -10,7 +10,7 @@ from verbatlas.functions.text import cluster_key
 from verbatlas.operators.cluster import distance_to_own_centre, mean_vectors, members_ranked
 from verbatlas.operators.encode import HashedEncoder, embed
 from verbatlas.plans.index import VectorIndex
-from verbatlas.session import materialise
+from verbatlas.session import materialise, spread
 
 ENCODER = HashedEncoder(64)
 LEVEL2 = 3  # level-2 clusters of the labels: label mod 3
@@ -32,7 +32,7 @@ def as_queries(df: DataFrame) -> DataFrame:
 
 def label_centres(spark: SparkSession, folder: str) -> DataFrame:
     """``cluster_id, label, lv2_id, centroid, n``: the mean vector of every label."""
-    means = mean_vectors(vectors(spark, folder), "label")
+    means = mean_vectors(vectors(spark, folder), "label", width=64)
     return means.select(
         cluster_key(F.col("label")).alias("cluster_id"),
         "label",
@@ -63,7 +63,7 @@ def label_index(spark: SparkSession, folder: str) -> VectorIndex:
     """The index whose level-1 clusters are the labels and level-2 clusters label mod 3."""
     centres = materialise(label_centres(spark, folder), "centres")
     ranked = members_ranked(label_members(spark, folder, centres), item_id="vec_id")
-    level2 = mean_vectors(centres.select("lv2_id", "centroid"), "lv2_id", "centroid")
+    level2 = materialise(mean_vectors(centres.select("lv2_id", "centroid"), "lv2_id", "centroid", width=64), "lv2")
     postings = ranked.join(centres.select("cluster_id", "lv2_id"), "cluster_id")
     return VectorIndex(
         segments(spark, folder),
@@ -74,7 +74,7 @@ def label_index(spark: SparkSession, folder: str) -> VectorIndex:
 
 
 def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return embed(segments(spark, folder), ENCODER)
+    return embed(spread(segments(spark, folder)), ENCODER)
 
 
 # --- SQL ------------------------------------------------------------------------

@@ -73,7 +73,7 @@ def _prepare(metric: str, v: Column) -> Column:
 def _register(metric: str) -> None:
     def run(spark, folder):
         v = vectors(spark, folder)
-        means = materialise(mean_vectors(v, "label"), "means")
+        means = materialise(mean_vectors(v, "label", width=64), "means")
         pairs = v.join(broadcast_if_small(means, row_bytes=8 * 64), "label")
         a, b = _prepare(metric, F.col("vector")), _prepare(metric, F.col("centroid"))
         return pairs.select("vec_id", F.round(D.distance(a, b, metric, p=3.0), 5).alias("distance"))

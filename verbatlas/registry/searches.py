@@ -266,8 +266,9 @@ def text_search_served(spark, folder):
         {"cluster_id": cluster_key(number), "lv2_id": cluster_key(number % 3, 2)}
     )
     docs = materialise(docs.drop("text"), "docs")
-    lv1 = mean_vectors(docs, "cluster_id").join(docs.select("cluster_id", "lv2_id").distinct(), "cluster_id")
-    lv2 = mean_vectors(lv1.select("lv2_id", "centroid"), "lv2_id", "centroid")
+    means = mean_vectors(docs, "cluster_id", width=ENCODER.dim)
+    lv1 = materialise(means.join(docs.select("cluster_id", "lv2_id").distinct(), "cluster_id"), "lv1")
+    lv2 = materialise(mean_vectors(lv1.select("lv2_id", "centroid"), "lv2_id", width=ENCODER.dim, vector="centroid"), "lv2")
     index = VectorIndex(segments(spark, folder), docs, lv1, lv2)
     queries = table(spark, folder, "benchmark").withColumnRenamed("item_id", "query_id")
     return _published_shape(S.search(S.encode_queries(queries, ENCODER), index, 10))

@@ -29,7 +29,7 @@ from verbatlas.registry.common import (
     text_vectors,
     vectors,
 )
-from verbatlas.session import materialise, scratch_path
+from verbatlas.session import materialise, scratch_path, spread
 from verbatlas.sources import tables as T
 
 
@@ -316,6 +316,23 @@ def publish_docs_json(spark, folder):
     return _doc_shape(spark.read.schema(docs.schema).json(path))
 
 
+@query(
+    f"""select {encoded("doc_id")} as script_id, source as video_id,
+            case when doc_id >= (select count(*) // 2 from documents) then md5(text) else md5(lang) end as text_md5
+        from documents"""
+)
+def publish_docs_upsert(spark, folder):
+    """A store with stale texts, set again document by document from the middle on."""
+    path = scratch_path(spark, "store")
+    docs = segments(spark, folder)
+    n = docs.count()
+    lang = table(spark, folder, "documents").select(F.col("doc_id").alias("ordinal"), F.col("lang").alias("text"))
+    M.save_blocks(docs.drop("text").join(lang, "ordinal"), path, block_rows=500)
+    P.upsert_documents(spark, docs, path, batch_size=500, resume=n // 2, block_rows=500)
+    stored = spark.read.parquet(path)
+    return stored.select("script_id", "video_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query(
     f"""select {_DOC.format(id=encoded('d.doc_id'))} from documents d join embeddings e on e.vec_id = d.doc_id
         where d.doc_id = 0"""
@@ -443,7 +460,7 @@ for _old, _new in X.PUNCTUATION_STEPS:
 )
 def quality_tally(spark, folder):
     """Original texts against a store that kept them without punctuation."""
-    d = segments(spark, folder)
+    d = spread(segments(spark, folder))
     stored = d.withColumn("text", X.normalise_punctuation(F.col("text")))
     v = materialise(embed(stored.select("script_id", "text"), ENCODER).drop("text"), "stored")
     return Q.tally(Q.sample_check(d.select("script_id", "text"), stored, v, ENCODER))

@@ -11,7 +11,7 @@ from verbatlas.operators.ordering import assign_ordinals, global_ordinals
 from verbatlas.operators.sets import resolve
 from verbatlas.registry import query
 from verbatlas.registry.common import ENCODER, encoded, hashed, table, text_vectors, time_padded, time_plain
-from verbatlas.session import materialise, scratch_path
+from verbatlas.session import materialise, scratch_path, spread
 from verbatlas.sources import lines, pages, transcripts
 
 
@@ -104,7 +104,7 @@ def _digest(df, column, key="doc_id"):
 
 @query(f"select doc_id, md5(t) as digest, length(t) as length from (select doc_id, {_PUNCT} as t from documents)")
 def normalise_punct(spark, folder):
-    d = table(spark, folder, "documents")
+    d = spread(table(spark, folder, "documents"))
     return _digest(d.withColumn("t", X.normalise_punctuation(F.col("text"))), "t")
 
 

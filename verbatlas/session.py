@@ -60,6 +60,16 @@ def broadcast_if_small(df: DataFrame, row_bytes: int = 64) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_LIMIT_BYTES else df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a small table to all cores before work that is dear per row.
+
+    ``scan`` is a plain read. One with as many input splits as the session has cores
+    stays as it is, so a large table is never shuffled for this.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

@@ -10,6 +10,9 @@ from verbatlas.functions.text import clean_caption, repair_quotes
 from verbatlas.operators.ordering import global_ordinals
 from verbatlas.schemas import SCRIPT_COLUMNS, SCRIPTS
 
+# Longest list of captions in one row of a nested transcript.
+PART_SIZE = 4096
+
 
 def flatten_transcripts(transcripts: DataFrame, resume: int = 0, position: str | None = None) -> DataFrame:
     """One row per caption: ``video_id, text, timestamp, duration``.
@@ -30,11 +33,16 @@ def flatten_transcripts(transcripts: DataFrame, resume: int = 0, position: str |
     )
 
 
-def nest_transcripts(rows: DataFrame, order_by: str) -> DataFrame:
-    """Captions back to one row per video. One video is a bounded list by nature."""
+def nest_transcripts(rows: DataFrame, position: str, part_size: int = PART_SIZE) -> DataFrame:
+    """Captions back to lists of captions: one row per video and ``part_size`` positions.
+
+    ``position`` counts the captions of a video, so no list grows beyond ``part_size``.
+    """
     segment = F.struct("text", F.col("timestamp").alias("start"), "duration")
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order_by).alias("_o"), segment.alias("s"))))
-    return rows.groupBy("video_id").agg(listed.alias("_l")).select("video_id", F.col("_l.s").alias("segments"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col(position).alias("_o"), segment.alias("s"))))
+    part = F.floor(F.col(position) / F.lit(part_size)).alias("part")
+    parts = rows.groupBy("video_id", part).agg(listed.alias("_l"))
+    return parts.select("video_id", "part", F.col("_l.s").alias("segments"))
 
 
 def write_scripts(df: DataFrame, path: str) -> None:
