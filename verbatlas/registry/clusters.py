@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from verbatlas.functions.distance import norm
 from verbatlas.functions.text import cluster_key
 from verbatlas.operators import cluster as C
 from verbatlas.operators.nearest import assign
@@ -223,6 +224,7 @@ def second_level_clusters(spark, folder):
 
 @query()
 def kmeans_mllib(spark, folder):
+    """Random starting centres, so only the rows can be compared."""
     v = vectors(spark, folder)
     centres = C.fit_full(v, 10).select(cluster_key(F.col("label")).alias("cluster_id"), "centroid")
     return assign(v, centres, item_id="vec_id").select("vec_id", "cluster_id")
@@ -230,21 +232,54 @@ def kmeans_mllib(spark, folder):
 
 @query()
 def pca_mllib(spark, folder):
+    """Components have no fixed sign, so only the rows can be compared."""
     return C.reduce(vectors(spark, folder), 3, keep=["vec_id"])
 
 
-@query()
-def ensemble_chunks(spark, folder):
+@query(f"with {V} select vec_id, round(sqrt(list_dot_product(e, e)), 5) as length from v")
+def pca_keeps_lengths(spark, folder):
+    """All 64 components are a rotation: every vector keeps its length."""
+    reduced = C.reduce(vectors(spark, folder), 64, keep=["vec_id"])
+    return reduced.select("vec_id", F.round(norm(F.col("reduced")), 5).alias("length"))
+
+
+def _ensemble(spark, folder):
     v = vectors(spark, folder).withColumnRenamed("vec_id", "ordinal")
     size = math.ceil(v.count() / C.ENSEMBLE_CHUNKS)
     return C.ensemble(v, 5, 8, chunk_size=size, item_id="ordinal")
 
 
 @query()
+def ensemble_chunks(spark, folder):
+    """Random starting centres, so only the rows can be compared."""
+    return _ensemble(spark, folder)
+
+
+@query(
+    """select i as chunk_no, count(*) as n, count(distinct vec_id) as n_ids
+       from embeddings, range(5) t(i), (select ceil(count(*) / 5.0) as size from embeddings)
+       where vec_id < (i + 1) * size group by i"""
+)
+def ensemble_sizes(spark, folder):
+    """Every fit covers one chunk more than the one before."""
+    sizes = _ensemble(spark, folder).groupBy(F.col("chunk_no").cast("bigint").alias("chunk_no"))
+    return sizes.agg(F.count("*").alias("n"), F.countDistinct("ordinal").alias("n_ids"))
+
+
+@query(
+    f"""with {V},
+        p as (select a.vec_id, a.label, b.label as other, sum(pow(list_distance(a.e, b.e), 2)) as s, count(*) as n
+              from v a, v b group by 1, 2, 3),
+        own as (select vec_id, label, s / (n - 1) as x from p where label = other),
+        near as (select vec_id, min(s / n) as y from p where label <> other group by 1),
+        score as (select round(avg((y - x) / greatest(x, y)), 5) as silhouette from own join near using (vec_id)),
+        sizes as (select label, count(*) as n from v group by 1)
+        select label, n, silhouette from sizes, score"""
+)
 def silhouette(spark, folder):
     score = C.silhouette(vectors(spark, folder))
     sizes = C.cluster_sizes(vectors(spark, folder), "label")
-    return sizes.withColumn("silhouette", F.lit(score))
+    return sizes.withColumn("silhouette", F.round(F.lit(score), 5))
 
 
 @query(
