@@ -13,8 +13,6 @@ import pyarrow as pa
 
 # Cells of the largest temporary array in one step (float64, so 8 bytes each).
 CELLS = 4_000_000
-_SCREENED = ("euclidean", "sqeuclidean", "cosine")
-_TOLERANCE = 1e-6
 
 
 def to_matrix(column: pa.Array, dim: int | None = None) -> np.ndarray:
@@ -75,33 +73,45 @@ def row_distance(a: np.ndarray, b: np.ndarray, metric: str, p: float = 2.0) -> n
 
 
 def screen(vectors: np.ndarray, refs: np.ndarray, metric: str, p: float = 2.0) -> np.ndarray:
-    """(len(refs), len(vectors)) distances, good to ``slack``."""
-    if metric in _SCREENED:
-        inner = refs @ vectors.T
-        vv, rr = np.square(vectors).sum(axis=1), np.square(refs).sum(axis=1)
-        if metric == "cosine":
-            with np.errstate(invalid="ignore", divide="ignore"):
-                return 1.0 - inner / (np.sqrt(rr)[:, None] * np.sqrt(vv)[None, :])
-        square = np.maximum(rr[:, None] + vv[None, :] - 2.0 * inner, 0.0)
-        return np.sqrt(square) if metric == "euclidean" else square
+    """(len(refs), len(vectors)) values in the order of the distances, good to ``slack``.
+
+    For the Euclidean distance these are squares; undefined distances become infinite.
+    """
+    if metric in ("euclidean", "sqeuclidean"):
+        out = refs @ vectors.T
+        out *= -2.0
+        out += np.square(vectors).sum(axis=1)[None, :]
+        out += np.square(refs).sum(axis=1)[:, None]
+        return out
+    if metric == "cosine":
+        vv, rr = np.sqrt(np.square(vectors).sum(axis=1)), np.sqrt(np.square(refs).sum(axis=1))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.nan_to_num(1.0 - (refs @ vectors.T) / rr[:, None] / vv[None, :], nan=np.inf)
     out = np.empty((len(refs), len(vectors)))
     for i, ref in enumerate(refs):
         out[i] = row_distance(vectors, np.broadcast_to(ref, vectors.shape), metric, p)
-    return out
+    return np.nan_to_num(out, copy=False, nan=np.inf)
+
+
+def screened_bound(bounds: np.ndarray, metric: str) -> np.ndarray:
+    """Distances as values that compare with those of ``screen``."""
+    return np.square(bounds) if metric == "euclidean" else bounds
 
 
 def slack(vectors: np.ndarray, refs: np.ndarray, metric: str) -> float:
     """Width of the band around a screened value in which the true one lies.
 
-    A root turns a rounding error e of the square into at most sqrt(e), hence 1e-6
-    of the vector length for float64 instead of 1e-12.
+    It covers rounding errors of the matrix product and distances that count as equal
+    because they agree to nine decimals.
     """
-    if metric == "cosine":
-        return _TOLERANCE
     if len(vectors) == 0 or len(refs) == 0:
         return 0.0
-    length = np.sqrt(max(np.square(vectors).sum(axis=1).max(), np.square(refs).sum(axis=1).max()))
-    return _TOLERANCE * max(1.0, length * length if metric == "sqeuclidean" else length)
+    if metric == "cosine":
+        return 1e-6
+    if metric in ("euclidean", "sqeuclidean"):
+        length = np.sqrt(max(np.square(vectors).sum(axis=1).max(), np.square(refs).sum(axis=1).max()))
+        return 2e-9 * (metric == "sqeuclidean") + 8e-9 * length + 1e-9 * length * length
+    return 2e-9
 
 
 def step_rows(m: int, dim: int) -> int:
@@ -129,9 +139,10 @@ def nearest_ref(
     rows = step_rows(len(refs), dim)
     for start in range(0, n, rows):
         part = vectors[start : start + rows]
-        approx = np.nan_to_num(screen(part, refs, metric, p), nan=np.inf)
+        approx = screen(part, refs, metric, p)
         limit = approx.min(axis=0) + slack(part, refs, metric)
-        vi, ri = np.nonzero((approx <= limit[None, :]).T & np.isfinite(approx.T))
+        limit[~np.isfinite(limit)] = -np.inf
+        ri, vi = np.nonzero(approx <= limit[None, :])
         exact = _exact_pairs(part, vi, refs, ri, metric, p)
         order = np.lexsort((ri, exact, vi))
         vi, ri, exact = vi[order], ri[order], exact[order]
@@ -158,11 +169,13 @@ def within(
     rows = step_rows(len(refs), vectors.shape[1])
     for start in range(0, len(vectors), rows):
         part = vectors[start : start + rows]
-        approx = np.nan_to_num(screen(part, refs, metric, p), nan=np.inf)
-        limit = bounds.copy()
-        if k is not None and len(part) > k:
-            limit = np.minimum(limit, np.partition(approx, k - 1, axis=1)[:, k - 1])
-        keep = (approx <= (limit + slack(part, refs, metric))[:, None]) & np.isfinite(approx)
+        approx = screen(part, refs, metric, p)
+        spare = slack(part, refs, metric)
+        limit = screened_bound(bounds, metric) + spare
+        keep = (approx <= limit[:, None]) & np.isfinite(approx)
+        if k is not None and len(part) > k and np.count_nonzero(keep) > 2 * k * len(refs):
+            kth = np.partition(approx, k - 1, axis=1)[:, k - 1] + spare
+            keep &= approx <= kth[:, None]
         ri, vi = np.nonzero(keep)
         out_d.append(_exact_pairs(part, vi, refs, ri, metric, p))
         out_r.append(ri)
