@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbatlas.operators.ordering import global_ordinals
+from verbatlas.session import materialise
 
-_HASH_DIGITS = 15  # hex digits of md5, so 60 bits
+_HASH_DIGITS = 15  # hex digits of md5, compared as text
 
 
 def sample_key(item_id: str, seed: int) -> Column:
     text = F.concat(F.lit(f"{seed}:"), F.col(item_id).cast("string"))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, _HASH_DIGITS), 16, 10).cast("long")
+    return F.substring(F.md5(text.cast("binary")), 1, _HASH_DIGITS)
 
 
 def sample_exact(df: DataFrame, n: int, item_id: str = "script_id", seed: int = 0) -> DataFrame:
@@ -26,14 +27,14 @@ def sample_exact(df: DataFrame, n: int, item_id: str = "script_id", seed: int =
     """
     if n <= 0:
         return df.limit(0)
-    space = 1 << (4 * _HASH_DIGITS)
     keyed = df.select(sample_key(item_id, seed).alias("_key"), item_id)
     total = df.count()
     if n >= total:
         return df
     share = min(1.0, (n + 6 * math.sqrt(n) + 10) / total)
-    below = keyed.filter(F.col("_key") < F.lit(int(share * space)))
-    if share < 1.0 and below.count() < n:
+    cut = format(int(share * (16**_HASH_DIGITS - 1)), f"0{_HASH_DIGITS}x")
+    below = materialise(keyed.filter(F.col("_key") <= F.lit(cut)), "below")
+    if below.count() < n:
         below = keyed
     last = global_ordinals(below, ["_key", item_id]).filter(F.col("ordinal") == n - 1).first()
     key, edge = sample_key(item_id, seed), F.lit(last["_key"])
