@@ -24,7 +24,7 @@ from verbatlas.functions.distance import METRICS
 from verbatlas.operators.ordering import first_per_group, global_ordinals
 from verbatlas.session import BROADCAST_LIMIT_BYTES, scratch_path
 
-# A table with no more rows than this is fetched in one job.
+# A table with no more rows than this is fetched without numbering its rows first.
 HEAD_ROWS = 16_384
 
 # Distances are compared to so many decimals. Vectors at the same distance whose float
@@ -43,19 +43,25 @@ def bounded_blocks(
     Blocks of a table above the limit follow ``order_by``, so rows with equal keys
     stay together and a keyed scan of one block touches few partitions.
     """
-    head = df.limit(HEAD_ROWS + 1).toArrow()
-    width = max(1, len(head[vector][0])) if head.num_rows else 1
-    rows = max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * width))
-    if head.num_rows <= min(rows, HEAD_ROWS):
-        yield head
-        return
-    del head
+    # take() stops after the first few partitions of a large table.
+    if len(df.select(F.lit(1)).take(HEAD_ROWS + 1)) <= HEAD_ROWS:
+        table = df.toArrow()
+        if table.num_rows <= _block_rows(table, vector, limit_bytes):
+            yield table
+            return
     numbered = global_ordinals(df, order_by, "_position")
+    one = numbered.select(vector).filter(F.col("_position") == 0).toArrow()
+    rows = _block_rows(one, vector, limit_bytes)
     for start in range(0, numbered.count(), rows):
         block = numbered.filter((F.col("_position") >= start) & (F.col("_position") < start + rows))
         yield block.drop("_position").toArrow()
 
 
+def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None) -> int:
+    width = max(1, len(sample[vector][0])) if sample.num_rows else 1
+    return max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * width))
+
+
 def _check_metric(metric: str) -> None:
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose one of {sorted(METRICS)}")
