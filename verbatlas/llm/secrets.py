@@ -5,8 +5,8 @@ Three plain patterns find assignments, access keys and long hexadecimal runs. Be
 Markov models of its characters: one trained on random strings, one on ordinary identifiers. It counts
 as a secret if the log-likelihood ratio is above a threshold, in sum and per character.
 
-Labelled samples: a bounded number of words of the corpus as ordinary identifiers and as many random
-strings, drawn by hashing numbers, in four alphabets; own labelled rows can be given to ``train``. A
+Labelled samples: the words of a bounded number of texts, as they stand and in capitals, and decimal
+numbers as ordinary identifiers; random strings, drawn by hashing numbers, in four alphabets; own labelled rows can be given to ``train``. A
 model is a table of 65 x 65 log probabilities, whatever the size of the corpus.
 
 Defined results: null and empty texts have no spans; equal texts have equal spans; offsets count code
@@ -73,7 +73,13 @@ def ordinary_words(docs: DataFrame, rows: int = 500, text: str = "text") -> Data
     some = docs.select(F.col(text).cast("string").alias("body")).where("body is not null")
     some = some.orderBy(F.xxhash64("body")).limit(rows)
     found = F.regexp_extract_all("body", F.lit(r"(?:^|[\s])([A-Za-z_-]{4,})(?=[\s.,;]|$)"), 1)
-    return some.select(F.explode(found).alias("string"), F.lit(0).alias("label"))
+    words = some.select(F.explode(found).alias("string"))
+    return words.select(F.explode(F.array("string", F.upper("string"))).alias("string"), F.lit(0).alias("label"))
+
+
+def ordinary_numbers(df: DataFrame) -> DataFrame:
+    """``string, label = 0``: decimal numbers, as ordinary records carry them, one for each ``id``."""
+    return df.select(F.abs(F.xxhash64("id")).cast("string").alias("string"), F.lit(0).alias("label"))
 
 
 def train(samples: DataFrame, total: float = 12.0, mean: float = 0.45) -> Model:
@@ -102,7 +108,8 @@ def train(samples: DataFrame, total: float = 12.0, mean: float = 0.45) -> Model:
 def model_of(docs: DataFrame, text: str = "text", strings: int = 4000) -> Model:
     spark = docs.sparkSession
     drawn = random_strings(spark.range(0, strings, 1, 4))
-    return train(drawn.unionByName(ordinary_words(docs, text=text)))
+    numbers = ordinary_numbers(spark.range(0, strings, 1, 4))
+    return train(drawn.unionByName(ordinary_words(docs, text=text)).unionByName(numbers))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
