@@ -5,7 +5,7 @@ Three plain patterns find assignments, access keys and long hexadecimal runs. Be
 Markov models of its characters: one trained on random strings, one on ordinary identifiers. It counts
 as a secret if the log-likelihood ratio is above a threshold, in sum and per character.
 
-Labelled samples: the words of a bounded number of texts, as they stand and in capitals, and decimal
+Labelled samples: the words of a bounded number of texts, as they stand, in capitals and joined in camel case, and decimal
 numbers as ordinary identifiers; random strings, drawn by hashing numbers, in four alphabets; own labelled rows can be given to ``train``. A
 model is a table of 65 x 65 log probabilities, whatever the size of the corpus.
 
@@ -48,8 +48,8 @@ class Model:
     """Log-likelihood ratio of every pair of characters, and the thresholds."""
 
     ratio: np.ndarray
-    total: float = 12.0
-    mean: float = 0.45
+    total: float = 16.0
+    mean: float = 1.0
 
 
 def random_strings(df: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def ordinary_words(docs: DataFrame, rows: int = 500, text: str = "text") -> Data
     some = some.orderBy(F.xxhash64("body")).limit(rows)
     found = F.regexp_extract_all("body", F.lit(r"(?:^|[\s])([A-Za-z_-]{4,})(?=[\s.,;]|$)"), 1)
     words = some.select(F.explode(found).alias("string"))
-    return words.select(F.explode(F.array("string", F.upper("string"))).alias("string"), F.lit(0).alias("label"))
+    return words.select(F.explode(F.array("string", F.upper("string"), F.concat("string", F.initcap("string")))).alias("string"), F.lit(0).alias("label"))
 
 
 def ordinary_numbers(df: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def ordinary_numbers(df: DataFrame) -> DataFrame:
     return df.select(F.abs(F.xxhash64("id")).cast("string").alias("string"), F.lit(0).alias("label"))
 
 
-def train(samples: DataFrame, total: float = 12.0, mean: float = 0.45) -> Model:
+def train(samples: DataFrame, total: float = 16.0, mean: float = 1.0) -> Model:
     """Count neighbouring characters per label; 2 x 65 x 65 counts at most come back."""
     size = len(ALPHABET)
 
