@@ -71,7 +71,9 @@ def ordinary_words(docs: DataFrame, rows: int = 500, text: str = "text") -> Data
     Words with a digit, and what stands behind a colon or an equals sign, may be secrets and are left out.
     """
     some = docs.select(F.col(text).cast("string").alias("body")).where("body is not null")
-    some = some.orderBy(F.xxhash64("body")).limit(rows)
+    some = some.withColumn("place", F.xxhash64("body"))
+    last = some.select("place").orderBy("place").limit(rows).agg(F.max("place")).first()[0]
+    some = some.where(F.col("place") <= F.lit(last)).dropDuplicates(["place"])  # equal texts teach once
     found = F.regexp_extract_all("body", F.lit(r"(?:^|[\s])([A-Za-z_-]{4,})(?=[\s.,;]|$)"), 1)
     words = some.select(F.explode(found).alias("string"))
     return words.select(F.explode(F.array("string", F.upper("string"), F.concat("string", F.initcap("string")))).alias("string"), F.lit(0).alias("label"))
