@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatlas.llm import mixing, packing, repetition, secrets, toxicity
+from verbatlas.llm import mixing, ngram_join, packing, repetition, secrets, toxicity
 from verbatlas.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken, "rate", "copies")
 
 
+@query
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.coverage(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
