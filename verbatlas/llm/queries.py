@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatlas.llm import mixing, ngram_join, packing, repetition, secrets, suffixes, toxicity
+from verbatlas.llm import mixing, ngram_join, packing, pigeonhole, repetition, secrets, suffixes, toxicity
 from verbatlas.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(docs, secrets.model_of(docs)).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op8_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
+    return pigeonhole.near(read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 @query
 def op9_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.dedup(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
