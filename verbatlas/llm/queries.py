@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatlas.llm import mixing, ngram_join, packing, pigeonhole, repetition, secrets, suffixes, toxicity
+from verbatlas.llm import html_text, mixing, ngram_join, packing, pigeonhole, repetition, secrets, suffixes, toxicity
 from verbatlas.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
 @query
 def op5_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.coverage(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
