@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatlas.llm import html_text, mixing, ngram_join, packing, pigeonhole, repetition, secrets, suffixes, toxicity
+from verbatlas.llm import chaining, html_text, mixing, ngram_join, packing, pigeonhole, repetition, secrets, suffixes, toxicity
 from verbatlas.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,9 @@ def op8_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.dedup(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_chaining(spark: SparkSession, folder: str) -> DataFrame:
+    found = chaining.passages(read(spark, folder, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "partner": "partner_id"})

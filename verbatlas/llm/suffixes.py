@@ -66,7 +66,7 @@ def shifts(period: int) -> np.ndarray:
     return out
 
 
-def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
+def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Least of every ``width`` neighbours, from running minima inside blocks of that width."""
     n = len(values)
     blocks = -(-n // width)
@@ -90,7 +90,7 @@ def pieces(column: pa.Array, length: int = LENGTH, anchor: int = ANCHOR) -> tupl
     mask = np.uint64((1 << int(_PLACE_BITS)) - 1)
     if len(grams) > int(mask):
         raise ValueError("a single text may have 256 MB at most")
-    least = _window_minima((grams & ~mask) | place, length - anchor + 1)  # the first of equal ones
+    least = window_minima((grams & ~mask) | place, length - anchor + 1)  # the first of equal ones
     owner = np.repeat(np.arange(len(column)), np.diff(offsets))[: len(least)]
     valid = np.arange(len(least)) + length <= offsets[1:][owner]
     first = valid.copy()
