@@ -1,9 +1,84 @@
-"""The training-data pipeline."""
+"""The training-data pipeline: filter, deduplicate, clean, mix and pack the documents.
 
-STAGES = []
+Each stage takes the session, the documents its predecessor kept, and the folder of the other tables,
+and returns documents with the same columns; the last returns the places of their pieces. Between two
+stages the documents are written as Parquet and read again.
+
+1. ``toxicity``: documents whose score is 0.7 or more go.
+2. ``near_duplicates``: one document of each class of the n-gram Jaccard join stays, the one with the
+   least id; of rows that are equal in all columns one stays. Documents without an id stay.
+3. ``secrets``: every span found is replaced by a mark; ``n_chars`` follows where the length changes.
+4. ``mixing``: each document is repeated as often as the mix takes it, which may be never.
+5. ``packing``: the words of all copies are packed into sequences.
+
+Nulls in any column, empty texts, repeated rows and empty tables are treated as the operators say;
+no stage drops a row for them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verbatlas.llm import mixing, ngram_join, packing, secrets, toxicity
+from verbatlas.llm.tables import DOCUMENTS, read
+from verbatlas.session import materialise
+
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(toxicity.with_labels(docs, read(spark, sf_dir, "labels")))
+    return toxicity.keep_below(docs.select(*DOCUMENTS), model, TOXIC)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*DOCUMENTS)
+    classes = ngram_join.join(docs)
+    kept = classes.where("id = class_id").groupBy("id").agg(F.count(F.lit(1)).alias("_times"))
+    found = docs.join(kept, docs["doc_id"] == kept["id"]).drop("id")
+    once = found.where("_times = 1").select(*DOCUMENTS)
+    several = found.where("_times > 1").select(*DOCUMENTS).dropDuplicates()
+    return once.union(several).union(docs.where("doc_id is null"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*DOCUMENTS)
+    clean = secrets.redact(docs.withColumn("_was", F.length("text")), secrets.model_of(docs))
+    now = F.length("text")
+    n_chars = F.when(now != F.col("_was"), now.cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars).select(*DOCUMENTS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*DOCUMENTS)
+    mixed = mixing.apply(docs, mixing.plan(docs)).where("_mixed.copies > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mixed.copies")))
+    return mixed.withColumn("_copy", copies).select(*DOCUMENTS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_texts(docs).withColumnRenamed("id", "doc_id")
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+# FTRL, Markov models and best-fit packing have no form in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

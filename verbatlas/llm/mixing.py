@@ -123,60 +123,80 @@ def tilts(counted: DataFrame, wanted: DataFrame, most: int = MOST, steps: int =
     return state.select("key", "source_size", "n_all", "target", "tilt")
 
 
-def mix(
-    docs: DataFrame,
-    item_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: tuple = WEIGHTS,
-    share: float = SHARE,
-    most: int = MOST,
-) -> DataFrame:
-    """``id, key, size, source_size, target, rate, copies`` of every row."""
+def plan(docs: DataFrame, item_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """One row per source: ``key, source_size, n_all, target, tilt, cut, moved``, written once.
+
+    ``cut`` and ``moved`` say which documents get one copy more than the whole part of their rate.
+    """
     sizes = materialise(sized(docs, item_id, text, source), "sizes")
     counted = materialise(cells(sizes), "cells")
     wanted = targets(counted, weights, share, most)
     solved = tilts(counted, wanted, most)
     few = _few(wanted)
 
-    def with_source(df: DataFrame, of: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(of) if few else of, "key", "left")
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
 
-    rated = with_source(sizes, solved).withColumn("rate", F.coalesce(_rate(most), F.lit(1.0)))
-    rated = rated.withColumn("floor", F.floor("rate").cast("long"))
-    hashed = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
-    place = ((hashed - (F.col("rate") - F.col("floor")) + 1.0) / 2.0 * (1 << 24)).cast("long")
-    rated = rated.withColumn("place", F.when(F.col("floor") < most, place))
-    movable = materialise(rated.where("size > 0 and place is not null").select("id", "key", "size", "place"), "movable")
+    rated = _rated(sizes.join(small(solved), "key"), most)
+    movable = rated.where("size > 0 and place is not null").select("id", "key", "size", "place")
+    movable = materialise(movable, "movable")
 
     # The words that one more copy of some documents must give, source by source.
     floors = rated.groupBy("key").agg(F.sum(F.col("floor") * F.col("size")).alias("sure"))
-    cut = with_source(floors, solved.select("key", "target"))
+    cut = floors.join(small(solved.select("key", "target")), "key")
     cut = cut.select("key", F.lit(0).cast("long").alias("prefix"), (F.col("target") - F.col("sure")).alias("rest"))
     cut = materialise(cut.where("rest > 0"), "cut")
     for depth in (16, 8, 0):
-        inside = movable.join(F.broadcast(cut) if few else cut, "key")
-        inside = inside.where(F.shiftright("place", depth + 8) == F.col("prefix"))
+        inside = movable.join(small(cut), "key").where(F.shiftright("place", depth + 8) == F.col("prefix"))
         bins = inside.groupBy("key", F.shiftright("place", depth).alias("bin")).agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
-        before = Window.partitionBy("key").orderBy("bin")
-        bins = bins.withColumn("sum", F.sum("words").over(before)).withColumn("last", F.max("bin").over(Window.partitionBy("key")))
+        before, whole = Window.partitionBy("key").orderBy("bin"), Window.partitionBy("key")
+        bins = bins.withColumn("sum", F.sum("words").over(before)).withColumn("last", F.max("bin").over(whole))
         crossed = (F.col("sum") >= F.col("rest")) & (F.col("sum") - F.col("words") < F.col("rest"))
         crossed = crossed | ((F.col("bin") == F.col("last")) & (F.col("sum") < F.col("rest")))
-        cut = bins.where(crossed).select("key", F.col("bin").alias("prefix"), (F.col("rest") - F.col("sum") + F.col("words")).alias("rest"), "words")
-        cut = materialise(cut, "cut")
+        rest = F.col("rest") - F.col("sum") + F.col("words")
+        cut = materialise(bins.where(crossed).select("key", F.col("bin").alias("prefix"), rest.alias("rest"), "words"), "cut")
     over = F.col("rest") * 2 >= F.col("words")
     left = F.col("rest") - F.when(over, F.col("words")).otherwise(0)
     cut = materialise(cut.select("key", (F.col("prefix") + over.cast("long")).alias("cut"), left.alias("left")), "cut")
 
     # One document of each source changes sides if that brings the words nearer to the target.
-    below = F.col("place") < F.col("cut")
-    miss = F.abs(F.col("left") - F.when(below, -F.col("size")).otherwise(F.col("size")))
-    moved = movable.join(F.broadcast(cut) if few else cut, "key").where(miss < F.abs("left"))
+    change = F.when(F.col("place") < F.col("cut"), -F.col("size")).otherwise(F.col("size"))
+    miss = F.abs(F.col("left") - change)
+    moved = movable.join(small(cut), "key").where(miss < F.abs("left"))
     moved = moved.groupBy("key").agg(F.min(F.struct(miss, "place", "id")).alias("one")).select("key", F.col("one.id").alias("moved"))
-    out = with_source(with_source(rated, cut), moved)
-    more = F.coalesce((below != F.coalesce(F.col("id") == F.col("moved"), F.lit(False))).cast("long"), F.lit(0))
-    none = (F.lit(0).cast("long"), F.lit(0.0))
-    return out.select(
-        "id", "key", "size", F.coalesce("source_size", none[0]).alias("source_size"),
-        F.coalesce("target", none[1]).alias("target"), "rate", (F.col("floor") + more).alias("copies"),
+    return materialise(solved.join(cut.select("key", "cut"), "key", "left").join(moved, "key", "left"), "plan")
+
+
+def _rated(sizes: DataFrame, most: int) -> DataFrame:
+    """Adds ``rate``, its whole part ``floor`` and the ``place`` of the rest among 2**24, null at the most."""
+    rated = sizes.withColumn("rate", F.coalesce(_rate(most), F.lit(1.0))).withColumn("floor", F.floor("rate").cast("long"))
+    hashed = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
+    place = ((hashed - (F.col("rate") - F.col("floor")) + 1.0) / 2.0 * (1 << 24)).cast("long")
+    return rated.withColumn("place", F.when(F.col("floor") < most, place))
+
+
+def apply(docs: DataFrame, planned: DataFrame, item_id: str = "doc_id", text: str = "text", source: str = "source", most: int = MOST, column: str = "_mixed") -> DataFrame:
+    """All columns of ``docs`` and a struct ``column`` of ``id, size, source_size, target, rate, copies``.
+
+    The plan has a row per source, so the texts are not shuffled.
+    """
+    all_columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        all_columns.alias("row"), F.col(item_id).cast("long").alias("id"),
+        source_key(F.col(source)).alias("key"), word_count(F.col(text).cast("string")).alias("size"),
     )
+    rated = _rated(rows.join(F.broadcast(planned) if _few(planned) else planned, "key", "left"), most)
+    below = F.coalesce(F.col("place") < F.col("cut"), F.lit(False))
+    more = F.coalesce(below != (F.col("id") == F.col("moved")), below)
+    more = F.when(F.col("place").isNull() | (F.col("size") == 0), False).otherwise(more).cast("long")
+    result = F.struct(
+        "id", "size", F.coalesce("source_size", F.lit(0).cast("long")).alias("source_size"),
+        F.coalesce("target", F.lit(0.0)).alias("target"), "rate", (F.col("floor") + more).alias("copies"),
+    )
+    return rated.select("row.*", result.alias(column))
+
+
+def mix(docs: DataFrame, item_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """``id, size, source_size, target, rate, copies`` of every row."""
+    planned = plan(docs, item_id, text, source, weights, share, most)
+    return apply(docs, planned, item_id, text, source, most).select("_mixed.*")

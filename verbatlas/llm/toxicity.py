@@ -167,6 +167,19 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings(), item_i
     return texts(docs, item_id, text).mapInArrow(run, "id long, score double")
 
 
+def keep_below(docs: DataFrame, model: Model, limit: float, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below ``limit``, with all their columns, in one pass."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for part in tokens.slices(batch, batch.schema.names[at]):
+                yield part.filter(pa.array(scores(part.column(at), sent.value, settings) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def with_labels(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, text, label`` of the rows to learn from: those of two of three folds, bounded first.
 
