@@ -198,5 +198,6 @@ def apply(docs: DataFrame, planned: DataFrame, item_id: str = "doc_id", text: st
 
 def mix(docs: DataFrame, item_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """``id, size, source_size, target, rate, copies`` of every row."""
-    planned = plan(docs, item_id, text, source, weights, share, most)
-    return apply(docs, planned, item_id, text, source, most).select("_mixed.*")
+    docs = docs.select(F.col(item_id).alias("id"), F.col(text).alias("text"), F.col(source).alias("source"))
+    planned = plan(docs, "id", "text", "source", weights, share, most)
+    return apply(docs, planned, "id", "text", "source", most).select("_mixed.*")

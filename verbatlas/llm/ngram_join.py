@@ -4,10 +4,9 @@
    equal sets form one member; only its least id goes on.
 2. ``bands`` picks rows and bands for a target recall at the threshold. Band hashes are shuffled
    together with one byte of each MinHash value.
-3. Within a bucket every member is compared with a few leaders by these bytes, and tied to each one that
-   is near enough: whatever is at a distance of ``1 - threshold`` from a member that belongs to a leader
-   is at most twice as far from that leader (Jaccard distance is a metric), so no pair is torn apart.
-   A bucket is read as a stream; neither its pairs nor its rows are held together.
+3. Within a bucket, members whose bytes agree as often as a similarity little below the threshold would
+   make them are tied together by a forest, so a bucket gives fewer ties than it has members. A bucket
+   is held as some 100 bytes for each of its members, which all differ in their shingles.
 4. Members tied together form groups. Groups are cut into blocks, each pair of blocks is one unit of
    work, to which the texts of both come, and all pairs in it are verified exactly. Out come the number
    of links of each member and a spanning forest, not the pairs.
@@ -39,7 +38,6 @@ THRESHOLD = 0.8
 RECALL = 0.999
 MOST_HASHES = 128
 BLOCK = 128  # members of a group that are compared as a block
-STREAM_ROWS = 20_000  # rows of a bucket held at once
 MARGIN = 0.17  # four standard deviations of a similarity estimated from 90 bytes
 
 
@@ -119,59 +117,51 @@ def _signed(values: np.ndarray, at: np.ndarray) -> list:
     return (values.view(np.int64)[at] if len(values) else np.zeros(len(at), np.int64)).tolist()
 
 
-class _Bucket:
-    """One bucket as it streams by: its leaders, and the ties found."""
+def tie(ids: np.ndarray, sketches: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a forest that connects the members of one bucket whose sketches are alike.
 
-    def __init__(self, threshold: float):
-        self.near = threshold - MARGIN / 4  # members as near as this need no leader of their own
-        self.reach = 2 * threshold - 1 - MARGIN
-        self.leaders: list[tuple[int, np.ndarray]] = []
-
-    def add(self, ids: np.ndarray, sketches: np.ndarray) -> list[tuple[np.ndarray, int]]:
-        free, ties = np.ones(len(ids), bool), []
-
-        def tie(leader: int, sketch: np.ndarray) -> None:
-            alike = ((sketches == sketch).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            free[alike >= self.near] = False
-            ties.append((ids[(alike >= self.reach) & (ids != leader)], leader))
-
-        for leader, sketch in self.leaders:
-            tie(leader, sketch)
-        while free.any():
-            k = int(np.argmax(free))
-            free[k] = False
-            self.leaders.append((int(ids[k]), sketches[k]))
-            tie(*self.leaders[-1])
-        return ties
+    Found breadth first: a member is compared with those that nothing has reached yet, so a group of near
+    copies is connected by its first member, and the edges are fewer than the members.
+    """
+    free = np.arange(len(ids))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    waiting: list[int] = []
+    while len(free):
+        if not waiting:
+            waiting, free = [int(free[0])], free[1:]
+        k = waiting.pop()
+        alike = ((sketches[free] == sketches[k]).mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= least
+        found, free = free[alike], free[~alike]
+        waiting += found.tolist()
+        left.append(ids[found])
+        right.append(np.full(len(found), ids[k]))
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _ties(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Ties ``a, b`` of the buckets, whose rows follow each other."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    current = None
 
+    def done() -> Iterator[pa.RecordBatch]:
+        if sum(len(i) for i, _ in held) > 1:
+            a, b = tie(np.concatenate([i for i, _ in held]), np.concatenate([s for _, s in held]), least)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-def _ties(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Ties ``a, b`` of the buckets, whose rows follow each other."""
-    current, bucket = None, None
-    held: tuple | None = None
     for batch in batches:
-        keys = batch.column("key").to_numpy()
-        ids = batch.column("id").to_numpy()
-        if not len(keys):
+        if not batch.num_rows:
             continue
+        keys, ids = batch.column("key").to_numpy(), batch.column("id").to_numpy()
         flat = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
         at = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
-        found = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if keys[a] != current:
-                current, bucket, held = keys[a], None, None
-            if b - a == 1 and bucket is None and held is None and b < len(keys):
-                continue  # alone in its bucket
-            if bucket is None:
-                bucket = _Bucket(threshold)
-            held = ()
-            for c in range(a, b, STREAM_ROWS):
-                d = min(b, c + STREAM_ROWS)
-                found += bucket.add(ids[c:d], flat[c:d])
-        if found:
-            left = np.concatenate([m for m, _ in found])
-            right = np.concatenate([np.full(len(m), leader) for m, leader in found])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+                yield from done()
+                current, held = keys[a], []
+            if held or b - a > 1 or b == len(keys):  # else alone in its bucket
+                held.append((ids[a:b], flat[a:b]))
+    yield from done()
 
 
 def _union(parent: dict, a: int, b: int) -> bool:
@@ -277,7 +267,7 @@ def join(
     dealt = members.select(F.explode("keys").alias("key"), F.col("member").alias("id"), "sketch")
     width = _width(docs.sparkSession)
     dealt = dealt.repartition(width, "key").sortWithinPartitions("key", "id")
-    ties = dealt.mapInArrow(lambda it: _ties(it, threshold), "a long, b long")
+    ties = dealt.mapInArrow(lambda it: _ties(it, threshold - MARGIN), "a long, b long")
     groups = components(ties).toDF("member", "group")
 
     weights = members.groupBy("member").agg(F.max("copies").alias("weight"))
