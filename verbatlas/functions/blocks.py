@@ -13,6 +13,11 @@ import pyarrow as pa
 
 # Cells of the largest temporary array in one step (float64, so 8 bytes each).
 CELLS = 4_000_000
+TILE_CELLS = 32_768
+
+# Distances are compared to so many decimals. Vectors at the same distance whose float
+# sums differ in the last bits are then ordered by id, on every machine alike.
+TIE_DIGITS = 9
 
 
 def to_matrix(column: pa.Array, dim: int | None = None) -> np.ndarray:
@@ -88,6 +93,13 @@ def screen(vectors: np.ndarray, refs: np.ndarray, metric: str, p: float = 2.0) -
         with np.errstate(invalid="ignore", divide="ignore"):
             return np.nan_to_num(1.0 - (refs @ vectors.T) / rr[:, None] / vv[None, :], nan=np.inf)
     out = np.empty((len(refs), len(vectors)))
+    if metric in ("cityblock", "chebyshev"):
+        # Tiles of references whose differences to all vectors stay in the cache.
+        tile = max(1, TILE_CELLS // max(vectors.size, 1))
+        join = np.sum if metric == "cityblock" else np.max
+        for i in range(0, len(refs), tile):
+            out[i : i + tile] = join(np.abs(vectors[None] - refs[i : i + tile, None]), axis=2)
+        return np.nan_to_num(out, copy=False, nan=np.inf)
     for i, ref in enumerate(refs):
         out[i] = row_distance(vectors, np.broadcast_to(ref, vectors.shape), metric, p)
     return np.nan_to_num(out, copy=False, nan=np.inf)
@@ -144,7 +156,7 @@ def nearest_ref(
         limit[~np.isfinite(limit)] = -np.inf
         ri, vi = np.nonzero(approx <= limit[None, :])
         exact = _exact_pairs(part, vi, refs, ri, metric, p)
-        order = np.lexsort((ri, exact, vi))
+        order = np.lexsort((ri, np.round(exact, TIE_DIGITS), vi))
         vi, ri, exact = vi[order], ri[order], exact[order]
         first = np.r_[True, vi[1:] != vi[:-1]] if len(vi) else np.zeros(0, bool)
         best[start + vi[first]] = ri[first]
@@ -157,32 +169,56 @@ def within(
     refs: np.ndarray,
     metric: str,
     p: float,
-    k: int | None,
+    k: int,
     bounds: np.ndarray,
+    tie: np.ndarray,
+    place: np.ndarray | None = None,
+    below: float | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (ref index, vector index, exact distance) that can still matter.
+    """The first ``k`` vectors of every reference: (ref index, vector index, exact distance).
 
-    With ``k``, a pair is dropped only if its reference has ``k`` closer vectors in
-    this block; ``bounds`` holds a distance per reference beyond which none counts.
+    First means nearest, or lowest in ``place`` where that is given; what counts as equal is
+    ordered by ``tie``. ``bounds`` holds a distance per reference beyond which none counts,
+    ``below`` one that all must stay under. What has been found is cut to ``k`` per reference
+    whenever it has doubled, so memory is that of ``k`` per reference and one step.
     """
-    out_r, out_v, out_d = [], [], []
+    limits = np.array(bounds, float)
+    held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    waiting: list[tuple] = []
+    size = 0
+
+    def merge() -> None:
+        nonlocal held, waiting, size
+        ri, vi, dist = (np.concatenate(c) for c in zip(held, *waiting, strict=True))
+        first = np.round(dist, TIE_DIGITS) if place is None else place[vi]
+        top = keep_first(ri, [first, tie[vi]], k)
+        held = ri[top], vi[top], dist[top]
+        waiting, size = [], 0
+        if place is None and len(top):
+            found, start, counts = np.unique(held[0], return_index=True, return_counts=True)
+            worst = np.maximum.reduceat(held[2], start)
+            full = counts == k
+            limits[found[full]] = np.minimum(limits[found[full]], worst[full])
+
     rows = step_rows(len(refs), vectors.shape[1])
     for start in range(0, len(vectors), rows):
         part = vectors[start : start + rows]
         approx = screen(part, refs, metric, p)
         spare = slack(part, refs, metric)
-        limit = screened_bound(bounds, metric) + spare
-        keep = (approx <= limit[:, None]) & np.isfinite(approx)
-        if k is not None and len(part) > k and np.count_nonzero(keep) > 2 * k * len(refs):
+        keep = (approx <= (screened_bound(limits, metric) + spare)[:, None]) & np.isfinite(approx)
+        if place is None and len(part) > k and np.count_nonzero(keep) > 2 * k * len(refs):
             kth = np.partition(approx, k - 1, axis=1)[:, k - 1] + spare
             keep &= approx <= kth[:, None]
         ri, vi = np.nonzero(keep)
-        out_d.append(_exact_pairs(part, vi, refs, ri, metric, p))
-        out_r.append(ri)
-        out_v.append(vi + start)
-    if not out_r:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(out_r), np.concatenate(out_v), np.concatenate(out_d)
+        dist = _exact_pairs(part, vi, refs, ri, metric, p)
+        if below is not None:
+            ri, vi, dist = ri[dist < below], vi[dist < below], dist[dist < below]
+        waiting.append((ri, vi + start, dist))
+        size += len(ri)
+        if size >= max(CELLS, len(held[0])):
+            merge()
+    merge()
+    return held
 
 
 def keep_first(group: np.ndarray, orders: list[np.ndarray], n: int) -> np.ndarray:

@@ -28,7 +28,6 @@ from verbatlas.session import materialise
 KMEANS_SEED = 4526
 ENSEMBLE_SEED = 153
 MINIBATCH_CHUNK = 300_000
-ENSEMBLE_CHUNK = 100_000
 ENSEMBLE_CHUNKS = 5
 SECOND_LEVEL_K = 100
 
@@ -246,7 +245,7 @@ def ensemble(
     k: int,
     components: int,
     *,
-    chunk_size: int = ENSEMBLE_CHUNK,
+    chunk_size: int | None = None,
     chunks: int = ENSEMBLE_CHUNKS,
     ordinal: str = "ordinal",
     item_id: str = "script_id",
@@ -255,19 +254,23 @@ def ensemble(
 ) -> DataFrame:
     """Reduce and cluster growing prefixes of the corpus: ``chunk_no, item_id, label``.
 
-    Fit ``i`` covers the chunks ``0..i``; at most ``chunks`` fits are made, as many as
-    the corpus has chunks. Labels of different fits are not matched with each other.
+    Fit ``i`` covers the chunks ``0..i``, and the last fit the whole corpus: without
+    ``chunk_size`` the corpus has ``chunks`` chunks, with it as many as it takes. Labels
+    of different fits are not matched with each other.
     """
     n = vectors.agg(F.max(ordinal).alias("m")).first()["m"]
-    fits = 0 if n is None else min(chunks, n // chunk_size + 1)
+    size = chunk_size or (1 if n is None else -(-(n + 1) // chunks))
+    fits = 0 if n is None else n // size + 1
     parts = []
     for i in range(fits):
-        prefix = vectors.filter(F.col(ordinal) < (i + 1) * chunk_size)
+        prefix = vectors.filter(F.col(ordinal) < (i + 1) * size)
         points = materialise(reduce(prefix, components, vector=vector, keep=[item_id]), "ensemble")
         points = points.withColumn("features", array_to_vector("reduced"))
         model = KMeans(k=k, seed=seed, predictionCol="label").fit(points)
         labels = model.transform(points).select(F.lit(i).alias("chunk_no"), item_id, "label")
         parts.append(labels)
+    if not parts:
+        raise ValueError("there are no vectors to cluster")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -27,39 +27,34 @@ from verbatlas.session import BROADCAST_LIMIT_BYTES, scratch_path
 # A table with no more rows than this is fetched without numbering its rows first.
 HEAD_ROWS = 16_384
 
-# Distances are compared to so many decimals. Vectors at the same distance whose float
-# sums differ in the last bits are then ordered by id, on every machine alike.
-TIE_DIGITS = 9
-
 # Longest IN list pushed to the scan of a keyed corpus; with more keys it reads all.
 PRUNE_KEYS = 1000
 
 
 def bounded_blocks(
-    df: DataFrame, vector: str, order_by: Sequence[str], limit_bytes: int | None = None
+    df: DataFrame, vector: str, order_by: Sequence[str], limit_bytes: int | None = None, results: int = 0
 ) -> Iterator[pa.Table]:
     """The rows of ``df`` as Arrow tables, none larger than the broadcast limit.
 
     Blocks of a table above the limit follow ``order_by``, so rows with equal keys
-    stay together and a keyed scan of one block touches few partitions.
+    stay together and a keyed scan of one block touches few partitions. ``results`` is
+    the number of results that a task holds for every row.
     """
-    # take() stops after the first few partitions of a large table.
-    if len(df.select(F.lit(1)).take(HEAD_ROWS + 1)) <= HEAD_ROWS:
-        table = df.toArrow()
-        if table.num_rows <= _block_rows(table, vector, limit_bytes):
-            yield table
-            return
+    # One job: limit() stops after the first few partitions of a large table.
+    table = df.limit(HEAD_ROWS + 1).toArrow()
+    if table.num_rows <= min(HEAD_ROWS, _block_rows(table, vector, limit_bytes, results)):
+        yield table
+        return
     numbered = global_ordinals(df, order_by, "_position")
-    one = numbered.select(vector).filter(F.col("_position") == 0).toArrow()
-    rows = _block_rows(one, vector, limit_bytes)
+    rows = _block_rows(table, vector, limit_bytes, results)
     for start in range(0, numbered.count(), rows):
         block = numbered.filter((F.col("_position") >= start) & (F.col("_position") < start + rows))
         yield block.drop("_position").toArrow()
 
 
-def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None) -> int:
+def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None, results: int) -> int:
     width = max(1, len(sample[vector][0])) if sample.num_rows else 1
-    return max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * width))
+    return max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * (width + results)))
 
 
 def _check_metric(metric: str) -> None:
@@ -75,10 +70,16 @@ def _values(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-def _by_key(keys: np.ndarray) -> dict:
-    order = np.argsort(keys, kind="stable")
-    uniq, starts = np.unique(keys[order], return_index=True)
-    return dict(zip(uniq.tolist(), np.split(order, starts[1:])))
+def _by_key(keys: pa.Array) -> dict:
+    """Row numbers by key; only the distinct keys become Python objects."""
+    if isinstance(keys, pa.ChunkedArray):
+        keys = keys.combine_chunks()
+    coded = keys.dictionary_encode()
+    codes = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    uniq, starts = np.unique(codes[order], return_index=True)
+    names = coded.dictionary.to_pylist()
+    return {names[c]: rows for c, rows in zip(uniq.tolist(), np.split(order, starts[1:])) if c >= 0}
 
 
 def assign(
@@ -120,7 +121,7 @@ def assign(
             (
                 _values(table[centre_id]),
                 blocks.to_matrix(table[centroid]),
-                _by_key(_values(table[key])) if key else None,
+                _by_key(table[key]) if key else None,
             )
         )
 
@@ -133,13 +134,14 @@ def assign(
                 if groups is None:
                     best, dist = blocks.nearest_ref(data, matrix, metric, p)
                 else:
-                    for value, rows in _by_key(_values(batch.column(key))).items():
+                    for value, rows in _by_key(batch.column(key)).items():
                         if value in groups:
                             at, d = blocks.nearest_ref(data[rows], matrix[groups[value]], metric, p)
                             best[rows] = np.where(at >= 0, groups[value][at], -1)
                             dist[rows] = d
                 old = batch.column("_d").to_numpy(zero_copy_only=False).astype(float)
-                better = (best >= 0) & ~(old <= dist)
+                digits = blocks.TIE_DIGITS
+                better = (best >= 0) & ~(np.round(old, digits) <= np.round(dist, digits))
                 new_ids = pa.array(ids[np.maximum(best, 0)].tolist(), batch.column("_id").type)
                 columns = [batch.column(c) for c in passed]
                 columns.append(pc.if_else(pa.array(better), new_ids, batch.column("_id")))
@@ -193,9 +195,9 @@ def nearest(
         raise ValueError("first_n needs item_rank and max_distance")
     spark = queries.sparkSession
     shared_cols = list(dict.fromkeys([*([key] if key else []), *prune_by]))
-    q = queries.filter(F.col(query_vector).isNotNull()).select(query_id, query_vector, *shared_cols)
+    q = queries.filter(F.col(query_vector).isNotNull() & F.col(query_id).isNotNull()).select(query_id, query_vector, *shared_cols)
     columns = [item_id, vector] + ([key] if key else []) + ([item_rank] if mode == "first_n" else [])
-    c = corpus.filter(F.col(vector).isNotNull())
+    c = corpus.filter(F.col(vector).isNotNull() & F.col(item_id).isNotNull())
     schema = T.StructType(
         [
             q.schema[query_id],
@@ -228,12 +230,12 @@ def nearest(
             (
                 table[query_id].combine_chunks() if table.num_rows else None,
                 blocks.to_matrix(table[query_vector]),
-                _by_key(_values(table[key])) if key else None,
+                _by_key(table[key]) if key else None,
                 bounds,
             )
         )
         in_use.append(shared)
-        per_task = k if mode == "top_k" else None
+        by_distance = mode == "top_k"
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query_ids, matrix, groups, limits = shared.value
@@ -245,31 +247,33 @@ def nearest(
             for batch in batches:
                 item_type = batch.column(item_id).type
                 data = blocks.to_matrix(batch.column(vector), matrix.shape[1])
+                tie = pc.rank(batch.column(item_id), tiebreaker="dense").to_numpy(zero_copy_only=False)
+                ranks = None if by_distance else _values(batch.column(item_rank)).astype(float)
                 found = []
                 if groups is None:
-                    found.append(blocks.within(data, matrix, metric, p, per_task, limits))
+                    found.append(blocks.within(data, matrix, metric, p, k, limits, tie, ranks, max_distance))
                 else:
-                    for value, rows in _by_key(_values(batch.column(key))).items():
+                    for value, rows in _by_key(batch.column(key)).items():
                         refs = groups.get(value)
                         if refs is not None:
-                            r, v, d = blocks.within(data[rows], matrix[refs], metric, p, per_task, limits[refs])
+                            own = None if ranks is None else ranks[rows]
+                            r, v, d = blocks.within(
+                                data[rows], matrix[refs], metric, p, k, limits[refs], tie[rows], own, max_distance
+                            )
                             found.append((refs[r], rows[v], d))
                 if not found:
                     continue
                 qi = np.concatenate([f[0] for f in found])
                 vi = np.concatenate([f[1] for f in found])
                 dist = np.concatenate([f[2] for f in found])
-                if max_distance is not None:
-                    close = dist < max_distance
-                    qi, vi, dist = qi[close], vi[close], dist[close]
-                items = _values(batch.column(item_id))[vi]
-                place = np.round(dist, TIE_DIGITS) if per_task else _values(batch.column(item_rank))[vi].astype(float)
+                items = _values(batch.column(item_id).take(pa.array(vi)))
+                place = np.round(dist, blocks.TIE_DIGITS) if by_distance else ranks[vi]
                 if held is not None:
                     qi, items = np.concatenate([held[0], qi]), np.concatenate([held[1], items])
                     dist, place = np.concatenate([held[2], dist]), np.concatenate([held[3], place])
                 top = blocks.keep_first(qi, [place, items], k)
                 held = qi[top], items[top], dist[top], place[top]
-                if per_task:
+                if by_distance:
                     full, first, counts = np.unique(held[0], return_index=True, return_counts=True)
                     worst = np.maximum.reduceat(held[2], first) if len(first) else held[2]
                     limits[full[counts == k]] = np.minimum(limits[full], worst)[counts == k]
@@ -288,7 +292,7 @@ def nearest(
         return first_per_group(partial, [query_id], ["_order", item_id], k)
 
     path, results = None, []
-    for number, table in enumerate(bounded_blocks(q, query_vector, [*shared_cols, query_id], limit_bytes)):
+    for number, table in enumerate(bounded_blocks(q, query_vector, [*shared_cols, query_id], limit_bytes, k)):
         results.append(one_block(table))
         if path is None and number > 0:
             path = scratch_path(spark, "nearest")
@@ -302,5 +306,5 @@ def nearest(
                 in_use.pop().unpersist()
     out = results[0] if path is None else spark.read.parquet(path)
     if mode == "first_n":
-        out = first_per_group(out.drop("rank"), [query_id], [F.round("distance", TIE_DIGITS), item_id], k)
+        out = first_per_group(out.drop("rank"), [query_id], [F.round("distance", blocks.TIE_DIGITS), item_id], k)
     return out.select(query_id, item_id, "rank", "distance")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbatlas.operators.ordering import global_ordinals
-from verbatlas.session import materialise
+from verbatlas.session import broadcast_if_small, materialise
 
 _HASH_DIGITS = 15  # hex digits of md5, compared as text
 
@@ -41,19 +41,21 @@ def sample_exact(df: DataFrame, n: int, item_id: str = "script_id", seed: int =
     return df.filter((key < edge) | ((key == edge) & (F.col(item_id) <= F.lit(last[item_id]))))
 
 
-def sample_approximate(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
 def sample_with_replacement(df: DataFrame, n: int, ordinal: str = "ordinal", seed: int = 0) -> DataFrame:
-    """``n`` draws; a row comes out as often as its ordinal was drawn."""
-    top = df.agg(F.max(ordinal).alias("m")).first()["m"]
-    if top is None:
+    """``n`` draws; a row comes out as often as its place was drawn.
+
+    Places are 0..count-1 in the order of ``ordinal``, so gaps in the ordinals lose no draw. Draw i
+    takes a place by the hash of seed and i, which is the same in every session.
+    """
+    total = df.count()
+    if not total:
         return df.withColumn("draw", F.lit(None).cast("bigint")).limit(0)
-    draws = df.sparkSession.range(n).select(
-        F.col("id").alias("draw"), F.floor(F.rand(seed) * F.lit(top + 1)).cast("bigint").alias(ordinal)
-    )
-    return draws.join(df, ordinal)
+    places = global_ordinals(df.select(ordinal), [ordinal], "_place")
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary")), 1, _HASH_DIGITS)
+    place = F.conv(digits, 16, 10).cast("bigint") % F.lit(total)
+    draws = df.sparkSession.range(n).select(F.col("id").alias("draw"), place.alias("_place"))
+    drawn = materialise(draws.join(places, "_place").select("draw", ordinal), "draws")
+    return broadcast_if_small(drawn).join(df, ordinal)
 
 
 def prefix(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:

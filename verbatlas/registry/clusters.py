@@ -245,8 +245,7 @@ def pca_keeps_lengths(spark, folder):
 
 def _ensemble(spark, folder):
     v = vectors(spark, folder).withColumnRenamed("vec_id", "ordinal")
-    size = math.ceil(v.count() / C.ENSEMBLE_CHUNKS)
-    return C.ensemble(v, 5, 8, chunk_size=size, item_id="ordinal")
+    return C.ensemble(v, 5, 8, item_id="ordinal")
 
 
 @query()

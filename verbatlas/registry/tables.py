@@ -187,7 +187,12 @@ def prefix_subset(spark, folder):
     return sampling.prefix(keys, 10_000).select("o_orderkey", "ordinal")
 
 
-@query()
+@query(
+    f"""select i as draw, doc_id as ordinal, {encoded("doc_id")} as script_id from
+        (select i, ('0x' || substr(md5('3:' || i), 1, 15))::bigint % (select count(*) from documents) as place
+         from range(100) t(i)) join
+        (select doc_id, row_number() over (order by doc_id) - 1 as r from documents) on place = r"""
+)
 def with_replacement(spark, folder):
     d = segments(spark, folder).select("ordinal", "script_id")
     return sampling.sample_with_replacement(d, 100, seed=3)
