@@ -32,10 +32,10 @@ from verbatlas.llm.tables import texts
 class Settings:
     rows: int = 6000  # most labelled rows to learn from: those with the smallest hash of the id
     passes: int = 3
-    alpha: float = 0.15  # rate of a coordinate before its gradients are counted
+    alpha: float = 1.0  # rate of a coordinate before its gradients are counted
     beta: float = 1.0
-    l1: float = 1.5
-    l2: float = 0.2
+    l1: float = 6.0
+    l2: float = 0.01
     bits: int = 40  # of a feature's hash
     seen: int = 3  # texts of the sample that must hold a feature
     weights: int = 200_000  # most weights kept, the largest ones
