@@ -285,3 +285,11 @@ def test_exhaustive_agrees_with_numpy(queries, segments):
         hit = search.exhaustive(queries.filter(F.col("query_id") == q.query_id), v, 1, "cityblock").first()
         ties = rows.script_id[np.round(d, 9) == np.round(d.min(), 9)]
         assert hit.script_id == ties.min()
+
+
+def test_lines_keep_the_order_of_their_files(spark, tmp_path):
+    sizes = {"a.txt": 2, "b.txt": 500, "c.txt": 30}
+    for name, n in sizes.items():
+        (tmp_path / name).write_text("".join(f"{name}-{k}\n" for k in range(n)))
+    got = [r.value for r in lines.read_lines(spark, str(tmp_path)).orderBy("position").collect()]
+    assert got == [f"{name}-{k}" for name, n in sizes.items() for k in range(n)]

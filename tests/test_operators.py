@@ -327,3 +327,61 @@ def test_quality_checks(spark):
     assert tally == {"n": 2, "vector_passed": 1, "text_passed": 1, "text_equal": 1, "failed": 1}
     ids = assign_ordinals(spark.range(20), ["id"]).select("script_id")
     assert quality.key_check(ids, 20).count() == 0 and quality.key_check(ids, 22).count() == 2
+
+
+def test_draws_survive_gaps(spark):
+    df = spark.range(100).filter("id % 2 = 0").withColumnRenamed("id", "ordinal")
+    got = sampling.sample_with_replacement(df, 300, seed=2).toPandas()
+    assert len(got) == 300 and (got.ordinal % 2 == 0).all() and got.ordinal.max() > 90
+    again = sampling.sample_with_replacement(df.repartition(7), 300, seed=2).toPandas()
+    assert sorted(zip(got.draw, got.ordinal)) == sorted(zip(again.draw, again.ordinal))
+
+
+def test_upsert_moves_a_key_to_another_block(spark, tmp_path):
+    path = str(tmp_path / "moved")
+    rows = [(str(k), k, "old") for k in range(20)] + [("95", 95, "old")]
+    maintain.save_blocks(spark.createDataFrame(rows, "script_id string, ordinal long, text string"), path, 10)
+    updates = [("3", 25, "new", 1), ("95", 8, "new", 1), ("7", 7, "b", 2), ("7", 7, "a", 2)]
+    updates = spark.createDataFrame(updates, "script_id string, ordinal long, text string, version int")
+    maintain.upsert_blocks(spark, path, updates, block_rows=10)
+    got = {r.script_id: (r.ordinal, r.text) for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == 21 and got["3"] == (25, "new") and got["95"] == (8, "new")
+    assert not (tmp_path / "moved" / "ord_block=9").exists()
+
+
+def test_ensemble_labels_every_vector(spark):
+    rows = [(k, [float(k % 7), float(k % 5), 1.0]) for k in range(120)]
+    df = spark.createDataFrame(rows, "ordinal long, vector array<double>")
+    for size, fits in ((None, 5), (20, 6)):
+        got = cluster.ensemble(df, 2, 2, chunk_size=size, item_id="ordinal").toPandas()
+        assert got.chunk_no.nunique() == fits and len(got[got.chunk_no == fits - 1]) == 120
+
+
+def test_mean_of_null_and_mixed_vectors(spark):
+    rows = [(1, None), (1, [1.0, 2.0]), (1, [3.0, 4.0])]
+    got = cluster.mean_vectors(spark.createDataFrame(rows, "g int, vector array<double>"), "g").first()
+    assert got.centroid == [2.0, 3.0] and got.n == 3
+    mixed = spark.createDataFrame([(1, [1.0]), (1, [1.0, 2.0])], "g int, vector array<double>")
+    with pytest.raises(Exception, match="exactly 2 components"):
+        cluster.mean_vectors(mixed, "g").collect()
+
+
+def test_within_holds_k_per_reference():
+    rng = np.random.default_rng(1)
+    data, refs = rng.normal(size=(3000, 8)), rng.normal(size=(400, 8))
+    tie = np.arange(3000)
+    old, blocks.CELLS = blocks.CELLS, 20_000
+    try:
+        r, v, d = blocks.within(data, refs, "euclidean", 2.0, 7, np.full(400, np.inf), tie)
+        place = rng.permutation(3000).astype(float)
+        r2, v2, _ = blocks.within(data, refs, "cityblock", 2.0, 3, np.full(400, 5.0), tie, place, 5.0)
+    finally:
+        blocks.CELLS = old
+    full = np.sqrt(((data[None] - refs[:, None]) ** 2).sum(2))
+    assert len(r) == 2800
+    for i in range(400):
+        assert sorted(v[r == i].tolist()) == sorted(np.argsort(full[i])[:7].tolist())
+    near = np.abs(data[None] - refs[:, None]).sum(2) < 5.0
+    for i in range(400):
+        close = np.flatnonzero(near[i])
+        assert sorted(v2[r2 == i].tolist()) == sorted(close[np.argsort(place[close])][:3].tolist())

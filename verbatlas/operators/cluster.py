@@ -41,13 +41,17 @@ def mean_vectors(
     """Component-wise mean per group, as one hash aggregate with a slot per component.
 
     Map-side partial sums leave one row per group and task, however large a group is.
-    The width of the vectors is looked up in the first row unless it is given.
+    The width of the vectors is looked up unless it is given; a vector of another width is
+    an error. Null vectors count in ``n`` only.
     """
     if width is None:
-        first = df.select(F.size(vector).alias("n")).first()
-        width = first["n"] if first else 0
-    means = [F.avg(F.col(vector)[i].cast("double")).alias(f"_m{i}") for i in range(width)]
-    sums = df.groupBy(group).agg(F.count("*").alias("n"), *means)
+        found = df.filter(F.col(vector).isNotNull()).agg(F.max(F.size(vector)).alias("n")).first()
+        width = found["n"] or 0
+    fits = F.col(vector).isNull() | (F.size(vector) == F.lit(width))
+    wrong = F.raise_error(F.lit(f"every vector must have exactly {width} components"))
+    rows = df.withColumn("_v", F.when(fits, F.col(vector)).otherwise(wrong))
+    means = [F.avg(F.col("_v")[i].cast("double")).alias(f"_m{i}") for i in range(width)]
+    sums = rows.groupBy(group).agg(F.count("*").alias("n"), *means)
     return sums.select(group, "n", F.array(*[F.col(f"_m{i}") for i in range(width)]).alias(out))
 
 
@@ -280,8 +284,3 @@ def ensemble(
 def silhouette(labelled: DataFrame, label: str = "label", vector: str = "vector") -> float:
     points = labelled.select(F.col(label).cast("int").alias("prediction"), array_to_vector(vector).alias("features"))
     return ClusteringEvaluator().evaluate(points)
-
-
-def assign_members(vectors: DataFrame, centres: DataFrame, **options) -> DataFrame:
-    """Nearest centre of every vector, then the rank inside the cluster."""
-    return members_ranked(assign(vectors, centres, **options))

@@ -2,8 +2,9 @@
 
 A table of segments, vectors or documents is laid out in blocks of ordinals
 (``ord_block``), one folder each. A change rewrites the blocks it touches and no
-other; Spark's dynamic overwrite swaps them in when the job commits, so a job that
-fails leaves the old version, and one that is run again gives the same table.
+other. New blocks are written aside first and moved in when the job commits, so a
+failing task changes nothing; a driver that dies during the move may leave blocks
+missing, and running the same change again from its source sets them right.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.window import Window
 
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.session import broadcast_if_small, materialise
-from verbatlas.sources.tables import PRUNE_BLOCKS, pick
+from verbatlas.sources.tables import pick
 
 BLOCK_ROWS = 1 << 20
 
@@ -42,16 +43,22 @@ def append_new(existing: DataFrame, arriving: DataFrame, key: str = "script_id")
     """The arriving rows whose key is not stored yet, each key once.
 
     The arriving keys are looked up in the store, so a short delivery does not make
-    the keys of the whole store move.
+    the keys of the whole store move. Of rows with one key the same one wins on every run.
     """
     known = pick(existing.select(key), arriving, key)
-    return arriving.join(known, key, "left_anti").dropDuplicates([key])
+    return _one_per_key(arriving.join(known, key, "left_anti"), key, [])
+
+
+def _one_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
+    """The first row of every key; what ties in ``order`` is decided by the content of the rows."""
+    content = F.xxhash64(*[F.col(c) for c in rows.columns])
+    window = Window.partitionBy(key).orderBy(*order, content)
+    return rows.withColumn("_place", F.row_number().over(window)).filter("_place = 1").drop("_place")
 
 
 def latest(versions: DataFrame, key: str, version: str) -> DataFrame:
-    """The row with the highest version per key."""
-    window = Window.partitionBy(key).orderBy(F.col(version).desc())
-    return versions.withColumn("_place", F.row_number().over(window)).filter("_place = 1").drop("_place")
+    """The row with the highest version per key; equal versions are decided by content."""
+    return _one_per_key(versions, key, [F.col(version).desc()])
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str = "script_id", version: str = "version") -> DataFrame:
@@ -74,15 +81,31 @@ def upsert_blocks(
     version: str = "version",
     block_rows: int = BLOCK_ROWS,
 ) -> None:
-    """Upsert into a saved table; the base is only read where an update falls."""
+    """Upsert into a saved table.
+
+    The base is read where an update falls or a key of one is stored; keys are looked up by
+    their column alone. One row per key remains.
+    """
     base = spark.read.parquet(path)
-    touched = with_block(updates, block_rows).select("ord_block").distinct()
-    numbers = [r["ord_block"] for r in touched.limit(PRUNE_BLOCKS + 1).collect()]
-    if len(numbers) <= PRUNE_BLOCKS:
-        affected = base.filter(F.col("ord_block").isin(numbers))
-    else:
-        affected = base.join(touched, "ord_block", "left_semi")
-    overwrite_blocks(upsert(affected.drop("ord_block"), updates, key, version), path, block_rows)
+    winners = materialise(latest(updates, key, version), "winners")
+    # An update may carry another ordinal than the row it replaces: that row's block is rewritten, too.
+    old = pick(base.select(key, "ord_block"), winners, key).select("ord_block")
+    touched = with_block(winners, block_rows).select("ord_block").union(old).distinct()
+    touched = materialise(touched, "blocks")
+    affected = base.join(broadcast_if_small(touched), "ord_block", "left_semi").drop("ord_block")
+    new = materialise(upsert(affected, winners, key, version), "rewritten")
+    overwrite_blocks(new, path, block_rows)
+    filled = with_block(new, block_rows).select("ord_block").distinct()
+    _drop_blocks(spark, path, touched.join(filled, "ord_block", "left_anti"))
+
+
+def _drop_blocks(spark: SparkSession, path: str, blocks: DataFrame) -> None:
+    """Remove the folders of blocks that have lost their last row."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in blocks.toLocalIterator():
+        files.delete(jvm.org.apache.hadoop.fs.Path(folder, f"ord_block={row['ord_block']}"), True)
 
 
 def delete_range(df: DataFrame, start: int, stop: int | None = None, ordinal: str = "ordinal") -> DataFrame:

@@ -10,10 +10,8 @@ from verbatlas.functions.text import chunk_key
 from verbatlas.operators.maintain import BLOCK_ROWS, append_new, upsert_blocks
 from verbatlas.operators.ordering import ranks_within
 
-# The size of a member chunk and the number of chunks the original
-# reader looked for. Reading back is uncapped unless the cap is asked for.
+# Fixed value: the size of a member chunk.
 CHUNK_SIZE = 16_384
-ORIGINAL_CHUNK_CAP = 19
 
 
 def documents(info: DataFrame, vectors: DataFrame, key: str = "script_id") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbatlas.session import broadcast_if_small
+
 
 def dedup_first(df: DataFrame, value: str, position: str) -> DataFrame:
     """Every value once, with the position of its first occurrence; empty values go."""
@@ -41,8 +43,12 @@ def reconcile(expected: DataFrame, stored: DataFrame, item_id: str = "script_id"
 
 
 def resolve(df: DataFrame, known: DataFrame, name: str, found: str, unresolved: str = "-") -> tuple[DataFrame, DataFrame]:
-    """Look names up in a table of known ids: ``(resolved rows, rejected rows)``."""
-    joined = df.join(known.select(name, found), name, "left")
+    """Look names up in a table of known ids: ``(resolved rows, rejected rows)``.
+
+    ``known`` has one row per name. It is sent to the rows where its size allows, since one
+    name may stand on a third of them.
+    """
+    joined = df.join(broadcast_if_small(known.select(name, found)), name, "left")
     bad = F.col(found).isNull() | (F.col(found) == unresolved)
     return joined.filter(~bad), joined.filter(bad).drop(found)
 

@@ -142,7 +142,8 @@ def search_published(
     members = materialise(members, "members")
     stored = members.join(pick(documents, members).select("script_id", "vector"), "script_id")
     # Order of a member: its chunk, then its place in it, as one exact number.
-    order = (F.col("chunk_no") * F.lit(1 << 20) + F.col("place")).cast("double")
+    longest = members.agg(F.max("place")).first()[0] or 0
+    order = (F.col("chunk_no") * F.lit(longest + 1) + F.col("place")).cast("double")
     hits = nearest(
         routed,
         stored.withColumn("_stored", order),

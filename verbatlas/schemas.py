@@ -1,6 +1,7 @@
 """Table layouts as DDL, declared once and enforced on read."""
 
 LINES = "value string"
+# Fixed value: the layout of the stored pages.
 API_PAGE = "items array<struct<snippet:struct<resourceId:struct<videoId:string>>>>, nextPageToken string"
 TRANSCRIPTS = "video_id string, segments array<struct<text:string,start:double,duration:double>>"
 SCRIPTS = "video_id string, text string, timestamp double, duration double"

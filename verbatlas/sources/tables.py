@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from verbatlas.functions.ids import decode_id, encode_id
 from verbatlas.session import broadcast_if_small, materialise
 
-# Up to so many block numbers are listed in the partition filter of a scan.
-PRUNE_BLOCKS = 1000
-
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
@@ -43,10 +40,9 @@ def pick(table: DataFrame, ids: DataFrame, key: str = "script_id", block_rows: i
     """
     wanted = materialise(ids.select(key).distinct(), "wanted")
     if block_rows is not None and "ord_block" in table.columns:
-        blocks = wanted.select(F.floor(decode_id(F.col(key)) / F.lit(block_rows)).alias("b")).distinct()
-        numbers = [r["b"] for r in blocks.limit(PRUNE_BLOCKS + 1).collect()]
-        if len(numbers) <= PRUNE_BLOCKS:
-            table = table.filter(F.col("ord_block").isin(numbers))
+        # A broadcast of the block numbers prunes folders at run time, however many there are.
+        blocks = wanted.select(F.floor(decode_id(F.col(key)) / F.lit(block_rows)).alias("ord_block")).distinct()
+        table = table.join(broadcast_if_small(materialise(blocks, "blocks")), "ord_block", "left_semi")
     return table.join(broadcast_if_small(wanted), key, "left_semi")
 
 
