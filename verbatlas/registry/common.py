@@ -10,6 +10,7 @@ from verbatlas.functions.text import cluster_key
 from verbatlas.operators.cluster import distance_to_own_centre, mean_vectors, members_ranked
 from verbatlas.operators.encode import HashedEncoder, embed
 from verbatlas.plans.index import VectorIndex
+from verbatlas.schemas import POSTINGS
 from verbatlas.session import materialise, spread
 
 ENCODER = HashedEncoder(64)
@@ -73,6 +74,15 @@ def label_index(spark: SparkSession, folder: str) -> VectorIndex:
     )
 
 
+def label_levels(spark: SparkSession, folder: str) -> VectorIndex:
+    """Only the two centroid tables of ``label_index``, which is all that routing reads."""
+    centres = materialise(label_centres(spark, folder), "centres")
+    level2 = mean_vectors(centres.select("lv2_id", "centroid"), "lv2_id", "centroid", width=64)
+    none = spark.createDataFrame([], POSTINGS)
+    lv1 = centres.select("cluster_id", "lv2_id", "centroid")
+    return VectorIndex(segments(spark, folder), none, lv1, level2.select("lv2_id", "centroid"))
+
+
 def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return embed(spread(segments(spark, folder)), ENCODER)
 

@@ -21,6 +21,7 @@ from verbatlas.registry.common import (
     hashed,
     label_centres,
     label_index,
+    label_levels,
     label_members,
     segments,
     table,
@@ -29,7 +30,7 @@ from verbatlas.registry.common import (
     time_plain,
     vectors,
 )
-from verbatlas.functions.ids import encode_id
+from verbatlas.functions.ids import decode_id, encode_id
 from verbatlas.functions.text import cluster_key
 from verbatlas.session import materialise, scratch_path
 
@@ -88,7 +89,7 @@ def _euclid(a: str, b: str) -> str:
         select query_id, cluster_id, round(d, 5) as distance from route"""
 )
 def route_one_level(spark, folder):
-    routed = S.route(as_queries(vectors(spark, folder)), label_index(spark, folder), 1, "euclidean")
+    routed = S.route(as_queries(vectors(spark, folder)), label_levels(spark, folder), 1, "euclidean")
     return routed.select("query_id", "cluster_id", F.round("distance", 5).alias("distance"))
 
 
@@ -97,7 +98,7 @@ def route_one_level(spark, folder):
         select query_id, lv2_id, cluster_id, round(d, 5) as distance from route"""
 )
 def route_two_level(spark, folder):
-    routed = S.route(as_queries(vectors(spark, folder)), label_index(spark, folder))
+    routed = S.route(as_queries(vectors(spark, folder)), label_levels(spark, folder))
     return routed.select("query_id", "lv2_id", "cluster_id", F.round("distance", 5).alias("distance"))
 
 
@@ -115,7 +116,7 @@ def search_one_level_first_n(spark, folder):
     hits = S.ranked_ids(
         as_queries(vectors(spark, folder)), index, 10, 1, "euclidean", "euclidean", THRESHOLD, "first_n"
     )
-    return _rounded(hits.join(index.postings.select("script_id", "vec_id"), "script_id"), "query_id", "vec_id")
+    return _rounded(hits.withColumn("vec_id", decode_id(F.col("script_id"))), "query_id", "vec_id")
 
 
 _TOP = """top as (select * from (select r.query_id, k.vec_id, {0} as d,
@@ -131,7 +132,7 @@ _TOP = """top as (select * from (select r.query_id, k.vec_id, {0} as d,
 def search_one_level_topk(spark, folder):
     index = label_index(spark, folder)
     hits = S.ranked_ids(as_queries(vectors(spark, folder)), index, 10, 1, "euclidean")
-    return _rounded(hits.join(index.postings.select("script_id", "vec_id"), "script_id"), "query_id", "vec_id")
+    return _rounded(hits.withColumn("vec_id", decode_id(F.col("script_id"))), "query_id", "vec_id")
 
 
 def _with_info(time) -> str:

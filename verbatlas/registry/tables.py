@@ -27,7 +27,6 @@ from verbatlas.registry.common import (
     segments,
     table,
     text_vectors,
-    vectors,
 )
 from verbatlas.session import materialise, scratch_path, spread
 from verbatlas.sources import tables as T
@@ -283,13 +282,14 @@ def backfill(spark, folder):
 
 # --- publishing ---------------------------------------------------------------------
 
-_DOC = """{id} as script_id, d.source as video_id, d.n_chars * 0.25::double as timestamp, md5(d.text) as text_md5,
-    round(list_sum(e.embedding::double[]), 5) + 0.0 as total"""
+_DOC = f"""with {hashed("h", "documents", "doc_id")} select {encoded("d.doc_id")} as script_id, d.source as video_id,
+    d.n_chars * 0.25::double as timestamp, md5(d.text) as text_md5, round(list_sum(hv.e), 5) + 0.0 as total
+    from documents d join hv on hv.id = d.doc_id where d.text <> ''"""
 
 
 def _docs(spark, folder):
-    v = vectors(spark, folder).withColumn("script_id", encode_id(F.col("vec_id")))
-    return P.documents(segments(spark, folder), v)
+    """Every document with its text, as segment and vector."""
+    return P.documents(segments(spark, folder), text_vectors(spark, folder))
 
 
 def _doc_shape(df):
@@ -303,7 +303,7 @@ def _doc_shape(df):
     )
 
 
-@query(f"select {_DOC.format(id=encoded('d.doc_id'))} from documents d join embeddings e on e.vec_id = d.doc_id")
+@query(_DOC)
 def publish_docs(spark, folder):
     """Published twice; the second time nothing is left to append."""
     path = scratch_path(spark, "published")
@@ -313,7 +313,7 @@ def publish_docs(spark, folder):
     return _doc_shape(spark.read.parquet(path))
 
 
-@query(f"select {_DOC.format(id=encoded('d.doc_id'))} from documents d join embeddings e on e.vec_id = d.doc_id")
+@query(_DOC)
 def publish_docs_json(spark, folder):
     path = scratch_path(spark, "published")
     docs = _docs(spark, folder)
@@ -338,18 +338,12 @@ def publish_docs_upsert(spark, folder):
     return stored.select("script_id", "video_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query(
-    f"""select {_DOC.format(id=encoded('d.doc_id'))} from documents d join embeddings e on e.vec_id = d.doc_id
-        where d.doc_id = 0"""
-)
+@query(f"{_DOC} and d.doc_id = 0")
 def seed_one(spark, folder):
     return _doc_shape(P.seed_document(_docs(spark, folder)))
 
 
-@query(
-    f"""select {_DOC.format(id=encoded('d.doc_id'))} from documents d join embeddings e on e.vec_id = d.doc_id
-        where d.doc_id not in (select doc_id from labels)"""
-)
+@query(f"{_DOC} and d.doc_id not in (select doc_id from labels)")
 def publish_omitted(spark, folder):
     """Documents that a reconciliation found missing, and no others."""
     docs = _docs(spark, folder)
