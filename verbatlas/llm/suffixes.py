@@ -103,15 +103,23 @@ def pieces(column: pa.Array, length: int = LENGTH, anchor: int = ANCHOR) -> tupl
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    names = ["anchor", "piece", "id", "key", "start", "n"]
+    """Pieces of every text; equal ones of a text, as periodic text has by the hundred, share a row."""
+    names = ["anchor", "piece", "id", "key", "n", "starts"]
     for batch in batches:
         for part in tokens.slices(batch, "body"):
             owner, start, sizes, anchors, prints = pieces(part.column("body"), length)
-            rows = pa.array(owner)
+            order = np.lexsort((start, prints, anchors, owner))
+            owner, start, sizes, anchors, prints = (x[order] for x in (owner, start, sizes, anchors, prints))
+            new = np.ones(len(owner), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1]) | (prints[1:] != prints[:-1])
+            first = np.flatnonzero(new)
+            bounds = pa.array(np.append(first, len(owner)), pa.int32())
+            rows = pa.array(owner[first])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(anchors.view(np.int64)), pa.array(prints.view(np.int64)),
-                    part.column("id").take(rows), part.column("key").take(rows), pa.array(start), pa.array(sizes),
+                    pa.array(anchors[first].view(np.int64)), pa.array(prints[first].view(np.int64)),
+                    part.column("id").take(rows), part.column("key").take(rows), pa.array(sizes[first]),
+                    pa.ListArray.from_arrays(bounds, pa.array(start, pa.int64())),
                 ],
                 names,
             )
@@ -206,12 +214,12 @@ def _each_suffix(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
 
 def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted pieces of each text."""
-    names = ["anchor", "piece", "n", "bytes"]
+    names = ["anchor", "piece", "n", "large", "bytes"]
     for batch in batches:
         found: list[tuple] = []
         for body, wanted in zip(batch.column("body").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
             data = (body or "").encode()
-            found += [(w["anchor"], w["piece"], w["n"], data[w["start"] : w["start"] + w["n"] + length - 1]) for w in wanted]
+            found += [(w["anchor"], w["piece"], w["n"], w["large"], data[w["start"] : w["start"] + w["n"] + length - 1]) for w in wanted]
             if len(found) > 4000:
                 yield _batch(found, names)
                 found = []
@@ -259,44 +267,43 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
     """``id, key, ranges``: the bytes to remove of each text that has any, as arrays of ``low, high``."""
     spark = plain.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "anchor long, piece long, id long, key long, start long, n long"
+    schema = "anchor long, piece long, id long, key long, n long, starts array<long>"
     cut = plain.mapInArrow(lambda it: _cut(it, length), schema)
-    often = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+    often = cut.groupBy("anchor").agg(F.sum(F.size("starts")).alias("times")).where("times > 1").select("anchor")
     cut = materialise(cut.join(often, "anchor", "left_semi"), "pieces")
 
-    distinct = cut.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "key", "start", "n")).alias("one"))
+    one = F.min(F.struct("id", "key", F.col("starts")[0].alias("start"), "n")).alias("one")
+    distinct = cut.groupBy("anchor", "piece").agg(F.sum(F.size("starts")).alias("times"), one)
     distinct = materialise(distinct, "distinct")
     several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    wanted = distinct.join(several, "anchor").select("anchor", "piece", "kinds", "one.*")
+    large = (F.col("kinds") > BUCKET).cast("long").alias("large")
+    wanted = distinct.join(several, "anchor").select("anchor", "piece", large, "one.*")
 
-    small = _bytes_of(plain, wanted.where(F.col("kinds") <= BUCKET), length)
-    small = small.repartition(width, "anchor").sortWithinPartitions("anchor", "piece")
+    fetched = materialise(_bytes_of(plain, wanted, length), "bytes")
+    small = fetched.where("large = 0").repartition(width, "anchor").sortWithinPartitions("anchor", "piece")
     found = small.mapInArrow(lambda it: _sorted_blocks(it, length), "anchor long, piece long, low long, high long")
-    large = wanted.where(F.col("kinds") > BUCKET)
-    if large.limit(1).count():
-        each = _bytes_of(plain, large, length).mapInArrow(
-            lambda it: _each_suffix(it, length), "whole long, anchor long, piece long, low long"
-        )
-        each = materialise(each, "suffixes")
-        shared = each.groupBy("whole").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("whole")
-        single = each.join(shared, "whole", "left_semi").groupBy("anchor", "piece").agg(F.sort_array(F.collect_list("low")).alias("lows"))
-        single = single.mapInArrow(_joined_lows, "anchor long, piece long, low long, high long")
-        found = found.union(single)
+    each = fetched.where("large = 1").mapInArrow(
+        lambda it: _each_suffix(it, length), "whole long, anchor long, piece long, low long"
+    )
+    each = materialise(each, "suffixes")
+    shared = each.groupBy("whole").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("whole")
+    single = each.join(shared, "whole", "left_semi").groupBy("anchor", "piece").agg(F.sort_array(F.collect_list("low")).alias("lows"))
+    single = single.mapInArrow(_joined_lows, "anchor long, piece long, low long, high long")
     whole = distinct.where("times > 1").select("anchor", "piece", F.lit(0).cast("long").alias("low"), F.col("one.n").alias("high"))
-    found = found.union(whole)
+    found = found.union(single).union(whole)
 
+    marked = cut.join(found, ["anchor", "piece"]).select("id", "key", "low", "high", F.explode("starts").alias("start"))
     at = (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high") + length - 1).alias("high")
-    marked = cut.join(found, ["anchor", "piece"]).select("id", "key", F.struct(*at).alias("range"))
-    return marked.groupBy("id", "key").agg(F.collect_set("range").alias("ranges"))
+    return marked.groupBy("id", "key").agg(F.collect_set(F.struct(*at)).alias("ranges"))
 
 
 def _bytes_of(plain: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``anchor, piece, n, bytes``: each text comes once, with all that is wanted of it."""
-    lists = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "piece", "start", "n")).alias("wanted"))
+    """``anchor, piece, n, large, bytes``: each text comes once, with all that is wanted of it."""
+    lists = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "piece", "start", "n", "large")).alias("wanted"))
     lists = lists.withColumnsRenamed({"id": "of", "key": "of_key"})
     same = F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
     fetched = plain.join(lists, same).select("body", "wanted")
-    return fetched.mapInArrow(lambda it: _fetch(it, length), "anchor long, piece long, n long, bytes binary")
+    return fetched.mapInArrow(lambda it: _fetch(it, length), "anchor long, piece long, n long, large long, bytes binary")
 
 
 def _joined_lows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
