@@ -244,6 +244,27 @@ def reduce(vectors: DataFrame, components: int = 3, *, vector: str = "vector", k
     return model.transform(points).select(*keep, vector_to_array("reduced").alias("reduced"))
 
 
+def covariance(vectors: DataFrame, vector: str = "vector") -> np.ndarray:
+    """Population covariance of the components; width x width sums come back from each task."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, 0.0, 0.0
+        for batch in batches:
+            data = blocks.to_matrix(batch.column(0))
+            if len(data):
+                n, total, product = n + len(data), total + data.sum(axis=0), product + data.T @ data
+        if n:
+            flat = np.concatenate(([float(n)], total, product.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["i", "x"])
+
+    parts = vectors.filter(F.col(vector).isNotNull()).select(vector).mapInArrow(add, "i bigint, x double")
+    rows = parts.groupBy("i").agg(F.sum("x").alias("x")).toPandas().sort_values("i")
+    width = int((np.sqrt(4 * len(rows) - 3) - 1) / 2)
+    flat = rows.x.to_numpy()
+    mean = flat[1 : width + 1] / flat[0]
+    return flat[width + 1 :].reshape(width, width) / flat[0] - np.outer(mean, mean)
+
+
 def ensemble(
     vectors: DataFrame,
     k: int,

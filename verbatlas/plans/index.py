@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatlas import schemas
+from verbatlas.functions.ids import encode_id
 from verbatlas.functions.text import cluster_key
 from verbatlas.operators import cluster, maintain
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.nearest import assign
-from verbatlas.operators.ordering import ranks_within
+from verbatlas.operators.ordering import global_ordinals, ranks_within
 from verbatlas.session import broadcast_if_small, materialise, spread
 
 
@@ -114,3 +115,43 @@ def build_index(
     groups = ["lv2_id", "cluster_id"] if k2 is not None else ["cluster_id"]
     postings = ranks_within(placed, groups, ["distance", "script_id"])
     return VectorIndex(segments, postings, lv1, lv2, in_order=True)
+
+
+def append_to_index(
+    spark: SparkSession,
+    path: str,
+    arrivals: DataFrame,
+    encoder: Encoder,
+    order_by: list[str],
+    block_rows: int = maintain.BLOCK_ROWS,
+) -> None:
+    """Add captions (``video_id, timestamp, text`` and what orders them) to a saved two-level index.
+
+    Ordinals go on where the index ends. New vectors join the cluster of the nearest level-1
+    centroid, as in the build; the level-2 folders they fall into are ranked anew and replaced, all
+    others stay as they are. Centroids do not move. Segments are written last: rows that a failed
+    run left among the postings get the same ids, and so the same places, when it is run again.
+    """
+    index = load_index(spark, path, block_rows=block_rows)
+    last = index.segments.agg(F.max("ordinal")).first()[0]
+    numbered = global_ordinals(arrivals, order_by, "_place")
+    numbered = numbered.withColumn("ordinal", F.col("_place") + F.lit(0 if last is None else last + 1))
+    rows = numbered.select("ordinal", encode_id(F.col("ordinal")).alias("script_id"), "video_id", "timestamp", "text")
+    rows = materialise(rows, "arrivals")
+
+    vectors = embed(spread(rows.select("script_id", "text")), encoder).drop("text")
+    placed = assign(vectors.withColumn("vector", F.col("vector").cast("array<float>")), index.lv1, keep=["vector"])
+    placed = placed.join(broadcast_if_small(index.lv1.select("cluster_id", "lv2_id")), "cluster_id")
+    names = ["lv2_id", "cluster_id", "script_id", "distance", "vector"]
+    placed = materialise(placed.select(*names), "placed")
+    touched = broadcast_if_small(materialise(placed.select("lv2_id").distinct(), "touched"))
+    stored = index.postings.join(touched, "lv2_id", "left_semi")
+    stored = stored.join(broadcast_if_small(placed.select("script_id")), "script_id", "left_anti")
+    ranked = ranks_within(stored.select(*names).unionByName(placed), ["lv2_id", "cluster_id"], ["distance", "script_id"])
+    ranked = materialise(ranked.select("cluster_id", "script_id", "rank", "distance", "vector", "lv2_id"), "ranked")
+    keys = ["lv2_id", "cluster_id", "rank"]
+    writer = ranked.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("lv2_id").parquet(f"{path}/postings")
+    blocks = maintain.with_block(rows, block_rows).repartitionByRange("ord_block", "ordinal")
+    blocks = blocks.sortWithinPartitions("ord_block", "ordinal")
+    blocks.write.mode("append").partitionBy("ord_block").parquet(f"{path}/segments")

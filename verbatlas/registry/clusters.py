@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from verbatlas.functions.distance import norm
@@ -243,6 +244,25 @@ def pca_keeps_lengths(spark, folder):
     return reduced.select("vec_id", F.round(norm(F.col("reduced")), 5).alias("length"))
 
 
+@query(
+    f"""with {V}, x as (select i, e[i] as c from v, range(1, 65) t(i))
+        select round(sum(s), 4) as total_variance, 0.0::double as largest_covariance, true as descending
+        from (select var_pop(c) as s from x group by i)"""
+)
+def pca_uncorrelated(spark, folder):
+    """All components together keep the variance, do not vary with each other, and come in order.
+
+    With the lengths kept (``pca_keeps_lengths``) this settles them up to their signs.
+    """
+    reduced = C.reduce(vectors(spark, folder), 64, keep=["vec_id"])
+    cov = C.covariance(reduced, "reduced")
+    own = np.diag(cov)
+    apart = float(np.abs(cov - np.diag(own)).max())
+    ordered = bool((np.diff(own) <= 1e-9).all())
+    row = [(round(float(own.sum()), 4), abs(round(apart, 6)), ordered)]
+    return spark.createDataFrame(row, "total_variance double, largest_covariance double, descending boolean")
+
+
 def _ensemble(spark, folder):
     v = vectors(spark, folder).withColumnRenamed("vec_id", "ordinal")
     return C.ensemble(v, 5, 8, item_id="ordinal")

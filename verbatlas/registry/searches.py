@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verbatlas.operators.cluster import mean_vectors, members_ranked
-from verbatlas.operators.nearest import nearest
+from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.publish import member_chunks
 from verbatlas.plans import search as S
-from verbatlas.plans.index import VectorIndex
+from verbatlas.plans.index import VectorIndex, append_to_index, load_index
 from verbatlas.registry import query
 from verbatlas.registry.common import (
     ENCODER,
@@ -273,3 +273,32 @@ def text_search_served(spark, folder):
     index = VectorIndex(segments(spark, folder), docs, lv1, lv2)
     queries = table(spark, folder, "benchmark").withColumnRenamed("item_id", "query_id")
     return _published_shape(S.search(S.encode_queries(queries, ENCODER), index, 10))
+
+
+@query(
+    f"""{_TEXT_ROUTED}, near as (select * from (select d.id, c.cluster_id, c.lv2_id, row_number() over (
+            partition by d.id order by round(list_distance(d.e, c.c), 9), c.cluster_id) as r from dv d, cen c) where r = 1)
+        select {encoded("id")} as script_id, cluster_id, lv2_id, md5(text) as text_md5
+        from near join documents on doc_id = id"""
+)
+def incremental_index(spark, folder):
+    """An index of the first half of the documents, to which the second half is added."""
+    number = F.substring("video_id", 4, 10).cast("int")
+    keys = {"cluster_id": cluster_key(number), "lv2_id": cluster_key(number % 3, 2)}
+    docs = materialise(text_vectors(spark, folder).withColumns(keys), "docs")
+    means = mean_vectors(docs, "cluster_id", width=ENCODER.dim)
+    lv1 = means.join(docs.select("cluster_id", "lv2_id").distinct(), "cluster_id").select("cluster_id", "centroid", "lv2_id")
+    lv1 = materialise(lv1, "lv1")
+    lv2 = mean_vectors(lv1.select("lv2_id", "centroid"), "lv2_id", "centroid", width=ENCODER.dim).drop("n")
+    rows = segments(spark, folder)
+    half = rows.count() // 2
+    first = assign(docs.filter(F.col("ordinal") < half).select("script_id", "vector"), lv1, keep=["vector"])
+    first = first.join(lv1.select("cluster_id", "lv2_id"), "cluster_id")
+    path = scratch_path(spark, "growing")
+    index = VectorIndex(rows.filter(F.col("ordinal") < half), members_ranked(first), lv1, lv2)
+    index.save(path, block_rows=300)
+    late = rows.filter(F.col("ordinal") >= half).withColumnRenamed("ordinal", "arrival").drop("script_id")
+    append_to_index(spark, path, late, ENCODER, ["arrival"], block_rows=300)
+    grown = load_index(spark, path, block_rows=300)
+    texts = grown.segments.select("script_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return grown.postings.select("script_id", "cluster_id", "lv2_id").join(texts, "script_id")
