@@ -1,6 +1,7 @@
 """Sources, index, search and streaming from end to end."""
 
 import json
+import os
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from verbatlas.operators.encode import HashedEncoder, embed
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.sets import resolve
 from verbatlas.plans import search
-from verbatlas.plans.index import VectorIndex, build_index, load_index
+from verbatlas.plans.index import VectorIndex, append_to_index, build_index, load_index
 from verbatlas.sources import lines, pages, tables, transcripts
 from verbatlas.streaming.incremental import read_assigned, run_available
 
@@ -293,3 +294,31 @@ def test_lines_keep_the_order_of_their_files(spark, tmp_path):
         (tmp_path / name).write_text("".join(f"{name}-{k}\n" for k in range(n)))
     got = [r.value for r in lines.read_lines(spark, str(tmp_path)).orderBy("position").collect()]
     assert got == [f"{name}-{k}" for name, n in sizes.items() for k in range(n)]
+
+
+def test_scope_leaves_no_intermediate_tables(spark, segments, tmp_path):
+    root = session.scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with session.scratch_scope(spark):
+        build_index(segments, ENCODER, 4, 2, chunk_size=120).save(str(tmp_path / "index"), block_rows=100)
+    assert set(os.listdir(root)) == before
+    assert load_index(spark, str(tmp_path / "index"), block_rows=100).postings.count() == 240
+
+
+def test_added_segments_are_found(spark, segments, tmp_path):
+    """Two deliveries give the postings of one assignment, and a search finds the late rows."""
+    path = str(tmp_path / "grown")
+    whole = build_index(segments, ENCODER, 4, 2, chunk_size=120)
+    early = VectorIndex(
+        segments.filter("ordinal < 100"),
+        cluster.members_ranked(whole.postings.drop("rank").join(segments.filter("ordinal < 100").select("script_id"), "script_id", "left_semi")),
+        whole.lv1,
+        whole.lv2,
+    )
+    early.save(path, block_rows=64)
+    late = segments.filter("ordinal >= 100").drop("script_id").withColumnRenamed("ordinal", "arrival")
+    append_to_index(spark, path, late, ENCODER, ["arrival"], block_rows=64)
+    grown = load_index(spark, path, block_rows=64)
+    pick = ["cluster_id", "script_id", "rank"]
+    assert sorted(map(tuple, grown.postings.select(pick).collect())) == sorted(map(tuple, whole.postings.select(pick).collect()))
+    assert grown.segments.orderBy("ordinal").select("text").collect() == segments.orderBy("ordinal").select("text").collect()

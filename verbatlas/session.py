@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +50,31 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables of the block when it ends.
+
+    Whatever is built on them must have been written by then, as in
+    ``with scratch_scope(spark): build_index(...).save(path)``.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scopes.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: int = 64) -> DataFrame:
