@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
+from verbatlas.operators import nearest as nearest_module
 from verbatlas.operators import cluster, maintain, publish, quality, sampling, sets
 from verbatlas.operators.encode import HashedEncoder, ModelEncoder, count_unusable, embed
 from verbatlas.operators.nearest import assign, nearest
@@ -114,10 +115,12 @@ def test_nearest_with_copies_and_sampled_bound(spark, points):
     assert plain.script_id.tolist() == bounded.script_id.tolist()
 
 
-def test_nearest_keyed_with_hot_key(spark, points):
+@pytest.mark.parametrize("limit", [None, 8 * 9 * 4])
+def test_nearest_keyed_with_hot_key(spark, points, monkeypatch, limit):
+    monkeypatch.setattr(nearest_module, "SLICE_ROWS", 40)
     keys = np.where(np.arange(300) % 3 == 0, "hot", (np.arange(300) % 7).astype(str))
     q = frame(spark, points[:30], "query_id", key=keys[:30])
-    got = nearest(q, frame(spark, points, key=keys), 3, key="key").toPandas()
+    got = nearest(q, frame(spark, points, key=keys), 3, key="key", limit_bytes=limit).toPandas()
     for i in range(30):
         mine = np.flatnonzero(keys == keys[i])
         want = mine[brute(points[i : i + 1], points[mine], 3, "euclidean")[0]]
@@ -385,3 +388,19 @@ def test_within_holds_k_per_reference():
     for i in range(400):
         close = np.flatnonzero(near[i])
         assert sorted(v2[r2 == i].tolist()) == sorted(close[np.argsort(place[close])][:3].tolist())
+
+
+@pytest.mark.parametrize("limit", [None, 8 * 9 * 4])
+def test_first_n_by_either_way(spark, points, monkeypatch, limit):
+    """Few queries as one broadcast block, many as pairs of blocks and slices: the same first n."""
+    monkeypatch.setattr(nearest_module, "SLICE_ROWS", 40)
+    rank = np.random.default_rng(2).permutation(300)
+    q = frame(spark, points[:20], "query_id")
+    corpus = frame(spark, points, place=rank)
+    got = nearest(q, corpus, 5, mode="first_n", item_rank="place", max_distance=2.5, limit_bytes=limit).toPandas()
+    d = np.sqrt(((points[None] - points[:20, None]) ** 2).sum(2))
+    for i in range(20):
+        close = np.flatnonzero(d[i] < 2.5)
+        first = close[np.argsort(rank[close])][:5]
+        want = first[np.lexsort((first, np.round(d[i][first], 9)))]
+        assert got[got.query_id == i].sort_values("rank").script_id.tolist() == want.tolist()

@@ -1,10 +1,10 @@
 """Nearest centre and nearest neighbours without forming the pairs as rows.
 
-One side (queries, centres) is cut into blocks of a fixed byte size; a block goes to
-every task as a broadcast variable. The other side, of any size, is only scanned:
-each task scores its Arrow batches against the block and hands on a winner or the
-best ``k``. No corpus row is shuffled, so a cluster that holds a third of the corpus
-is spread over as many tasks as its files have splits.
+One side (queries, centres) is cut into blocks of a fixed byte size. Queries that fit one
+block, and every block of centres, go to all tasks as a broadcast variable; the other side,
+of any size, is only scanned: each task scores its Arrow batches against the block and hands
+on a winner or the best ``k``, so a cluster that holds a third of the corpus is spread over as
+many tasks as its files have splits. More queries meet slices of the corpus on the executors.
 """
 
 from __future__ import annotations
@@ -22,37 +22,40 @@ from pyspark.sql import types as T
 from verbatlas.functions import blocks
 from verbatlas.functions.distance import METRICS
 from verbatlas.operators.ordering import first_per_group, global_ordinals
-from verbatlas.session import BROADCAST_LIMIT_BYTES, scratch_path
+from verbatlas.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, materialise
 
 # A table with no more rows than this is fetched without numbering its rows first.
 HEAD_ROWS = 16_384
 
+# Corpus rows that meet a block of queries in one unit of work.
+SLICE_ROWS = 50_000
+
 # Longest IN list pushed to the scan of a keyed corpus; with more keys it reads all.
 PRUNE_KEYS = 1000
 
 
 def bounded_blocks(
-    df: DataFrame, vector: str, order_by: Sequence[str], limit_bytes: int | None = None, results: int = 0
+    df: DataFrame, vector: str, order_by: Sequence[str], limit_bytes: int | None = None
 ) -> Iterator[pa.Table]:
     """The rows of ``df`` as Arrow tables, none larger than the broadcast limit.
 
     Blocks of a table above the limit follow ``order_by``, so rows with equal keys
-    stay together and a keyed scan of one block touches few partitions. ``results`` is
-    the number of results that a task holds for every row.
+    stay together and a keyed scan of one block touches few partitions.
     """
     # One job: limit() stops after the first few partitions of a large table.
     table = df.limit(HEAD_ROWS + 1).toArrow()
-    if table.num_rows <= min(HEAD_ROWS, _block_rows(table, vector, limit_bytes, results)):
+    if table.num_rows <= min(HEAD_ROWS, _block_rows(table, vector, limit_bytes)):
         yield table
         return
     numbered = global_ordinals(df, order_by, "_position")
-    rows = _block_rows(table, vector, limit_bytes, results)
+    rows = _block_rows(table, vector, limit_bytes)
     for start in range(0, numbered.count(), rows):
         block = numbered.filter((F.col("_position") >= start) & (F.col("_position") < start + rows))
         yield block.drop("_position").toArrow()
 
 
-def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None, results: int) -> int:
+def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None, results: int = 0) -> int:
+    """Rows of a block, for each of which a task also holds ``results`` results."""
     width = max(1, len(sample[vector][0])) if sample.num_rows else 1
     return max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * (width + results)))
 
@@ -223,7 +226,7 @@ def nearest(
             bounds = np.minimum(bounds, np.array([known.get(i, np.inf) for i in ids]))
         return best(scan, table, bounds)
 
-    in_use = []
+    by_distance = mode == "top_k"
 
     def best(scan: DataFrame, table: pa.Table, bounds: np.ndarray) -> DataFrame:
         shared = spark.sparkContext.broadcast(
@@ -234,8 +237,6 @@ def nearest(
                 bounds,
             )
         )
-        in_use.append(shared)
-        by_distance = mode == "top_k"
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query_ids, matrix, groups, limits = shared.value
@@ -246,28 +247,10 @@ def nearest(
             item_type = None
             for batch in batches:
                 item_type = batch.column(item_id).type
-                data = blocks.to_matrix(batch.column(vector), matrix.shape[1])
-                tie = pc.rank(batch.column(item_id), tiebreaker="dense").to_numpy(zero_copy_only=False)
-                ranks = None if by_distance else _values(batch.column(item_rank)).astype(float)
-                found = []
-                if groups is None:
-                    found.append(blocks.within(data, matrix, metric, p, k, limits, tie, ranks, max_distance))
-                else:
-                    for value, rows in _by_key(batch.column(key)).items():
-                        refs = groups.get(value)
-                        if refs is not None:
-                            own = None if ranks is None else ranks[rows]
-                            r, v, d = blocks.within(
-                                data[rows], matrix[refs], metric, p, k, limits[refs], tie[rows], own, max_distance
-                            )
-                            found.append((refs[r], rows[v], d))
-                if not found:
+                qi, vi, dist, place = scored(batch, matrix, groups, limits)
+                if not len(qi):
                     continue
-                qi = np.concatenate([f[0] for f in found])
-                vi = np.concatenate([f[1] for f in found])
-                dist = np.concatenate([f[2] for f in found])
                 items = _values(batch.column(item_id).take(pa.array(vi)))
-                place = np.round(dist, blocks.TIE_DIGITS) if by_distance else ranks[vi]
                 if held is not None:
                     qi, items = np.concatenate([held[0], qi]), np.concatenate([held[1], items])
                     dist, place = np.concatenate([held[2], dist]), np.concatenate([held[3], place])
@@ -275,7 +258,7 @@ def nearest(
                 held = qi[top], items[top], dist[top], place[top]
                 if by_distance:
                     full, first, counts = np.unique(held[0], return_index=True, return_counts=True)
-                    worst = np.maximum.reduceat(held[2], first) if len(first) else held[2]
+                    worst = np.maximum.reduceat(held[2], first)
                     limits[full[counts == k]] = np.minimum(limits[full], worst)[counts == k]
             if held is not None and len(held[0]):
                 yield pa.RecordBatch.from_arrays(
@@ -291,20 +274,66 @@ def nearest(
         partial = scan.mapInArrow(score, schema)
         return first_per_group(partial, [query_id], ["_order", item_id], k)
 
-    path, results = None, []
-    for number, table in enumerate(bounded_blocks(q, query_vector, [*shared_cols, query_id], limit_bytes, k)):
-        results.append(one_block(table))
-        if path is None and number > 0:
-            path = scratch_path(spark, "nearest")
-        if path is not None:
-            # Every query lies in one block, so the blocks' results are complete on
-            # their own; writing them keeps one block on the driver at a time.
-            for done in results:
-                done.write.mode("append").parquet(path)
-            results = []
-            while in_use:
-                in_use.pop().unpersist()
-    out = results[0] if path is None else spark.read.parquet(path)
+    def scored(rows, matrix: np.ndarray, groups: dict | None, limits: np.ndarray) -> tuple:
+        """``query, row, distance, order`` of the first ``k`` rows of every query."""
+        column = lambda name: rows.column(name).combine_chunks() if isinstance(rows, pa.Table) else rows.column(name)
+        data = blocks.to_matrix(column(vector), matrix.shape[1])
+        tie = pc.rank(column(item_id), tiebreaker="dense").to_numpy(zero_copy_only=False)
+        ranks = None if by_distance else _values(column(item_rank)).astype(float)
+        found = []
+        if groups is None:
+            found.append(blocks.within(data, matrix, metric, p, k, limits, tie, ranks, max_distance))
+        else:
+            for value, own in _by_key(column(key)).items():
+                refs = groups.get(value)
+                if refs is not None:
+                    place = None if ranks is None else ranks[own]
+                    r, v, d = blocks.within(data[own], matrix[refs], metric, p, k, limits[refs], tie[own], place, max_distance)
+                    found.append((refs[r], own[v], d))
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        qi, vi, dist = (np.concatenate(parts) for parts in zip(*found, none))
+        return qi, vi, dist, np.round(dist, blocks.TIE_DIGITS) if by_distance else ranks[vi]
+
+    def paired(sample: pa.Table) -> DataFrame:
+        """More queries than one block: blocks of queries meet slices of the corpus on the executors.
+
+        The corpus goes to those blocks only that have its key, or to all of them without one. Each
+        pair is a block and a slice of bounded size, so no query passes through the driver.
+        """
+        rows = _block_rows(sample, query_vector, limit_bytes, k)
+        numbered = global_ordinals(q, [*shared_cols, query_id], "_position")
+        left = numbered.withColumn("_block", F.floor(F.col("_position") / F.lit(rows))).drop("_position")
+        left = materialise(left, "queries")
+        if shared_cols:
+            needed = materialise(left.select(*shared_cols, "_block").distinct(), "needed")
+            right = c.join(broadcast_if_small(needed), shared_cols)
+        else:
+            last = left.agg(F.max("_block")).first()[0]
+            right = c.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last))))
+        right = right.select(*dict.fromkeys(columns), "_block")
+        most = right.groupBy("_block").count().agg(F.max("count")).first()[0] or 0
+        slices = max(1, math.ceil(most / SLICE_ROWS))
+        right = right.withColumn("_slice", F.pmod(F.xxhash64(item_id), F.lit(slices)))
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))
+        left = left.withColumn("_slice", F.explode(every))
+
+        def unit(some: pa.Table, rows: pa.Table) -> pa.Table:
+            matrix = blocks.to_matrix(some[query_vector]) if some.num_rows else np.zeros((0, 1))
+            qi, vi, dist, place = (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
+            if some.num_rows and rows.num_rows:
+                groups = _by_key(some[key]) if key else None
+                bounds = np.full(len(matrix), np.inf if max_distance is None else float(max_distance))
+                qi, vi, dist, place = scored(rows, matrix, groups, bounds)
+            ids, items = some[query_id].take(pa.array(qi)), rows[item_id].take(pa.array(vi))
+            return pa.table([ids, items, pa.array(dist), pa.array(place)], names=schema.names)
+
+        units = left.groupBy("_block", "_slice").cogroup(right.groupBy("_block", "_slice"))
+        return first_per_group(units.applyInArrow(unit, schema), [query_id], ["_order", item_id], k)
+
+    # One job: limit() stops after the first few partitions of a large table.
+    table = q.limit(HEAD_ROWS + 1).toArrow()
+    small = table.num_rows <= min(HEAD_ROWS, _block_rows(table, query_vector, limit_bytes, k))
+    out = one_block(table) if small else paired(table)
     if mode == "first_n":
         out = first_per_group(out.drop("rank"), [query_id], [F.round("distance", blocks.TIE_DIGITS), item_id], k)
     return out.select(query_id, item_id, "rank", "distance")
