@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import distance as D
 from verbatlas.operators.cluster import mean_vectors
+from verbatlas.operators.nearest import nearest
 from verbatlas.registry import ORACLES, QUERIES, query
 from verbatlas.registry.common import MEANS, V, vectors
 from verbatlas.session import broadcast_if_small, materialise
 
-_PAIRS = f"with {V}, {MEANS}, pairs as (select v.vec_id, v.e as a, cen.c as b from v join cen using (label))"
+_PAIRS = f"with {V}, {MEANS}, pairs as (select label, v.vec_id, v.e as a, cen.c as b from v join cen using (label))"
+_ALL = f"with {V}, {MEANS}, pairs as (select cen.label, v.vec_id, v.e as a, cen.c as b from v, cen)"
 _R = "range(1, 65)"
 
 
@@ -38,27 +40,29 @@ _SQL = {
     "hamming": f"{_total('case when a[i] = b[i] then 0 else 1 end')} / 64.0",
 }
 
-_CENTRED = """centred as (select vec_id,
+_CENTRED = """centred as (select label, vec_id,
     list_transform(a, lambda x: x - list_avg(a)) as a, list_transform(b, lambda x: x - list_avg(b)) as b
     from pairs)"""
-_POSITIVE = """positive as (select vec_id, list_transform(a, lambda x: abs(x)) as a,
+_POSITIVE = """positive as (select label, vec_id, list_transform(a, lambda x: abs(x)) as a,
     list_transform(b, lambda x: abs(x)) as b from pairs),
-shares as (select vec_id, list_transform(a, lambda x: x / list_sum(a)) as p,
+shares as (select label, vec_id, list_transform(a, lambda x: x / list_sum(a)) as p,
     list_transform(b, lambda x: x / list_sum(b)) as q from positive)"""
-_SIGNS = """signs as (select vec_id, list_transform(a, lambda x: sign(x)) as a,
+_SIGNS = """signs as (select label, vec_id, list_transform(a, lambda x: sign(x)) as a,
     list_transform(b, lambda x: sign(x)) as b from pairs)"""
 _KL = "case when {0}[i] = 0 then 0 else {0}[i] * ln({0}[i] / ((p[i] + q[i]) / 2)) end"
 
 
-def _pair_sql(metric: str) -> str:
+def _distances(pairs: str, metric: str) -> str:
+    """CTEs up to ``d(label, vec_id, d)``."""
+    steps, value, source = pairs, _SQL.get(metric), "pairs"
     if metric == "correlation":
-        return f"{_PAIRS}, {_CENTRED} select vec_id, round({_cosine('a', 'b')}, 5) as distance from centred"
-    if metric == "jensenshannon":
+        steps, value, source = f"{pairs}, {_CENTRED}", _cosine("a", "b"), "centred"
+    elif metric == "jensenshannon":
         both = f"({_total(_KL.format('p'))} + {_total(_KL.format('q'))}) / 2"
-        return f"{_PAIRS}, {_POSITIVE} select vec_id, round(sqrt({both}), 5) as distance from shares"
-    if metric == "hamming":
-        return f"{_PAIRS}, {_SIGNS} select vec_id, round({_SQL[metric]}, 5) as distance from signs"
-    return f"{_PAIRS} select vec_id, round({_SQL[metric]}, 5) as distance from pairs"
+        steps, value, source = f"{pairs}, {_POSITIVE}", f"sqrt({both})", "shares"
+    elif metric == "hamming":
+        steps, source = f"{pairs}, {_SIGNS}", "signs"
+    return f"{steps}, d as (select label, vec_id, {value} as d from {source})"
 
 
 def _prepare(metric: str, v: Column) -> Column:
@@ -79,7 +83,21 @@ def _register(metric: str) -> None:
         return pairs.select("vec_id", F.round(D.distance(a, b, metric, p=3.0), 5).alias("distance"))
 
     QUERIES[f"metric_{metric}"] = run
-    ORACLES[f"metric_{metric}"] = _pair_sql(metric)
+    ORACLES[f"metric_{metric}"] = f"{_distances(_PAIRS, metric)} select vec_id, round(d, 5) as distance from d"
+
+    def ranked(spark, folder):
+        v = vectors(spark, folder)
+        means = materialise(mean_vectors(v, "label", width=64), "means")
+        asked = means.select(F.col("label").alias("query_id"), _prepare(metric, F.col("centroid")).alias("vector"))
+        corpus = v.select("vec_id", _prepare(metric, F.col("vector")).alias("vector"))
+        hits = nearest(asked, corpus, 3, item_id="vec_id", metric=metric, p=3.0)
+        return hits.select("query_id", "vec_id", F.col("rank").cast("bigint").alias("rank"), F.round("distance", 5).alias("distance"))
+
+    # The same metric as NumPy has it in the searches: the three vectors nearest to each mean.
+    QUERIES[f"nearest_{metric}"] = ranked
+    ORACLES[f"nearest_{metric}"] = f"""{_distances(_ALL, metric)}, r as (select *, row_number() over (
+        partition by label order by round(d, 9), vec_id) as rank from d)
+        select label as query_id, vec_id, rank, round(d, 5) as distance from r where rank <= 3"""
 
 
 for _metric in D.METRICS:
