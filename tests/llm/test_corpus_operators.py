@@ -207,6 +207,21 @@ def test_fuzzy_passage_in_clean_texts(spark):
     assert {r.id for r in chaining.passages(df).collect()} == {1, 2}
 
 
+def test_passages_of_separately_frequent_sentences(spark):
+    rng = np.random.default_rng(12)
+    prose = lambda n: [f"w{x}" for x in rng.integers(0, 50000, n)]
+    passage = prose(72)
+    lines = [passage[k : k + 30] for k in range(0, 72, 12)]  # every seed of the passage is in one of these
+    docs = [(10 * n + m, prose(60) + line + prose(60)) for n, line in enumerate(lines) for m in range(10)]
+    docs += [(i, prose(70) + passage + prose(80)) for i in (136, 139, 178)]  # neither the least ids nor the least hashes
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    got = chaining.passages(df).collect()
+    assert {r.id for r in got} == {136, 139, 178}
+    for i in (136, 139, 178):
+        assert any(r.id == i and r.start <= 70 and r.end >= 142 for r in got)
+    assert len(set(got)) == len(got)
+
+
 def test_chains_pay_for_gaps():
     s = chaining.Settings()
     here = np.array([0, 10, 20, 30, 300, 310])
