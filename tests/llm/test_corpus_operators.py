@@ -222,6 +222,17 @@ def test_passages_of_separately_frequent_sentences(spark):
     assert len(set(got)) == len(got)
 
 
+def test_passages_that_one_text_holds_twice(spark):
+    rng = np.random.default_rng(13)
+    prose = lambda n: [f"w{x}" for x in rng.integers(0, 50000, n)]
+    passage = prose(60)
+    for once, twice in ((1, 2), (2, 1)):
+        docs = [(once, prose(70) + passage + prose(80)), (twice, prose(40) + passage + prose(90) + passage + prose(30)), (3, prose(200))]
+        got = chaining.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")).collect()
+        assert {(r.start, r.end) for r in got if r.id == twice} == {(40, 100), (190, 250)}
+        assert {(r.id, r.partner) for r in got} == {(1, 2), (2, 1)}
+
+
 def test_chains_pay_for_gaps():
     s = chaining.Settings()
     here = np.array([0, 10, 20, 30, 300, 310])
