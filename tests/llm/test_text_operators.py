@@ -76,6 +76,21 @@ def test_main_text(page):
     assert html_text.main_text(page) == PAGES[page]
 
 
+SENTENCE = "Rain fell on the grey roofs, the clock struck seven, nobody heard it, and the small dog slept on by the fire. "
+
+
+@pytest.mark.parametrize("attributes", ['id=page class="has-sidebar"', 'class="entry-content no-sidebar"', 'class="post share"', 'class="widget"'])
+def test_articles_in_wrappers_with_bad_words(attributes):
+    page = f'<div {attributes}><p>{SENTENCE * 3}</p><p>{SENTENCE}</p><div class="sidebar"><p>Side, bar.</p></div></div>'
+    assert html_text.main_text(page).split() == (SENTENCE * 4 + "Side, bar." * ("widget" in attributes)).split()
+
+
+def test_unequal_sections_stay_together():
+    part = "<p>" + SENTENCE * 3 + "</p>"
+    page = f"<div><div>{part * 8}</div><div>{part}</div><div><a href=x>{SENTENCE}</a></div></div>"
+    assert html_text.main_text(page).split() == (SENTENCE * 27).split()
+
+
 def test_extraction_of_odd_pages(spark):
     deep = "<div>" * 3000 + "<p>Deep, text.</p>"
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>x</p>"), (4, "u", deep), (4, "u", deep), (5, "u", "<p>" + "word, " * 50000)]

@@ -5,7 +5,8 @@ scripts, styles, forms, menus, sidebars, notices, adverts, comments of readers,
 the class, id or role. Every block of text passes points for its length and its commas to its parent,
 and half of them to the grandparent; a container's points are discounted by its link density. The best
 container is kept with those of its siblings that score well or read like text, and its blocks are
-joined in page order.
+joined in page order. A class of its own like "content" spares an element, "no-sidebar" marks none, and
+a page of which little is left is read again without the rule for classes.
 
 Defined results: a null or empty page, and one without text, gives an empty string; equal pages give
 equal texts; a page of any length is read whole, one at a time; character references are decoded;
@@ -64,6 +65,11 @@ _BAD = set(
     toolbar skip search complementary contentinfo""".split()
 )
 _GOOD = set("article body content entry main post story text page column".split())
+# Of those, a name without a bad word that spares an element with another, bad name; first words of names that tell of other elements.
+_SPARES = set("article content entry main post story page".split())
+_ABOUT = {"has", "no", "with", "without"}
+# A text below so many characters is little, and another reading is taken when it has so many times as many.
+_LITTLE, _MORE = 140, 4
 
 
 class _Node:
@@ -75,24 +81,29 @@ class _Node:
         self.points, self.good = 0.0, False
 
 
-def _attributes(raw: str) -> tuple[bool, bool]:
+def _attributes(raw: str, named: bool = True) -> tuple[bool, bool]:
     """Whether the attributes mark an element as no part of the article, and as likely its container."""
-    bad = good = False
+    bad = good = spared = hidden = False
     for name, value in _ATTRIBUTE.findall(raw):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in _NAME.findall(value)}
-            bad |= not words.isdisjoint(_BAD)
-            good |= not words.isdisjoint(_GOOD)
+            for part in value.split():
+                words = [w.lower() for w in _NAME.findall(part)]
+                if words and words[0] in _ABOUT:
+                    continue
+                marked = not _BAD.isdisjoint(words)
+                bad |= marked
+                good |= not _GOOD.isdisjoint(words)
+                spared |= not marked and not _SPARES.isdisjoint(words)
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            bad = True
+            hidden = True
         elif name == "style":
-            bad |= "display:none" in _BLANK.sub("", value.lower())
-    return bad, good
+            hidden |= "display:none" in _BLANK.sub("", value.lower())
+    return hidden or named and bad and not spared, good
 
 
-def parse(page: str) -> _Node:
-    """The tree of a page without its dropped elements."""
+def parse(page: str, named: bool = True) -> _Node:
+    """The tree of a page without its dropped elements; ``named``: classes, ids and roles drop elements, too."""
     root = _Node("html", None)
     node, at, end = root, 0, len(page)
     skipped: list[str] = []  # open elements inside of a dropped one
@@ -149,7 +160,7 @@ def parse(page: str) -> _Node:
                 up = up.parent
             if last is not None:
                 node = last.parent
-        bad, good = _attributes(m[3]) if m[3].strip(" /") else (False, False)
+        bad, good = _attributes(m[3], named) if m[3].strip(" /") else (False, False)
         header = tag == "header" and not _inside(node)
         if tag in _RAW:
             at = _after(page, at, tag)
@@ -266,6 +277,8 @@ def best(root: _Node) -> list[_Node]:
             keep.append(c)
         elif c.tag in _HEADINGS or c.tag == "p" and total and density(c) < 0.25 and (total > 80 or _direct(c).endswith((".", "!", "?", ":"))):
             keep.append(c)
+        elif c.tag not in _INLINE and total > 80 and density(c) < 0.25:
+            keep.append(c)  # a section of the text, however short beside the best one
     return keep
 
 
@@ -298,7 +311,14 @@ def blocks(nodes: list[_Node]) -> list[str]:
 
 
 def main_text(page: str | None) -> str:
-    return " ".join(blocks(best(parse(page)))) if page else ""
+    if not page:
+        return ""
+    text = " ".join(blocks(best(parse(page))))
+    if len(text) < _LITTLE:
+        other = " ".join(blocks(best(parse(page, False))))
+        if len(other) > _MORE * len(text):
+            return other
+    return text
 
 
 def extract(pages: DataFrame, item_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
