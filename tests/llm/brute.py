@@ -125,3 +125,37 @@ def shared_stretches(docs, n=51):
             if len(where[tuple(w[k : k + n])]) > 1:
                 out[i] |= set(range(k, k + n))
     return out
+
+
+def word_runs(w, shortest=6, copies=4):
+    """``(start, length, period)`` of every run, lag by lag over the whole text."""
+    out = []
+    for q in range(1, len(w) // copies + 1):
+        same = [w[i] == w[i + q] for i in range(len(w) - q)]
+        i = 0
+        while i < len(same):
+            j = i
+            while j < len(same) and same[j]:
+                j += 1
+            size = j - i + q
+            if j > i and size >= max(shortest, copies * q):
+                stretch = w[i : i + size]
+                if not any(stretch[r:] == stretch[:-r] for r in range(1, q)):
+                    out.append((i, size, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, runs):
+    gone = {i for start, length, q in runs for i in range(start + q, start + length)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def segmentations(unit, pieces):
+    """All ways to put some bytes together."""
+    if not unit:
+        yield ()
+    for p in pieces:
+        if unit.startswith(p):
+            for rest in segmentations(unit[len(p) :], pieces):
+                yield (p, *rest)

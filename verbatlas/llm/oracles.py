@@ -1,7 +1,8 @@
 """SQL that must give the rows of the queries, where SQL can express them.
 
 The other operators are held against brute force in the tests: FTRL (1), Newton tilts and their rounding
-(2), tree scoring (4), best fit (6), Markov models (7) and chaining (10) have no form in SQL.
+(2), tree scoring (4), best fit (6), Markov models (7), chaining (10), qd whitening (11) and sums over segmentations
+(13) have no form in SQL.
 """
 
 from __future__ import annotations
@@ -95,3 +96,35 @@ select doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0) as n_
        sha256(unhex(coalesce(rest, x))) as kept_sha256, coalesce(spans, '') as spans
 from t left join k using (doc_id)
 """
+
+# The hash of the contract, bit by bit: a byte and seven zeros for every character of the id.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::ubigint, flatten(list_transform(range(1, length((doc_id::varchar)) + 1),
+        lambda k: [ascii((doc_id::varchar)[k])::ubigint, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: case when xor(c, b) % 2 = 1 then xor(xor(c, b) // 2, 3988292384::ubigint) else xor(c, b) // 2 end),
+    4294967295::ubigint)::bigint"""
+
+ORACLES["op12_periods"] = rf"""
+with t as (select doc_id, {_WORDS} as w, len(w) as n, {_CRC32} as h from documents),
+u as (select *, if(h % 10 = 0 and n > 0, (h // 10) % n, null) as a,
+             if(h % 10 = 0 and n > 0, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8), null) as p from t),
+x as (select doc_id, n, unnest(range(n)) as i,
+             unnest(if(a is null, w, list_transform(range(n), lambda k: w[1 + if(k < a, k, a + (k - a) % p)]))) as word from u),
+lags as (select doc_id, l.i, r.i - l.i as q from x l join x r using (doc_id, word) where r.i - l.i between 1 and l.n // 4),
+islands as (select doc_id, q, min(i) as start, count(*) + q as length
+            from (select *, i - row_number() over (partition by doc_id, q order by i) as island from lags)
+            group by doc_id, q, island having count(*) + q >= greatest(6, 4 * q)),
+runs as (select * from islands a where not exists (select 1 from islands b where a.doc_id = b.doc_id and b.q < a.q and a.q % b.q = 0
+            and b.start <= a.start and b.start + b.length >= a.start + a.length)),
+gone as (select distinct doc_id, unnest(range(start + q, start + length)) as i from runs),
+kept as (select x.doc_id, string_agg(word, ' ' order by x.i) as collapsed
+         from x left join gone on gone.doc_id = x.doc_id and gone.i = x.i where gone.i is null group by x.doc_id),
+listed as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' order by start, q) as lines
+           from runs group by doc_id),
+-- Lengths and periods are far below 2**26, so different quotients differ in their first twenty digits.
+best as (select * from (select *, row_number() over (partition by doc_id order by length::decimal(38, 0) * 10000000000000000 // q desc,
+                                                      start, q) as place from runs) where place = 1)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, b.start, b.length, b.q as period, 1000 * b.length // b.q as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+from documents d left join listed l on l.doc_id = d.doc_id left join best b on b.doc_id = d.doc_id
+     left join kept k on k.doc_id = d.doc_id
+"""

@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatlas.llm import chaining, html_text, mixing, ngram_join, packing, pigeonhole, repetition, secrets, suffixes, toxicity
-from verbatlas.llm.tables import read
+from verbatlas.llm import (
+    chaining,
+    html_text,
+    language,
+    mixing,
+    ngram_join,
+    packing,
+    periods,
+    pigeonhole,
+    repetition,
+    secrets,
+    suffixes,
+    toxicity,
+    whitening,
+)
+from verbatlas.llm.tables import WORD, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,3 +91,61 @@ def op9_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 def op10_chaining(spark: SparkSession, folder: str) -> DataFrame:
     found = chaining.passages(read(spark, folder, "documents"))
     return found.withColumnsRenamed({"id": "doc_id", "partner": "partner_id"})
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings")
+    fits = whitening.fit(rows)
+    errors = whitening.identity_errors(rows, fits)
+    error = F.lit(None).cast("double")
+    for width, value in errors.items():
+        error = F.when(F.col("width") == width, F.lit(value)).otherwise(error)
+    out = whitening.whiten(rows, fits)
+    names = ["component", "n", "deviation", "whitened", "explained"]
+    return out.select(F.col("id").alias("vec_id"), *names, error.alias("identity_error"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The documents as the contract has them read: every tenth one, by a hash of its id, repeats its end.
+
+    A null id plants nothing.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
+    planted = docs.withColumn("_h", h).withColumn("_w", F.when(F.col("_h") % 10 == 0, words))
+    n, g = F.size("_w"), F.floor(F.col("_h") / 10)
+    planted = planted.withColumn("_n", n).withColumn("_a", F.when(n > 0, (g % n).cast("int")))
+    period = 1 + F.floor((F.col("_n") - F.col("_a")) / (3 + g % 8))
+    planted = planted.withColumn("_p", period.cast("int"))
+    a, p = F.col("_a"), F.col("_p")
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    moved = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.get("_w", place(i)))
+    text = F.when(F.col("_n") > 0, F.array_join(moved, " ")).otherwise(F.col("text"))
+    return planted.select("doc_id", text.alias("text"))
+
+
+@query
+def op12_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.runs(with_planted_periods(read(spark, folder, "documents")))
+    best = F.col("strongest")
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    listed = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    found = language.predict(docs, language.train(docs.where(~held_out)))
+    return found.withColumnRenamed("id", "doc_id").withColumn("held_out", held_out)

@@ -71,12 +71,16 @@ class Fingerprints:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column in a row, and the offset of each text; null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    return text_bytes_of_binary(pc.fill_null(column.cast(pa.large_string()), "").cast(pa.large_binary()))
+
+
+def text_bytes_of_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column) or column.buffers()[2] is None:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
-    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    return data, offsets - offsets[0]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
