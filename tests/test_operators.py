@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
 from verbatlas.operators import nearest as nearest_module
-from verbatlas.operators import cluster, maintain, publish, quality, sampling, sets
+from verbatlas.operators import cluster, fits, maintain, pruned, publish, quality, sampling, sets
 from verbatlas.operators.encode import HashedEncoder, ModelEncoder, count_unusable, embed
 from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.ordering import (
@@ -17,6 +19,7 @@ from verbatlas.operators.ordering import (
     value_grid,
     zip_positions,
 )
+from verbatlas.operators.pruned import assign_pruned
 
 
 def frame(spark, matrix, id_name="script_id", **extra):
@@ -165,6 +168,57 @@ def test_assign_in_blocks_with_tie(spark, points, limit):
     assert got.cluster_id.tolist() == [f"c{i}" for i in full.argmin(axis=1)]
 
 
+def clustered(rng, groups, each, width=5):
+    return np.vstack([rng.normal(size=width) * 20 + rng.normal(size=(each, width)) for _ in range(groups)])
+
+
+def centre_frame(spark, matrix):
+    rows = [(f"c{i:04d}", row.tolist()) for i, row in enumerate(matrix)]
+    return spark.createDataFrame(rows, "cluster_id string, centroid array<double>")
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cityblock", "chebyshev", "minkowski", "cosine", "sqeuclidean"])
+@pytest.mark.parametrize("limit", [None, 8 * 5 * 30])
+def test_pruned_assignment_equals_the_plain_one(spark, metric, limit):
+    rng = np.random.default_rng(3)
+    centres = clustered(rng, 20, 10)
+    centres = np.vstack([centres, centres[:15], np.repeat(centres[:1], 40, axis=0)])  # ties, and a group above a block
+    data = np.vstack([clustered(rng, 5, 40), centres[:60]])
+    c, v = centre_frame(spark, centres), frame(spark, data, tag=["x"] * len(data))
+    p = 3.0 if metric == "minkowski" else 2.0
+    want = assign(v, c, metric=metric, p=p).toPandas().sort_values("script_id")
+    got = assign_pruned(v, c, metric=metric, p=p, keep=["tag"], limit_bytes=limit).toPandas().sort_values("script_id")
+    assert got.cluster_id.tolist() == want.cluster_id.tolist() and np.allclose(got.distance, want.distance)
+    assert set(got.tag) == {"x"} and len(got) == len(data)
+    if metric in pruned.METRICS:
+        assert got.compared.mean() < 0.6 * len(centres)  # sixteen pivots and few groups
+    else:
+        assert (got.compared >= len(centres)).all()
+
+
+def test_pruned_assignment_of_few_rows(spark, points):
+    c = centre_frame(spark, points[:1])
+    assert assign_pruned(frame(spark, points[:5]), c).toPandas().cluster_id.tolist() == ["c0000"] * 5
+    assert assign_pruned(frame(spark, points[:5]), c.limit(0)).count() == 0
+    assert assign_pruned(frame(spark, points).limit(0), c).count() == 0
+    same = centre_frame(spark, np.repeat(points[:1], 9, axis=0))
+    got = assign_pruned(frame(spark, points[:5]), same, limit_bytes=8 * points.shape[1] * 2).toPandas()
+    assert got.cluster_id.tolist() == ["c0000"] * 5
+
+
+@pytest.mark.parametrize("limit", [None, 8 * 6 * 3])
+def test_keyed_assignment_in_blocks(spark, points, limit, monkeypatch):
+    monkeypatch.setattr(nearest_module, "SLICE_ROWS", 40)
+    keys = np.where(np.arange(300) % 3 == 0, "hot", (np.arange(300) % 7).astype(str))
+    c = centre_frame(spark, points[:40]).toPandas()
+    c["key"] = keys[:40]
+    got = assign(frame(spark, points, key=keys), spark.createDataFrame(c), key="key", limit_bytes=limit).toPandas().sort_values("script_id")
+    for i, name in zip(got.script_id, got.cluster_id):
+        mine = np.flatnonzero(keys[:40] == keys[i])
+        assert int(name[1:]) == mine[brute(points[i : i + 1], points[mine], 1, "euclidean")[0][0]]
+    assert len(got) == 300
+
+
 # --- clustering -------------------------------------------------------------------
 
 
@@ -183,6 +237,67 @@ def test_minibatch_is_a_running_mean(spark, points):
     assert np.allclose(np.array(got.centroid.tolist()), centres) and got.n.tolist() == seen.tolist()
 
 
+def plain_lloyd(data, centres, steps):
+    centres, n = centres.copy(), np.zeros(len(centres), int)
+    for _ in range(steps):
+        best = ((data[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        n = np.bincount(best, minlength=len(centres))
+        for j in np.flatnonzero(n):
+            centres[j] = data[best == j].mean(axis=0)
+    return centres, n
+
+
+@pytest.mark.parametrize("limit", [None, 8 * 6 * 2])
+def test_nested_fit_is_a_fit_in_every_cell(spark, points, limit):
+    """Above and below a block: the centres of all cells go through the assignment by blocks there."""
+    v = frame(spark, points)
+    level1, level2, placed = fits.fit_nested(v, 3, 4, coarse_steps=2, steps=3, seed=7, limit_bytes=limit)
+    level1, level2, placed = (t.toPandas() for t in (level1, level2, placed))
+    first = sorted(range(len(points)), key=lambda i: hashlib.md5(f"7:{i}".encode()).hexdigest()[:15])
+    coarse, _ = plain_lloyd(points, points[sorted(first[:3])], 2)
+    assert np.allclose(np.array(level2.sort_values("cell").centroid.tolist()), coarse)
+    cells = ((points[:, None] - coarse[None]) ** 2).sum(-1).argmin(1)
+    assert placed.sort_values("script_id").cell.tolist() == cells.tolist()
+    for cell in range(3):
+        mine = np.flatnonzero(cells == cell)
+        start = sorted([i for i in first if cells[i] == cell][:4])
+        centres, n = plain_lloyd(points[mine], points[start], 3)
+        own = level1[level1.cell == cell].sort_values("label")
+        assert np.allclose(np.array(own.centroid.tolist()), centres) and own.n.tolist() == n.tolist()
+
+
+def test_nested_fit_by_chunks_and_with_small_cells(spark, points):
+    data = np.vstack([points[:60], points[:1] + 1000.0])  # the last vector may be alone in its cell
+    v = frame(spark, data).withColumn("ordinal", F.col("script_id"))
+    level1, level2, placed = fits.fit_nested(v, 2, 5, chunk_size=20, seed=1)
+    level1 = level1.toPandas()
+    assert level1.n.sum() == 61 and level1.groupby("cell").size().max() <= 5 and placed.count() == 61
+    assert {f.name for f in level2.schema} == {"cell", "centroid", "n"}
+
+
+def test_jobs_of_a_nested_fit_do_not_grow_with_its_size(spark, points):
+    v = frame(spark, points)
+
+    def jobs(k2, k1):
+        spark.sparkContext.setJobGroup(f"fit-{k2}-{k1}", "")
+        fits.fit_nested(v, k2, k1, coarse_steps=1, steps=1, seed=7)
+        count = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit-{k2}-{k1}"))
+        spark.sparkContext.setJobGroup("rest", "")
+        return count
+
+    assert abs(jobs(2, 2) - jobs(12, 9)) <= 3  # adaptive execution may split a job
+
+
+def test_sums_of_many_sources_and_small_memory(spark, points, monkeypatch):
+    """Sums that leave a task early, from more sources than one round merges."""
+    monkeypatch.setattr(fits, "HELD_BYTES", 8 * points.shape[1] * 2)
+    v = frame(spark, points).repartition(70)
+    c = spark.createDataFrame([(i, points[i].tolist(), 0) for i in range(6)], "label int, centroid array<double>, n bigint")
+    got = fits.step(v, c, running=False, limit_bytes=8 * points.shape[1] * 4).toPandas().sort_values("label")
+    centres, n = plain_lloyd(points, points[:6], 1)
+    assert np.allclose(np.array(got.centroid.tolist()), centres) and got.n.tolist() == n.tolist()
+
+
 def test_lloyd_stops_when_nothing_moves(spark, points):
     v = frame(spark, points[:40])
     init = v.filter("script_id < 3")

@@ -1,8 +1,7 @@
 """k-means in three forms, members, medoids, inspection and reduction.
 
-Centres are the only state that returns to the driver between steps (k x dim
-doubles, checked). Points never move: each task adds up its own points per centre
-and only these sums are shuffled.
+The steps of the fits are in `fits`: centres are a table between two steps, points never
+move, and only sums per centre are shuffled.
 """
 
 from __future__ import annotations
@@ -19,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
+from verbatlas.operators import fits
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.ordering import ranks_within
-from verbatlas.operators.sampling import sample_exact
 from verbatlas.session import materialise
 
 # Seeds and chunk sizes of the original fits.
@@ -31,9 +30,6 @@ MINIBATCH_CHUNK = 300_000
 ENSEMBLE_CHUNKS = 5
 SECOND_LEVEL_K = 100
 
-# The centres of one fit live on the driver and in every task.
-CENTRES_LIMIT_BYTES = 512 * 1024 * 1024
-
 
 def mean_vectors(
     df: DataFrame, group: str, vector: str = "vector", out: str = "centroid", width: int | None = None
@@ -55,11 +51,6 @@ def mean_vectors(
     return sums.select(group, "n", F.array(*[F.col(f"_m{i}") for i in range(width)]).alias(out))
 
 
-def _check_size(k: int, dim: int) -> None:
-    if k * dim * 8 > CENTRES_LIMIT_BYTES:
-        raise ValueError(f"{k} centres of width {dim} are too many for one driver")
-
-
 def _centre_table(spark: SparkSession, matrix: np.ndarray, counts: np.ndarray) -> DataFrame:
     table = pa.table(
         {
@@ -71,56 +62,6 @@ def _centre_table(spark: SparkSession, matrix: np.ndarray, counts: np.ndarray) -
     return spark.createDataFrame(table)
 
 
-def _sums(vectors: DataFrame, matrix: np.ndarray, vector: str) -> tuple[np.ndarray, np.ndarray]:
-    """Per centre the number and the sum of the vectors closest to it."""
-    k, dim = matrix.shape
-    shared = vectors.sparkSession.sparkContext.broadcast(matrix)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.value
-        totals, counts = np.zeros(centres.shape), np.zeros(len(centres), np.int64)
-        for batch in batches:
-            data = blocks.to_matrix(batch.column(0), centres.shape[1])
-            best, _ = blocks.nearest_ref(data, centres, "euclidean")
-            order = np.argsort(best, kind="stable")
-            used, starts = np.unique(best[order], return_index=True)
-            if len(used):
-                totals[used] += np.add.reduceat(data[order], starts, axis=0)
-                counts += np.bincount(best, minlength=len(centres))
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), pa.array(counts[used]), blocks.to_lists(totals[used])],
-            names=["label", "n", "sums"],
-        )
-
-    partial = (
-        vectors.filter(F.col(vector).isNotNull())
-        .select(vector)
-        .mapInArrow(add, "label bigint, n bigint, sums array<double>")
-    )
-    cells = partial.select("label", "n", F.posexplode("sums").alias("dim", "x"))
-    merged = cells.groupBy("label", "dim").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    got = merged.toArrow()  # at most k x dim rows
-    shared.unpersist()
-    counts, totals = np.zeros(k, np.int64), np.zeros((k, dim))
-    label = got["label"].to_numpy()
-    totals[label, got["dim"].to_numpy()] = got["x"].to_numpy()
-    counts[label] = got["n"].to_numpy()
-    return counts, totals
-
-
-def _start(vectors: DataFrame, k: int, init: DataFrame | None, item_id: str, vector: str, seed: int) -> np.ndarray:
-    """``k`` distinct starting vectors, in id order: given, or an exact seeded sample."""
-    if init is None:
-        init = sample_exact(vectors.select(item_id, vector), k, item_id, seed)
-    table = init.select(item_id, vector).toArrow().sort_by(item_id)
-    if table.num_rows != k:
-        raise ValueError(f"need {k} starting vectors, got {table.num_rows}")
-    matrix = blocks.to_matrix(table[vector])
-    _check_size(*matrix.shape)
-    return matrix
-
-
 def fit_minibatch(
     vectors: DataFrame,
     k: int,
@@ -138,17 +79,8 @@ def fit_minibatch(
     Returns ``label, centroid, n``. A chunk is a range filter on the ordinal, which a
     table written in ordinal order answers from a few files.
     """
-    matrix = _start(vectors, k, init, item_id, vector, seed)
-    seen = np.zeros(k, np.int64)
-    stop = vectors.agg(F.max(ordinal).alias("m")).first()["m"]
-    for start in range(0, 0 if stop is None else stop + 1, chunk_size):
-        chunk = vectors.filter((F.col(ordinal) >= start) & (F.col(ordinal) < start + chunk_size))
-        counts, totals = _sums(chunk, matrix, vector)
-        moved = counts > 0
-        total = (seen + counts)[moved, None]
-        matrix[moved] = (matrix[moved] * seen[moved, None] + totals[moved]) / total
-        seen += counts
-    return _centre_table(vectors.sparkSession, matrix, seen)
+    centres = fits.start(vectors, k, init, item_id, vector, seed)
+    return fits.run(vectors, centres, 0, vector=vector, ordinal=ordinal, chunk_size=chunk_size)
 
 
 def fit_lloyd(
@@ -166,15 +98,7 @@ def fit_lloyd(
     It ends earlier when no centre moves any more, since further passes would then
     repeat the last one.
     """
-    matrix = _start(vectors, k, init, item_id, vector, seed)
-    counts = np.zeros(k, np.int64)
-    for _ in range(iterations):
-        counts, totals = _sums(vectors, matrix, vector)
-        moved, before = counts > 0, matrix.copy()
-        matrix[moved] = totals[moved] / counts[moved, None]
-        if np.array_equal(before, matrix):
-            break
-    return _centre_table(vectors.sparkSession, matrix, counts)
+    return fits.run(vectors, fits.start(vectors, k, init, item_id, vector, seed), iterations, vector=vector)
 
 
 def fit_full(vectors: DataFrame, k: int, *, vector: str = "vector", seed: int = KMEANS_SEED, max_iter: int = 20) -> DataFrame:

@@ -1,27 +1,27 @@
 """Nearest centre and nearest neighbours without forming the pairs as rows.
 
-One side (queries, centres) is cut into blocks of a fixed byte size. Queries that fit one
-block, and every block of centres, go to all tasks as a broadcast variable; the other side,
-of any size, is only scanned: each task scores its Arrow batches against the block and hands
-on a winner or the best ``k``, so a cluster that holds a third of the corpus is spread over as
-many tasks as its files have splits. More queries meet slices of the corpus on the executors.
+One side (queries, centres) is cut into blocks of a fixed byte size. What fits one block goes to
+all tasks as a broadcast variable; the other side, of any size, is only scanned: each task scores
+its Arrow batches against the block and hands on a winner or the best ``k``, so a cluster that holds
+a third of the corpus is spread over as many tasks as its files have splits. Where there are more,
+blocks meet slices of the other side on the executors, one block in a task at a time.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbatlas.functions import blocks
 from verbatlas.functions.distance import METRICS
-from verbatlas.operators.ordering import first_per_group, global_ordinals
+from verbatlas.operators.ordering import first_per_group, global_ordinals, ranks_within
+from verbatlas.operators.units import deal
 from verbatlas.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, materialise
 
 # A table with no more rows than this is fetched without numbering its rows first.
@@ -34,26 +34,6 @@ SLICE_ROWS = 50_000
 PRUNE_KEYS = 1000
 
 
-def bounded_blocks(
-    df: DataFrame, vector: str, order_by: Sequence[str], limit_bytes: int | None = None
-) -> Iterator[pa.Table]:
-    """The rows of ``df`` as Arrow tables, none larger than the broadcast limit.
-
-    Blocks of a table above the limit follow ``order_by``, so rows with equal keys
-    stay together and a keyed scan of one block touches few partitions.
-    """
-    # One job: limit() stops after the first few partitions of a large table.
-    table = df.limit(HEAD_ROWS + 1).toArrow()
-    if table.num_rows <= min(HEAD_ROWS, _block_rows(table, vector, limit_bytes)):
-        yield table
-        return
-    numbered = global_ordinals(df, order_by, "_position")
-    rows = _block_rows(table, vector, limit_bytes)
-    for start in range(0, numbered.count(), rows):
-        block = numbered.filter((F.col("_position") >= start) & (F.col("_position") < start + rows))
-        yield block.drop("_position").toArrow()
-
-
 def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None, results: int = 0) -> int:
     """Rows of a block, for each of which a task also holds ``results`` results."""
     width = max(1, len(sample[vector][0])) if sample.num_rows else 1
@@ -102,64 +82,129 @@ def assign(
 ) -> DataFrame:
     """Closest centre of every vector: ``item_id, *keep, centre_id, distance``.
 
-    Equal distances go to the smaller centre id. With ``key`` a vector only meets the
-    centres of its own key. More centres than fit one block are worked off block by
-    block in the same pass over the vectors. ``max_distance`` drops what lies beyond.
+    Equal distances go to the smaller centre id. With ``key`` a vector only meets the centres of its
+    own key. Centres that fit one block are broadcast and the vectors only scanned. More centres are
+    cut into blocks, and units of one block and a slice of the vectors meet on the executors:
+    by key, or by groups around pivots whose bounds tell which blocks a vector has to meet (see
+    `pruned`). ``max_distance`` drops what lies beyond.
     """
     _check_metric(metric)
     passed = list(dict.fromkeys([item_id, *keep, *([key] if key else []), vector]))
-    out = vectors.filter(F.col(vector).isNotNull()).select(*passed)
-    fields = [out.schema[c] for c in passed]
-    id_type = centres.schema[centre_id].dataType
-    schema = T.StructType([*fields, T.StructField("_id", id_type), T.StructField("_d", T.DoubleType())])
-    out = out.withColumns({"_id": F.lit(None).cast(id_type), "_d": F.lit(None).cast("double")})
-
-    wanted = [centre_id, centroid] + ([key] if key else [])
-    spark = vectors.sparkSession
-    for table in bounded_blocks(centres.select(*wanted), centroid, [centre_id], limit_bytes):
-        if table.num_rows == 0:
-            continue
-        table = table.sort_by(centre_id)
-        shared = spark.sparkContext.broadcast(
-            (
-                _values(table[centre_id]),
-                blocks.to_matrix(table[centroid]),
-                _by_key(table[key]) if key else None,
-            )
-        )
-
-        def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, matrix, groups = shared.value
-            for batch in batches:
-                data = blocks.to_matrix(batch.column(vector), matrix.shape[1])
-                best = np.full(len(data), -1, np.int64)
-                dist = np.full(len(data), np.nan)
-                if groups is None:
-                    best, dist = blocks.nearest_ref(data, matrix, metric, p)
-                else:
-                    for value, rows in _by_key(batch.column(key)).items():
-                        if value in groups:
-                            at, d = blocks.nearest_ref(data[rows], matrix[groups[value]], metric, p)
-                            best[rows] = np.where(at >= 0, groups[value][at], -1)
-                            dist[rows] = d
-                old = batch.column("_d").to_numpy(zero_copy_only=False).astype(float)
-                digits = blocks.TIE_DIGITS
-                better = (best >= 0) & ~(np.round(old, digits) <= np.round(dist, digits))
-                new_ids = pa.array(ids[np.maximum(best, 0)].tolist(), batch.column("_id").type)
-                columns = [batch.column(c) for c in passed]
-                columns.append(pc.if_else(pa.array(better), new_ids, batch.column("_id")))
-                columns.append(pa.array(np.where(better, dist, old), pa.float64(), from_pandas=True))
-                yield pa.RecordBatch.from_arrays(columns, names=[*passed, "_id", "_d"])
-
-        out = out.mapInArrow(step, schema)
-
-    out = out.filter(F.col("_id").isNotNull())
+    rows = vectors.filter(F.col(vector).isNotNull()).select(*passed)
+    wanted = centres.filter(F.col(centroid).isNotNull()).select(centre_id, centroid, *([key] if key else []))
+    table = fits_block(wanted, centroid, limit_bytes)
+    if table is not None:
+        out = _assign_block(rows, table, vector, centre_id, centroid, centres.schema[centre_id].dataType, metric, p, key)
+    elif key:
+        out = _assign_keyed(rows, wanted, vector, centre_id, centroid, metric, p, key, limit_bytes)
+    else:
+        from verbatlas.operators import pruned  # it groups the centres by an assignment of its own
+
+        out = pruned.assign_many(rows, wanted, vector, centre_id, centroid, metric, p, limit_bytes)
     if max_distance is not None:
         out = out.filter(F.col("_d") < F.lit(max_distance))
     named = [F.col("_id").alias(centre_id), F.col("_d").alias("distance")]
     return out.select(*dict.fromkeys([item_id, *keep]), *named)
 
 
+def fits_block(df: DataFrame, vector: str, limit_bytes: int | None = None) -> pa.Table | None:
+    """The whole table if it is no larger than a block, else nothing."""
+    # One job: limit() stops after the first few partitions of a large table.
+    table = df.limit(HEAD_ROWS + 1).toArrow()
+    rows = _block_rows(table, vector, limit_bytes)
+    if table.num_rows <= min(HEAD_ROWS, rows):
+        return table
+    return df.toArrow() if rows > HEAD_ROWS and df.count() <= rows else None
+
+
+def _assign_block(
+    rows: DataFrame,
+    table: pa.Table,
+    vector: str,
+    centre_id: str,
+    centroid: str,
+    id_type: T.DataType,
+    metric: str,
+    p: float,
+    key: str | None,
+) -> DataFrame:
+    """The rows with ``_id`` and ``_d`` of the closest of one block of centres, in one scan."""
+    passed = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("_id", id_type), T.StructField("_d", T.DoubleType())])
+    if table.num_rows == 0:
+        return rows.limit(0).withColumns({"_id": F.lit(None).cast(id_type), "_d": F.lit(None).cast("double")})
+    table = table.sort_by(centre_id)
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (table[centre_id].combine_chunks(), blocks.to_matrix(table[centroid]), _by_key(table[key]) if key else None)
+    )
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix, groups = shared.value
+        for batch in batches:
+            data = blocks.to_matrix(batch.column(vector), matrix.shape[1])
+            if groups is None:
+                best, dist = blocks.nearest_ref(data, matrix, metric, p)
+            else:
+                best, dist = np.full(len(data), -1, np.int64), np.full(len(data), np.nan)
+                for value, own in _by_key(batch.column(key)).items():
+                    if value in groups:
+                        at, d = blocks.nearest_ref(data[own], matrix[groups[value]], metric, p)
+                        best[own], dist[own] = np.where(at >= 0, groups[value][at], -1), d
+            found = np.flatnonzero(best >= 0)
+            columns = [batch.column(c).take(pa.array(found)) for c in passed]
+            columns += [ids.take(pa.array(best[found])), pa.array(dist[found])]
+            yield pa.RecordBatch.from_arrays(columns, names=[*passed, "_id", "_d"])
+
+    return rows.mapInArrow(step, schema)
+
+
+def best_of_units(rows: DataFrame, partial: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+    """``rows`` with ``_id`` and ``_d`` of the best of all partial winners ``_row, _id, _d`` of a row."""
+    order = F.struct(F.round("_d", blocks.TIE_DIGITS).alias("r"), F.col("_id"), F.col("_d"))
+    best = partial.groupBy("_row").agg(F.min(order).alias("_best"), *extra)
+    best = best.select("_row", "_best._id", "_best._d", *[c for c in best.columns if c not in ("_row", "_best")])
+    return rows.join(best, "_row").drop("_row")
+
+
+def _assign_keyed(
+    rows: DataFrame,
+    centres: DataFrame,
+    vector: str,
+    centre_id: str,
+    centroid: str,
+    metric: str,
+    p: float,
+    key: str,
+    limit_bytes: int | None,
+) -> DataFrame:
+    """Blocks of centres of one key meet slices of the vectors of that key."""
+    size = _block_rows(centres.limit(1).toArrow(), centroid, limit_bytes)
+    placed = ranks_within(centres.filter(F.col(key).isNotNull()), [key], [centre_id], "_place")
+    placed = placed.withColumn("_block", F.floor((F.col("_place") - 1) / F.lit(size)).cast("int")).drop("_place")
+    placed = materialise(placed, "centres")
+    parts = placed.groupBy(key).agg((F.max("_block") + 1).alias("_parts"))
+    written = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "vectors")
+    sent = written.select("_row", key, vector).join(broadcast_if_small(materialise(parts, "parts")), key)
+    sent = sent.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    left, right = deal(sent, placed, [key, "_block"], ["_row"], SLICE_ROWS)
+    id_type = centres.schema[centre_id].dataType
+    schema = T.StructType([written.schema["_row"], T.StructField("_id", id_type), T.StructField("_d", T.DoubleType())])
+
+    def unit(some: pa.Table, refs: pa.Table) -> pa.Table:
+        if not some.num_rows or not refs.num_rows:
+            return pa.table([some["_row"].slice(0, 0), refs[centre_id].slice(0, 0), pa.array([], pa.float64())], names=schema.names)
+        refs = refs.sort_by(centre_id)
+        best, dist = blocks.nearest_ref(blocks.to_matrix(some[vector]), blocks.to_matrix(refs[centroid]), metric, p)
+        found = pa.array(np.flatnonzero(best >= 0))
+        return pa.table(
+            [some["_row"].take(found), refs[centre_id].take(pa.array(best[best >= 0])), pa.array(dist).take(found)], names=schema.names
+        )
+
+    unit_of = [key, "_block", "_slice"]
+    partial = left.groupBy(*unit_of).cogroup(right.groupBy(*unit_of)).applyInArrow(unit, schema)
+    return best_of_units(written, partial)
+
+
 def nearest(
     queries: DataFrame,
     corpus: DataFrame,
@@ -311,11 +356,7 @@ def nearest(
             last = left.agg(F.max("_block")).first()[0]
             right = c.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last))))
         right = right.select(*dict.fromkeys(columns), "_block")
-        most = right.groupBy("_block").count().agg(F.max("count")).first()[0] or 0
-        slices = max(1, math.ceil(most / SLICE_ROWS))
-        right = right.withColumn("_slice", F.pmod(F.xxhash64(item_id), F.lit(slices)))
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))
-        left = left.withColumn("_slice", F.explode(every))
+        right, left = deal(right, left, ["_block"], [item_id], SLICE_ROWS)
 
         def unit(some: pa.Table, rows: pa.Table) -> pa.Table:
             matrix = blocks.to_matrix(some[query_vector]) if some.num_rows else np.zeros((0, 1))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from verbatlas.functions.distance import norm
 from verbatlas.functions.text import cluster_key
 from verbatlas.operators import cluster as C
+from verbatlas.operators.fits import fit_nested
 from verbatlas.operators.nearest import assign
+from verbatlas.operators.pruned import assign_pruned
 from verbatlas.operators.publish import member_chunks, reassemble
 from verbatlas.operators.sampling import sample_exact
 from verbatlas.plans.index import build_index, load_index, second_level
@@ -65,6 +67,21 @@ def assign_saved_centres(spark, folder):
     return placed.select("vec_id", "cluster_id", F.round("distance", 5).alias("distance"))
 
 
+_NEAREST_DOCUMENT = """select vec_id, centre, round(d, 5) as distance from (
+    select v.vec_id, c.vec_id as centre, list_distance(v.e, c.e) as d,
+           row_number() over (partition by v.vec_id order by round(list_distance(v.e, c.e), 9), c.vec_id) as r
+    from v, v c where c.vec_id % 5 = 0) where r = 1"""
+
+
+@query(f"with {V} {_NEAREST_DOCUMENT}")
+def assign_pruned_centres(spark, folder):
+    """Every vector to the nearest of many centres, every fifth vector, by bounds through groups of them."""
+    v = vectors(spark, folder)
+    centres = v.filter(F.col("vec_id") % 5 == 0).select(F.col("vec_id").alias("centre"), F.col("vector").alias("centroid"))
+    placed = assign_pruned(v, centres, item_id="vec_id", centre_id="centre")
+    return placed.select("vec_id", "centre", F.round("distance", 5).alias("distance"))
+
+
 @query(f"with {V}, {MEANS} {_ASSIGNED}")
 def incremental_assign(spark, folder):
     """Vectors that arrive in two deliveries, each worked off by its own run."""
@@ -223,6 +240,36 @@ def second_level_clusters(spark, folder):
     return placed.select("cluster_id", "lv2_id")
 
 
+def _nested_step(name: str, centres: str) -> str:
+    """CTE ``<name>(cell, label, c, n)``: the centres of all cells after one more full pass."""
+    return f"""{name}_a as (select cell, e, label from (select p.cell, p.e, c.label, row_number() over (
+            partition by p.vec_id order by list_distance(p.e, c.c), c.label) as r
+        from placed p join {centres} c on c.cell = p.cell) where r = 1),
+    {name}_w as (select cell, label, i, sum(e[i]) as s, count(*) as m from {name}_a, range(1, 65) t(i) group by 1, 2, 3),
+    {name} as (select c.cell, c.label, list(coalesce(w.s / w.m, c.c[i.i]) order by i.i) as c, any_value(coalesce(w.m, 0)) as n
+        from {centres} c cross join range(1, 65) i(i)
+        left join {name}_w w on w.cell = c.cell and w.label = c.label and w.i = i.i group by c.cell, c.label)"""
+
+
+_SEEDED = f"('0x' || substr(md5('{SEED}:' || vec_id), 1, 15))::bigint, vec_id"
+
+
+@query(
+    f"""with {V}, {_START.replace(f"r <= {K}", "r <= 4")}, {_win("w1", "v", "start")},
+        {_STEP.format(out="coarse", centres="start", won="w1", n="0")},
+        placed as (select vec_id, e, cell from (select v.vec_id, v.e, c.label as cell, row_number() over (
+            partition by v.vec_id order by list_distance(v.e, c.c), c.label) as r from v, coarse c) where r = 1),
+        first as (select cell, (row_number() over (partition by cell order by vec_id) - 1)::int as label, e as c from (
+            select *, row_number() over (partition by cell order by {_SEEDED}) as r from placed) where r <= 6),
+        {_nested_step("s1", "first")}, {_nested_step("s2", "s1")}
+        select cell, label, (i - 1)::bigint as dim, round(c[i], 5) as value, n::bigint as n from s2, range(1, 65) t(i)"""
+)
+def nested_fit_two_steps(spark, folder):
+    """Four cells after one pass, and up to six centres inside each after two, all cells in the same jobs."""
+    level1, _, _ = fit_nested(vectors(spark, folder), 4, 6, coarse_steps=1, steps=2, item_id="vec_id", seed=SEED)
+    return _cells(level1, "cell", "label", "n")
+
+
 @query()
 def kmeans_mllib(spark, folder):
     """Random starting centres, so only the rows can be compared."""
