@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
 from verbatlas.operators import nearest as nearest_module
-from verbatlas.operators import cluster, fits, maintain, pruned, publish, quality, sampling, sets
+from verbatlas.operators import cluster, fits, maintain, pivots, pruned, publish, quality, sampling, sets
 from verbatlas.operators.encode import HashedEncoder, ModelEncoder, count_unusable, embed
 from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.ordering import (
@@ -20,6 +20,7 @@ from verbatlas.operators.ordering import (
     zip_positions,
 )
 from verbatlas.operators.pruned import assign_pruned
+from verbatlas.operators.waves import first_n_waves
 
 
 def frame(spark, matrix, id_name="script_id", **extra):
@@ -143,6 +144,68 @@ def test_first_n_takes_stored_order(spark, points):
         assert got[got.query_id == i].sort_values("rank").script_id.tolist() == want
 
 
+def test_waves_stop_at_the_last_hit(spark):
+    """Clusters of very different size, queries with many, few and no hits."""
+    rng = np.random.default_rng(8)
+    sizes = {"a": 400, "b": 30, "c": 3}
+    name = np.repeat(list(sizes), list(sizes.values()))
+    rank = np.concatenate([np.arange(1, n + 1) for n in sizes.values()])
+    members = rng.normal(size=(len(name), 4))
+    members[(name == "a") & (rank > 20)] += 50.0  # only the first of this cluster are near
+    asked = rng.normal(size=(12, 4))
+    asked[3] += 1000.0
+    where = np.array(["a", "b", "c", "a"] * 3)
+    q = frame(spark, asked, "query_id", cluster_id=where)
+    store = frame(spark, members, cluster_id=name, rank=rank)
+
+    def run(first, report):
+        fetch = lambda _, low, high: store.filter((F.col("rank") > low) & (F.col("rank") <= high))
+        got = first_n_waves(q, fetch, lambda r: store.filter(F.col("rank") == r), 4, 3.0, first=first, report=report)
+        return got.toPandas().sort_values(["query_id", "rank"])
+
+    report = []
+    got = run(4, report)
+    for i in range(12):
+        mine = np.flatnonzero(name == where[i])
+        d = blocks.row_distance(members[mine], np.broadcast_to(asked[i], (len(mine), 4)), "euclidean")
+        hits = [j for j in np.argsort(rank[mine]) if d[j] < 3.0][:4]
+        want = [mine[j] for j in sorted(hits, key=lambda j: (round(d[j], 9), mine[j]))]
+        assert got[got.query_id == i].script_id.tolist() == want
+    assert [(r["low"], r["high"]) for r in report] == [(0, 4), (4, 20), (20, 84), (84, 340), (340, 1364)]
+    asked_of = [r["queries"] for r in report]
+    assert asked_of[0] == 12 and asked_of[-1] >= 1 and asked_of == sorted(asked_of, reverse=True) and asked_of[2] < 12
+    once = []
+    pd.testing.assert_frame_equal(got.reset_index(drop=True), run(400, once).reset_index(drop=True))
+    assert len(once) == 1
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cityblock", "chebyshev"])
+def test_pivots_skip_blocks_and_lose_nothing(spark, metric, monkeypatch):
+    monkeypatch.setattr(pivots, "QUERIES", 7)  # more slices than one for a block
+    rng = np.random.default_rng(4)
+    data = clustered(rng, 12, 30)
+    data = np.vstack([data, data[:40], data[:1]])  # ties
+    asked = np.vstack([data[::20], rng.normal(size=(3, 5)) * 20])
+    table = pivots.build_table(frame(spark, data), metric, pivots=6, block_rows=10)
+    report = {}
+    got = pivots.search_pivots(frame(spark, asked, "query_id"), table, 5, report=report).toPandas().sort_values(["query_id", "rank"])
+    assert (got.script_id.to_numpy().reshape(len(asked), 5) == brute(asked, data, 5, metric)).all()
+    assert report["all"] == len(asked) * 41 and report["compared"] < 0.3 * report["all"]
+
+
+def test_pivots_of_few_and_undefined_rows(spark, points):
+    rows = frame(spark, points[:3])
+    bad = spark.createDataFrame([(10, None), (11, [float("nan")] * 6), (12, [None] * 6)], "script_id long, vector array<double>")
+    table = pivots.build_table(rows.union(bad))
+    got = pivots.search_pivots(frame(spark, points[:2], "query_id"), table, 9).toPandas()
+    assert got.groupby("query_id").script_id.apply(sorted).tolist() == [[0, 1, 2]] * 2
+    assert pivots.search_pivots(frame(spark, points[:2], "query_id").limit(0), table, 2).count() == 0
+    empty = pivots.build_table(rows.limit(0))
+    assert pivots.search_pivots(frame(spark, points[:2], "query_id"), empty, 2).count() == 0
+    with pytest.raises(ValueError):
+        pivots.build_table(rows, "cosine")
+
+
 def test_max_distance_and_bad_arguments(spark, points):
     q, c = frame(spark, points[:5], "query_id"), frame(spark, points)
     assert (nearest(q, c, 50, max_distance=2.0).toPandas().distance < 2.0).all()

@@ -222,6 +222,7 @@ def nearest(
     item_rank: str | None = None,
     max_distance: float | None = None,
     bound_sample: float | None = None,
+    in_order: bool = False,
     limit_bytes: int | None = None,
 ) -> DataFrame:
     """Neighbours of every query: ``query_id, item_id, rank, distance``.
@@ -234,7 +235,8 @@ def nearest(
     further columns that both sides share (partition columns of a saved corpus).
     ``bound_sample`` scores that share of the corpus first: the k-th distance found in
     it is an upper bound of the true one, so tasks of the full pass need not report
-    anything farther. It changes the work, never the result.
+    anything farther. It changes the work, never the result. ``in_order`` leaves out the last
+    ranking by distance and returns ``query_id, item_id, distance, _order`` instead.
     """
     _check_metric(metric)
     if mode not in ("top_k", "first_n"):
@@ -375,6 +377,8 @@ def nearest(
     table = q.limit(HEAD_ROWS + 1).toArrow()
     small = table.num_rows <= min(HEAD_ROWS, _block_rows(table, query_vector, limit_bytes, k))
     out = one_block(table) if small else paired(table)
+    if in_order:
+        return out.select(query_id, item_id, "distance", "_order")
     if mode == "first_n":
         out = first_per_group(out.drop("rank"), [query_id], [F.round("distance", blocks.TIE_DIGITS), item_id], k)
     return out.select(query_id, item_id, "rank", "distance")

@@ -10,6 +10,7 @@ from verbatlas.functions.text import normalise_query, time_label
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.publish import reassemble
+from verbatlas.operators.waves import PER_HIT, first_n_waves
 from verbatlas.plans.index import VectorIndex
 from verbatlas.session import materialise
 from verbatlas.sources.tables import pick
@@ -86,9 +87,30 @@ def ranked_ids(
     rank_metric: str = "euclidean",
     max_distance: float | None = None,
     mode: str = "top_k",
+    first_wave: int | None = None,
+    report: list | None = None,
 ) -> DataFrame:
-    """Route, then rank the members of the chosen cluster: ``query_id, script_id, rank, distance``."""
+    """Route, then rank the members of the chosen cluster: ``query_id, script_id, rank, distance``.
+
+    ``mode="first_n"`` reads the postings in waves of ranks and stops for a query at its ``k``-th hit.
+    """
     routed = route(queries, index, levels, route_metric)
+    if mode == "first_n":
+        if max_distance is None:
+            raise ValueError("first_n needs max_distance")
+        # Two scans a wave: an index that only exists as a plan is written first.
+        postings = index.postings if index.block_rows is not None else materialise(index.postings, "postings")
+        return first_n_waves(
+            routed.drop("distance"),
+            lambda _, low, high: postings.filter((F.col("rank") > low) & (F.col("rank") <= high)),
+            lambda place: postings.filter(F.col("rank") == place),
+            k,
+            max_distance,
+            metric=rank_metric,
+            prune_by=["lv2_id"] if levels == 2 else [],
+            first=first_wave,
+            report=report,
+        )
     return nearest(
         routed,
         index.postings,
@@ -97,7 +119,6 @@ def ranked_ids(
         key="cluster_id",
         prune_by=["lv2_id"] if levels == 2 else [],
         mode=mode,
-        item_rank="rank",
         max_distance=max_distance,
     )
 
@@ -137,23 +158,32 @@ def search_published(
 ) -> DataFrame:
     """One-level search over published documents; members without a document are skipped."""
     routed = assign(queries, centroids, item_id="query_id", keep=["vector"], metric=metric)
-    routed = materialise(routed, "routed")
-    members = reassemble(pick(chunks, routed, "cluster_id"), first_chunk, last_chunk)
-    members = materialise(members, "members")
-    stored = members.join(pick(documents, members).select("script_id", "vector"), "script_id")
-    # Order of a member: its chunk, then its place in it, as one exact number.
-    longest = members.agg(F.max("place")).first()[0] or 0
-    order = (F.col("chunk_no") * F.lit(longest + 1) + F.col("place")).cast("double")
-    hits = nearest(
-        routed,
-        stored.withColumn("_stored", order),
-        k,
-        metric=metric,
-        key="cluster_id",
-        mode=mode,
-        item_rank="_stored",
-        max_distance=max_distance,
-    )
+    routed = materialise(routed.drop("distance"), "routed")
+    span = F.lit(True)
+    if first_chunk is not None:
+        span = span & (F.col("chunk_no") >= first_chunk)
+    if last_chunk is not None:
+        span = span & (F.col("chunk_no") <= last_chunk)
+    before = 0 if first_chunk is None else max(first_chunk, 1) - 1
+    chunks = chunks.filter(span)
+    longest = chunks.agg(F.max("n")).first()[0] or 0
+
+    def stored(asked: DataFrame, low: int | None, high: int | None) -> DataFrame:
+        """Members of some chunks with their vectors; the order is the chunk, then the place in it, as one exact number."""
+        some = chunks
+        if high is not None:
+            some = chunks.filter((F.col("chunk_no") > before + low) & (F.col("chunk_no") <= before + high))
+        members = materialise(reassemble(pick(some, asked, "cluster_id")), "members")
+        rows = members.join(pick(documents, members).select("script_id", "vector"), "script_id")
+        return rows.withColumn("_stored", (F.col("chunk_no") * F.lit(longest + 1) + F.col("place")).cast("double"))
+
+    if mode == "first_n":
+        # Waves of chunks; a chunk may be absent, and a member without a document is skipped.
+        more = lambda place: chunks.filter(F.col("chunk_no") >= before + place)
+        wave = max(1, PER_HIT * k // max(longest, 1))
+        hits = first_n_waves(routed, stored, more, k, max_distance, metric=metric, order="_stored", first=wave)
+    else:
+        hits = nearest(routed, stored(routed, None, None), k, metric=metric, key="cluster_id", max_distance=max_distance)
     return add_info(hits, documents, padded=False, how="inner")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.operators.cluster import mean_vectors, members_ranked
 from verbatlas.operators.nearest import assign, nearest
+from verbatlas.operators.pivots import build_table, load_table, search_pivots
 from verbatlas.operators.publish import member_chunks
 from verbatlas.plans import search as S
 from verbatlas.plans.index import VectorIndex, append_to_index, load_index
@@ -119,6 +120,25 @@ def search_one_level_first_n(spark, folder):
     return _rounded(hits.withColumn("vec_id", decode_id(F.col("script_id"))), "query_id", "vec_id")
 
 
+@query(
+    f"""with {V}, {MEANS}, {RANKED}, {_route2(_euclid)},
+        hit as (select r.query_id, k.vec_id, {cityblock("r.e", "k.e")} as d, k.place
+                from route r join ranked k on k.cluster_id = r.cluster_id),
+        first as (select * from (select *, row_number() over (partition by query_id order by place) as n
+                  from hit where d < 8.6) where n <= 5)
+        select query_id, vec_id, row_number() over (partition by query_id order by round(d, 9), {encoded("vec_id")}) as rank,
+               round(d, 5) as distance from first"""
+)
+def search_first_n_waves(spark, folder):
+    """Two levels, the first five members within a city-block distance, from a saved index in waves of eight ranks and more."""
+    path = scratch_path(spark, "index")
+    label_index(spark, folder).save(path)
+    index = load_index(spark, path)
+    asked = as_queries(vectors(spark, folder))
+    hits = S.ranked_ids(asked, index, 5, 2, "euclidean", "cityblock", 8.6, "first_n", first_wave=8)
+    return _rounded(hits.withColumn("vec_id", decode_id(F.col("script_id"))), "query_id", "vec_id")
+
+
 _TOP = """top as (select * from (select r.query_id, k.vec_id, {0} as d,
                row_number() over (partition by r.query_id order by round({0}, 9), {1}) as rank
         from route r join ranked k on k.cluster_id = r.cluster_id) where rank <= 10)"""
@@ -244,6 +264,21 @@ def text_search(spark, folder):
     return _rounded(hits.withColumnRenamed("ordinal", "doc_id"), "query_id", "doc_id")
 
 
+@query(
+    f"""with {_TEXT},
+        p as (select q.id as query_id, d.id as doc_id, {cityblock("q.e", "d.e")} as x from qv q, dv d),
+        r as (select *, row_number() over (partition by query_id order by round(x, 9), doc_id) as rank from p)
+        select query_id, doc_id, rank, round(x, 5) as distance from r where rank <= 5"""
+)
+def exhaustive_pivots(spark, folder):
+    """Every benchmark text against all documents by city block, skipping blocks by their bounds; the table is saved and loaded."""
+    docs = text_vectors(spark, folder).select(F.col("ordinal").alias("doc_id"), "vector")
+    path = scratch_path(spark, "pivots")
+    build_table(docs, "cityblock", item_id="doc_id", block_rows=64).save(path)
+    asked = S.encode_queries(table(spark, folder, "benchmark").withColumnRenamed("item_id", "query_id"), ENCODER)
+    return _rounded(search_pivots(asked, load_table(spark, path, "cityblock", "doc_id"), 5), "query_id", "doc_id")
+
+
 _TEXT_ROUTED = f"""with {_TEXT},
     src as (select doc_id, 'c' || substr(source, 4) as cluster_id,
                    'cc' || (substr(source, 4)::int % 3) as lv2_id from documents),
