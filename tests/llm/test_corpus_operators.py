@@ -167,6 +167,38 @@ def test_suffixes_by_either_way(spark, monkeypatch, bucket):
     assert got == dict(enumerate(brute.removed(docs)))
 
 
+@pytest.mark.parametrize("size", [60, 390, 430])
+def test_suffixes_of_a_string_that_many_texts_share(spark, monkeypatch, size):
+    """One bucket above the limit, whose rows grow by a few per piece and not by the bytes of a window."""
+    made = []
+    monkeypatch.setattr(suffixes, "BUCKET", 20)
+    monkeypatch.setattr(suffixes, "_large_buckets", lambda f, n, w, real=suffixes._large_buckets: (made.append(f.count()), real(f, n, w))[1])
+    rng = np.random.default_rng(size)
+    text = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    shared = text(size)
+    docs = [text(int(rng.integers(300, 700))) + shared + text(int(rng.integers(300, 700))) for _ in range(60)]
+    docs += [docs[3][100:800], text(200) + docs[5][:500]]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.dedup(df).collect()}
+    assert got == dict(enumerate(brute.removed(docs))) and made
+
+
+def test_halves_are_few_rows(spark):
+    """Pieces around a long shared string give about two rows a round, not one per suffix."""
+    rng = np.random.default_rng(1)
+    shared = rng.integers(97, 123, 390).astype(np.uint8).tobytes()
+    rows = [(k, rng.integers(97, 123, 190).astype(np.uint8).tobytes() + shared + rng.integers(97, 123, 190).astype(np.uint8).tobytes()) for k in range(50)]
+    # The anchor in the middle of the shared string, and all windows that hold it.
+    level = [(0, k, 0, 7, k, 371, 376, 0, 377, data) for k, data in rows]
+    total = 0
+    for _ in range(9):
+        level = list(suffixes._halves(level, 400))
+        total += len(level)
+        kinds = Counter(r[3] for r in level)
+        level = [r for r in level if kinds[r[3]] > 1]
+    assert not level and total <= 50 * 2 * 9
+
+
 def test_difference_cover_reaches_every_pair():
     cover = set(suffixes.difference_cover(64).tolist())
     shift = suffixes.shifts(64)

@@ -14,15 +14,15 @@ and buckets are small and even, which those by leading bytes are not.
    Then all suffixes of the block are sorted by their first and last 64 bytes, and ties, the long ones,
    are resolved by the ranks of the sample at the least shift that puts both suffixes on the cover. So
    memory is a few numbers per suffix of one block.
-3. Buckets with more than ``BUCKET`` different pieces are not sorted in a task: their suffixes are dealt
-   and counted one by one, by fingerprint of all their bytes.
+3. Buckets with more than ``BUCKET`` different pieces, as a string makes that very many texts share, are
+   cut again by what stands beside the anchor, in halves, until each is small or holds one piece.
 
 Orders are those of 64-bit fingerprints, not alphabetic: repeats need equal prefixes side by side, no
 more. Strings are taken for equal when the fingerprints of head, tail and sample agree.
 
 Defined results: null and empty texts have no bytes; matches never cross texts; repeated rows are
 repeats of each other; rows are told apart by id and text, so ids may be null or repeated; other
-columns are not looked at.
+columns are not looked at. A text of more than 256 MB raises.
 """
 
 from __future__ import annotations
@@ -184,11 +184,13 @@ def _sorted_blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
         low, high = _runs(mask)  # a run ends with its piece: the last bytes of a piece start no suffix
         at = np.searchsorted(ends, low, side="right")
         base = ends[at] - np.array([len(b) for b in bodies])[at] if len(at) else at
-        columns = [anchors[at], np.array([r[1] for r in rows], np.int64)[at], low - base, high - base]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["anchor", "piece", "low", "high"])
+        names = pa.array([r[1] for r in rows], kind).take(pa.array(at))
+        columns = [pa.array(anchors[at]), names, pa.array(low - base), pa.array(high - base)]
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "piece", "low", "high"])
 
-    rows, size, last = [], 0, None
+    rows, size, last, kind = [], 0, None, pa.int64()
     for batch in batches:
+        kind = batch.column("piece").type
         columns = (batch.column(c).to_pylist() for c in ("anchor", "piece", "n", "bytes"))
         for row in zip(*columns, strict=True):
             if size >= BLOCK_BYTES and row[0] != last:
@@ -201,15 +203,92 @@ def _sorted_blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
         yield done(rows)
 
 
-def _each_suffix(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """``whole, anchor, piece, low`` of every suffix, ``whole`` being the fingerprint of all its bytes."""
+_RECUT = "of_anchor long, of_piece long, base long, anchor long, piece long, n long, place long, low long, high long, bytes binary"
+_RECUT_NAMES = [field.split()[0] for field in _RECUT.split(", ")]
+
+
+def _halves(rows: list[tuple], length: int) -> Iterator[tuple]:
+    """Pieces of one bucket cut once more, by where the anchor stands in the windows of their suffixes.
+
+    A row allows the anchor at the places ``low .. high - 1`` of a window. Windows of either half share
+    the bytes around the anchor that lie in all windows of that half, so the fingerprint of these names
+    the new bucket. Equal windows hold their anchor at one place and get one bucket.
+    """
+    for of_anchor, of_piece, base, anchor, _, n, place, low, high, data in rows:
+        middle = (low + high) // 2
+        prints = tokens.Fingerprints(np.frombuffer(data, np.uint8))
+        for a, b in ((low, middle), (middle, high)):
+            first, last = max(0, place - b + 1), min(n, place - a + 1)  # suffix j has the anchor at place - j
+            if first >= last:
+                continue
+            ends = np.array([place - a, first]), np.array([place + length - b + 1, last + length - 1])
+            context, piece = prints.of(*ends)
+            key = np.array([anchor, a, b], np.int64).view(np.uint64)
+            key = tokens.mix(tokens.mix(tokens.mix(key[:1] ^ context) + key[1:2]) + key[2:3])
+            body = data[first : last + length - 1]
+            yield (
+                of_anchor, of_piece, base + first, int(key.view(np.int64)[0]), int(np.uint64(piece).view(np.int64)),
+                last - first, place - first, a, b, body,
+            )
+
+
+def _recut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = list(_halves(list(zip(*(c.to_pylist() for c in batch.columns), strict=True)), length))
+        if rows:
+            yield _batch(rows, _RECUT_NAMES)
+
+
+def _anchored(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Fetched pieces as rows that may be cut again: the anchor is the least of the first window."""
+    mask = np.uint64((1 << int(_PLACE_BITS)) - 1)
     for batch in batches:
-        for k in range(batch.num_rows):
-            data = np.frombuffer(batch.column("bytes")[k].as_py(), np.uint8)
-            whole = tokens.Fingerprints(data).windows(length).view(np.int64)
-            n = len(whole)
-            columns = [whole, np.full(n, batch.column("anchor")[k].as_py()), np.full(n, batch.column("piece")[k].as_py()), np.arange(n)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["whole", "anchor", "piece", "low"])
+        rows = []
+        for anchor, piece, n, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "piece", "n", "bytes")), strict=True):
+            grams = tokens.Fingerprints(np.frombuffer(data[:length], np.uint8)).windows(ANCHOR)
+            place = int(((grams & ~mask) | np.arange(len(grams), dtype=np.uint64)).argmin())
+            rows.append((anchor, piece, 0, anchor, piece, n, place, 0, length - ANCHOR + 1, data))
+        if rows:
+            yield _batch(rows, _RECUT_NAMES)
+
+
+def _large_buckets(fetched: DataFrame, length: int, width: int) -> DataFrame:
+    """``anchor, piece, low, high``: the repeated suffixes of pieces in buckets too large for one task.
+
+    Such a bucket is cut in two, and those of its parts that are still too large again. Of a string that very
+    many texts share, only the windows around its middle stay together from one round to the next, so a
+    piece makes a row or two more per round, and after as many rounds as halve a window's places, nine
+    of them, a bucket holds one string.
+    """
+    found = None
+    rest = fetched.mapInArrow(lambda it: _anchored(it, length), _RECUT)
+    while True:
+        cut = materialise(rest.mapInArrow(lambda it: _recut(it, length), _RECUT), "recut")
+        often = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+        kept = cut.join(often, "anchor", "left_semi")
+        # Equal pieces are repeats as a whole; one of them stays for the others of the bucket.
+        same = kept.drop("bytes").groupBy("anchor", "piece").agg(
+            F.count(F.lit(1)).alias("times"), F.min(F.struct("of_anchor", "of_piece", "base")).alias("one")
+        )
+        same = materialise(same, "same")
+        kinds = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
+        kinds = materialise(kinds.where("kinds > 1"), "kinds")
+        copies = kept.join(same.where("times > 1").select("anchor", "piece"), ["anchor", "piece"])
+        whole = copies.select("of_anchor", "of_piece", "base", (F.col("base") + F.col("n")).alias("end"))
+        firsts = same.join(kinds, "anchor").select("anchor", "piece", "one.*", "kinds")
+        firsts = kept.join(firsts, ["anchor", "piece", "of_anchor", "of_piece", "base"])
+        small = firsts.where(F.col("kinds") <= BUCKET).repartition(width, "anchor").sortWithinPartitions("anchor", "piece")
+        sorted_ = small.select("anchor", F.struct("of_anchor", "of_piece", "base").alias("piece"), "n", "bytes")
+        sorted_ = sorted_.mapInArrow(
+            lambda it: _sorted_blocks(it, length), "anchor long, piece struct<of_anchor: long, of_piece: long, base: long>, low long, high long"
+        )
+        base = F.col("piece.base")
+        sorted_ = sorted_.select("piece.of_anchor", "piece.of_piece", (base + F.col("low")).alias("base"), (base + F.col("high")).alias("end"))
+        part = materialise(whole.union(sorted_), "found")
+        found = part if found is None else found.union(part)
+        if kinds.where(F.col("kinds") > BUCKET).isEmpty():
+            return found.toDF("anchor", "piece", "low", "high")
+        rest = materialise(firsts.where(F.col("kinds") > BUCKET).select(*_RECUT_NAMES), "large")
 
 
 def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -282,15 +361,11 @@ def repeated_ranges(plain: DataFrame, length: int = LENGTH) -> DataFrame:
     fetched = materialise(_bytes_of(plain, wanted, length), "bytes")
     small = fetched.where("large = 0").repartition(width, "anchor").sortWithinPartitions("anchor", "piece")
     found = small.mapInArrow(lambda it: _sorted_blocks(it, length), "anchor long, piece long, low long, high long")
-    each = fetched.where("large = 1").mapInArrow(
-        lambda it: _each_suffix(it, length), "whole long, anchor long, piece long, low long"
-    )
-    each = materialise(each, "suffixes")
-    shared = each.groupBy("whole").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("whole")
-    single = each.join(shared, "whole", "left_semi").groupBy("anchor", "piece").agg(F.sort_array(F.collect_list("low")).alias("lows"))
-    single = single.mapInArrow(_joined_lows, "anchor long, piece long, low long, high long")
     whole = distinct.where("times > 1").select("anchor", "piece", F.lit(0).cast("long").alias("low"), F.col("one.n").alias("high"))
-    found = found.union(single).union(whole)
+    found = found.union(whole)
+    large = fetched.where("large = 1")
+    if not large.isEmpty():
+        found = found.union(_large_buckets(large, length, width))
 
     marked = cut.join(found, ["anchor", "piece"]).select("id", "key", "low", "high", F.explode("starts").alias("start"))
     at = (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high") + length - 1).alias("high")
@@ -306,19 +381,6 @@ def _bytes_of(plain: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return fetched.mapInArrow(lambda it: _fetch(it, length), "anchor long, piece long, n long, large long, bytes binary")
 
 
-def _joined_lows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring suffixes of a piece as ranges."""
-    for batch in batches:
-        rows = []
-        for anchor, piece, lows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            lows = np.unique(np.array(lows, np.int64))
-            at = np.flatnonzero(np.diff(lows) > 1)
-            low, high = lows[np.concatenate(([0], at + 1))], lows[np.concatenate((at, [len(lows) - 1]))] + 1
-            rows += [(anchor, piece, a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-        columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 4
-        yield pa.RecordBatch.from_arrays(columns, ["anchor", "piece", "low", "high"])
-
-
 def dedup(docs: DataFrame, item_id: str = "doc_id", text: str = "text", length: int = LENGTH, keep_text: bool = False) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256, spans`` of every row; ``keep_text`` adds the bytes left.
 
