@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from verbatlas import session
 from verbatlas.functions import blocks
 from verbatlas.functions.ids import encode_id
-from verbatlas.operators import cluster, publish
+from verbatlas.operators import cluster, maintain, publish
 from verbatlas.operators.encode import HashedEncoder, embed
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.sets import resolve
+from verbatlas.plans import index as index_module
 from verbatlas.plans import search
-from verbatlas.plans.index import VectorIndex, append_to_index, build_index, load_index
+from verbatlas.plans.index import VectorIndex, append_to_index, build_index, encode_batches, load_index, read_vectors
 from verbatlas.sources import lines, pages, tables, transcripts
-from verbatlas.streaming.incremental import read_assigned, run_available
+from verbatlas.streaming.incremental import grow_available, publish_available, read_assigned, read_published, run_available
 
 ENCODER = HashedEncoder(32)
 WORDS = "sun moon star sea wind rain snow leaf root tree bird fish wolf bear fox".split()
@@ -322,3 +323,105 @@ def test_added_segments_are_found(spark, segments, tmp_path):
     pick = ["cluster_id", "script_id", "rank"]
     assert sorted(map(tuple, grown.postings.select(pick).collect())) == sorted(map(tuple, whole.postings.select(pick).collect()))
     assert grown.segments.orderBy("ordinal").select("text").collect() == segments.orderBy("ordinal").select("text").collect()
+
+
+def test_a_batch_of_captions_is_added_once(spark, segments, tmp_path):
+    """A micro-batch that is run again, because its end was not recorded, leaves the index as it is."""
+    path = str(tmp_path / "grown")
+    build_index(segments.filter("ordinal < 100"), ENCODER, 4, 2, chunk_size=50).save(path, block_rows=64)
+    late = segments.filter("ordinal >= 100").drop("script_id").withColumnRenamed("ordinal", "arrival")
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    late.filter("arrival < 170").write.mode("append").parquet(source)
+    grow_available(spark, source, late.schema, path, state, ENCODER, ["arrival"], block_rows=64)
+    grown = load_index(spark, path, block_rows=64)
+    assert grown.segments.count() == 170 and grown.postings.count() == 170
+    append_to_index(spark, path, late.filter("arrival < 170"), ENCODER, ["arrival"], block_rows=64, batch="stream-0")
+    late.filter("arrival >= 170").write.mode("append").parquet(source)
+    grow_available(spark, source, late.schema, path, state, ENCODER, ["arrival"], block_rows=64)
+    grow_available(spark, source, late.schema, path, state, ENCODER, ["arrival"], block_rows=64)  # nothing new
+    grown = load_index(spark, path, block_rows=64)
+    assert grown.segments.orderBy("ordinal").select("text").collect() == segments.orderBy("ordinal").select("text").collect()
+    assert grown.postings.count() == 240 and grown.postings.select("script_id").distinct().count() == 240
+    text = segments.filter("ordinal = 200").select(F.lit(1).cast("long").alias("query_id"), "text")
+    hits = search.search(search.encode_queries(text, ENCODER), grown, 1).collect()
+    assert [h.text for h in hits] == [text.first().text]
+
+
+def test_a_growth_that_dies_between_its_tables_is_made_again(spark, segments, tmp_path, monkeypatch):
+    path = str(tmp_path / "grown")
+    build_index(segments.filter("ordinal < 100"), ENCODER, 4, 2, chunk_size=50).save(path, block_rows=64)
+    late = segments.filter("ordinal >= 100").drop("script_id").withColumnRenamed("ordinal", "arrival")
+
+    def died(*args, **options):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(maintain, "write_version", died)  # the postings are written, the segments are not
+        with pytest.raises(RuntimeError, match="died"):
+            append_to_index(spark, path, late, ENCODER, ["arrival"], block_rows=64, batch="b")
+    append_to_index(spark, path, late, ENCODER, ["arrival"], block_rows=64, batch="b")
+    grown = load_index(spark, path, block_rows=64)
+    assert grown.segments.count() == 240 and grown.postings.select("script_id").distinct().count() == grown.postings.count() == 240
+
+
+def test_a_delivery_sent_twice_is_published_once(spark, segments, tmp_path):
+    docs = segments.withColumn("arrived_at", F.timestamp_seconds(F.col("ordinal") + 1_000_000)).select("script_id", "text", "arrived_at")
+    source, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
+    part = docs.filter("script_id < 'm'")
+    part.union(part).write.mode("append").parquet(source)
+    publish_available(spark, source, docs.schema, store, state, event_time="arrived_at")
+    part.write.mode("append").parquet(source)
+    publish_available(spark, source, docs.schema, store, state, event_time="arrived_at")
+    docs.write.mode("append").parquet(source)
+    publish_available(spark, source, docs.schema, store, state, event_time="arrived_at")
+    got = read_published(spark, store, docs.schema)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+    # A stream that starts again without its checkpoint meets its own batches and the stored keys.
+    publish_available(spark, source, docs.schema, store, str(tmp_path / "other"), name="other")
+    assert read_published(spark, store, docs.schema).count() == docs.count()
+
+
+def test_a_build_goes_on_where_it_stopped(spark, segments, tmp_path, monkeypatch):
+    work = str(tmp_path / "vectors")
+    assert encode_batches(segments, ENCODER, work, 40, until=3, at_once=2) == [(0, 2), (2, 3)]
+    assert read_vectors(spark, work).agg(F.max("ordinal")).first()[0] == 119
+    real, calls = index_module.write_version, []
+
+    def dying(*args, **options):
+        calls.append(options["batch"])
+        if len(calls) == 2:
+            raise RuntimeError("died")
+        return real(*args, **options)
+
+    with monkeypatch.context() as m:
+        m.setattr(index_module, "write_version", dying)
+        with pytest.raises(RuntimeError, match="died"):
+            encode_batches(segments, ENCODER, work, 40, at_once=1)
+    assert calls == ["40:3:4", "40:4:5"]
+    built = build_index(segments, ENCODER, 4, 2, chunk_size=120, work=work, batch_size=40)
+    whole = build_index(segments, ENCODER, 4, 2, chunk_size=120)
+    pick = ["cluster_id", "script_id", "rank"]
+    assert sorted(map(tuple, built.postings.select(pick).collect())) == sorted(map(tuple, whole.postings.select(pick).collect()))
+    assert encode_batches(segments, ENCODER, work, 40) == []
+    with pytest.raises(ValueError):
+        encode_batches(segments, ENCODER, work, 50)
+    assert encode_batches(segments.limit(0), ENCODER, str(tmp_path / "none"), 40) == []
+
+
+def test_windows_of_segments_keep_their_ordinals(spark, segments):
+    scripts = segments.select("video_id", "timestamp", "text")
+    whole = transcripts.to_segments(scripts, ["video_id", "timestamp", "text"])
+    some = transcripts.to_segments(scripts, ["video_id", "timestamp", "text"], batch_size=50, resume=1, until=3)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.filter("ordinal between 50 and 149").collect()))
+
+
+def test_nested_index_finds_its_texts(spark, segments, tmp_path):
+    path = str(tmp_path / "nested")
+    build_index(segments, ENCODER, 9, 3, chunk_size=80, nested=True).save(path, block_rows=64)
+    index = load_index(spark, path, block_rows=64)
+    assert index.postings.count() == 240 and index.lv2.count() <= 3 and index.lv1.count() <= 9
+    parents = {r.cluster_id: r.lv2_id for r in index.lv1.collect()}
+    assert all(parents[r.cluster_id] == r.lv2_id for r in index.postings.select("cluster_id", "lv2_id").distinct().collect())
+    own = embed(segments, ENCODER).select(F.col("ordinal").alias("query_id"), "vector").limit(5)
+    hits = search.search(own, index, 1, route_metric="euclidean").collect()
+    assert len(hits) == 5 and all(h.distance < 1e-3 for h in hits)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
 from verbatlas.operators import nearest as nearest_module
-from verbatlas.operators import cluster, fits, maintain, pivots, pruned, publish, quality, sampling, sets
+from verbatlas.operators import cluster, fits, maintain, pivots, pruned, publish, quality, sampling, sets, versions
 from verbatlas.operators.encode import HashedEncoder, ModelEncoder, count_unusable, embed
 from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.ordering import (
@@ -469,10 +469,69 @@ def test_block_upsert_leaves_other_blocks_alone(spark, tmp_path):
     before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
     updates = spark.createDataFrame([(42, 42, 9, 1), (205, 205, 9, 1)], "ordinal long, script_id long, x int, version int")
     maintain.upsert_blocks(spark, path, updates, block_rows=10)
-    got = {r.script_id: r.x for r in spark.read.parquet(path).collect()}
+    got = {r.script_id: r.x for r in maintain.read_blocks(spark, path).collect()}
     assert len(got) == 101 and got[42] == 9 and got[205] == 9 and got[41] == 0
-    kept = [p for p in before if p.exists() and p.stat().st_mtime_ns == before[p]]
-    assert all("ord_block=4" not in str(p) for p in kept) and len({p.parent for p in kept}) == 9
+    assert all(p.exists() and p.stat().st_mtime_ns == before[p] for p in before)
+    written = {p.parent.name for p in tmp_path.rglob("*.parquet") if p not in before}
+    assert written == {"ord_block=4", "ord_block=20"}
+    assert versions.vacuum(spark, path, "ord_block") == 1 and maintain.read_blocks(spark, path).count() == 101
+    assert len([p for p in before if p.exists()]) < len(before)
+
+
+@pytest.mark.parametrize("step", ["while the blocks are written", "before the version is finished"])
+def test_a_write_that_dies_loses_nothing(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    base = spark.range(30).select(F.col("id").alias("ordinal"), F.col("id").alias("script_id"), F.lit(0).alias("x"))
+    maintain.save_blocks(base, path, block_rows=10)
+    updates = spark.createDataFrame([(12, 12, 9, 1)], "ordinal long, script_id long, x int, version int")
+
+    class Died(Exception):
+        pass
+
+    real = versions._files
+
+    def dying(session, name):
+        if step.startswith("before") and name.endswith("table_version=1/_done"):
+            raise Died
+        return real(session, name)
+
+    def no_write(*args, **options):
+        raise Died
+
+    with monkeypatch.context() as m:
+        if step.startswith("before"):
+            m.setattr(versions, "_files", dying)
+        else:
+            (tmp_path / "t" / "table_version=1" / "ord_block=1").mkdir(parents=True)  # half written
+            m.setattr(maintain, "write_version", no_write)
+        with pytest.raises(Died):
+            maintain.upsert_blocks(spark, path, updates, block_rows=10)
+    assert {r.x for r in maintain.read_blocks(spark, path).collect()} == {0} and maintain.read_blocks(spark, path).count() == 30
+    maintain.upsert_blocks(spark, path, updates, block_rows=10)
+    got = {r.script_id: r.x for r in maintain.read_blocks(spark, path).collect()}
+    assert len(got) == 30 and got[12] == 9 and sum(got.values()) == 9
+
+
+def test_delete_touches_the_ends_of_a_range_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    maintain.save_blocks(spark.range(100).toDF("ordinal"), path, block_rows=10)
+    before = set(tmp_path.rglob("*.parquet"))
+    maintain.delete_blocks(spark, path, 25, 58, block_rows=10)
+    assert sorted(r.ordinal for r in maintain.read_blocks(spark, path).collect()) == [*range(25), *range(58, 100)]
+    assert {p.parent.name for p in set(tmp_path.rglob("*.parquet")) - before} == {"ord_block=2", "ord_block=5"}
+    maintain.delete_blocks(spark, path, 60, block_rows=10)
+    maintain.delete_blocks(spark, path, 500, 700, block_rows=10)
+    assert sorted(r.ordinal for r in maintain.read_blocks(spark, path).collect()) == [*range(25), 58, 59]
+    maintain.delete_blocks(spark, path, 0, block_rows=10)
+    assert maintain.read_blocks(spark, path, "ordinal long, ord_block long").count() == 0
+
+
+def test_ties_are_decided_with_maps_and_nested_columns(spark):
+    rows = [("a", {"x": 1}, [{"y": 2}]), ("a", {"x": 2}, [{"y": 1}]), ("b", None, None)]
+    df = spark.createDataFrame(rows, "script_id string, m map<string,int>, l array<map<string,int>>")
+    got = maintain.append_new(df.limit(0), df).collect()
+    again = maintain.append_new(df.limit(0), df.repartition(3)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again)) and len(got) == 2
 
 
 def test_delete_range_ignores_missing(spark):
@@ -525,9 +584,9 @@ def test_upsert_moves_a_key_to_another_block(spark, tmp_path):
     updates = [("3", 25, "new", 1), ("95", 8, "new", 1), ("7", 7, "b", 2), ("7", 7, "a", 2)]
     updates = spark.createDataFrame(updates, "script_id string, ordinal long, text string, version int")
     maintain.upsert_blocks(spark, path, updates, block_rows=10)
-    got = {r.script_id: (r.ordinal, r.text) for r in spark.read.parquet(path).collect()}
-    assert spark.read.parquet(path).count() == 21 and got["3"] == (25, "new") and got["95"] == (8, "new")
-    assert not (tmp_path / "moved" / "ord_block=9").exists()
+    got = {r.script_id: (r.ordinal, r.text) for r in maintain.read_blocks(spark, path).collect()}
+    assert maintain.read_blocks(spark, path).count() == 21 and got["3"] == (25, "new") and got["95"] == (8, "new")
+    assert 9 not in {r.ord_block for r in maintain.read_blocks(spark, path).collect()}
 
 
 def test_ensemble_labels_every_vector(spark):

@@ -1,19 +1,21 @@
 """Append, upsert, delete and backfill.
 
-A table of segments, vectors or documents is laid out in blocks of ordinals
-(``ord_block``), one folder each. A change rewrites the blocks it touches and no
-other. New blocks are written aside first and moved in when the job commits, so a
-failing task changes nothing; a driver that dies during the move may leave blocks
-missing, and running the same change again from its source sets them right.
+A table of segments, vectors or documents is laid out in blocks of ordinals (``ord_block``), one folder
+each. A change writes new folders for the blocks it touches and no other, beside the old ones, and counts
+from the moment it is finished (see `versions`); a job or driver that dies on the way changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from verbatlas.operators.encode import Encoder, embed
+from verbatlas.operators.versions import read_latest, write_version
 from verbatlas.session import broadcast_if_small, materialise
 from verbatlas.sources.tables import pick
 
@@ -25,18 +27,21 @@ def with_block(df: DataFrame, block_rows: int = BLOCK_ROWS, ordinal: str = "ordi
 
 
 def save_blocks(df: DataFrame, path: str, block_rows: int = BLOCK_ROWS, ordinal: str = "ordinal") -> None:
-    """Write in ordinal order, a folder per block."""
-    laid_out = with_block(df, block_rows, ordinal)
-    ordered = laid_out.repartitionByRange("ord_block", ordinal).sortWithinPartitions("ord_block", ordinal)
-    ordered.write.mode("overwrite").partitionBy("ord_block").parquet(path)
+    """Write in ordinal order, a folder per block; what was there before no longer counts."""
+    write_version(with_block(df.drop("ord_block"), block_rows, ordinal), path, "ord_block", [ordinal], replace=True)
+
+
+def read_blocks(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """The table as it stands, with the column ``ord_block``."""
+    return read_latest(spark, path, "ord_block", schema)
 
 
-def overwrite_blocks(df: DataFrame, path: str, block_rows: int = BLOCK_ROWS, ordinal: str = "ordinal") -> None:
-    """Replace exactly the blocks that occur in ``df``."""
+def overwrite_blocks(
+    df: DataFrame, path: str, block_rows: int = BLOCK_ROWS, ordinal: str = "ordinal", gone: Sequence = (), batch: str | None = None
+) -> None:
+    """Replace exactly the blocks that occur in ``df``, and drop those in ``gone``."""
     laid_out = with_block(df.drop("ord_block"), block_rows, ordinal)
-    ordered = laid_out.repartitionByRange("ord_block", ordinal).sortWithinPartitions("ord_block", ordinal)
-    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("ord_block").parquet(path)
+    write_version(laid_out, path, "ord_block", [ordinal], gone=gone, batch=batch)
 
 
 def append_new(existing: DataFrame, arriving: DataFrame, key: str = "script_id") -> DataFrame:
@@ -49,9 +54,17 @@ def append_new(existing: DataFrame, arriving: DataFrame, key: str = "script_id")
     return _one_per_key(arriving.join(known, key, "left_anti"), key, [])
 
 
+def _content(field: T.StructField) -> Column:
+    """A column as something that can be hashed; maps cannot, so what holds one goes as sorted JSON text."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(column)))
+    return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+
 def _one_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
     """The first row of every key; what ties in ``order`` is decided by the content of the rows."""
-    content = F.xxhash64(*[F.col(c) for c in rows.columns])
+    content = F.xxhash64(*[_content(f) for f in rows.schema.fields])
     window = Window.partitionBy(key).orderBy(*order, content)
     return rows.withColumn("_place", F.row_number().over(window)).filter("_place = 1").drop("_place")
 
@@ -86,7 +99,7 @@ def upsert_blocks(
     The base is read where an update falls or a key of one is stored; keys are looked up by
     their column alone. One row per key remains.
     """
-    base = spark.read.parquet(path)
+    base = read_blocks(spark, path)
     winners = materialise(latest(updates, key, version), "winners")
     # An update may carry another ordinal than the row it replaces: that row's block is rewritten, too.
     old = pick(base.select(key, "ord_block"), winners, key).select("ord_block")
@@ -94,18 +107,9 @@ def upsert_blocks(
     touched = materialise(touched, "blocks")
     affected = base.join(broadcast_if_small(touched), "ord_block", "left_semi").drop("ord_block")
     new = materialise(upsert(affected, winners, key, version), "rewritten")
-    overwrite_blocks(new, path, block_rows)
     filled = with_block(new, block_rows).select("ord_block").distinct()
-    _drop_blocks(spark, path, touched.join(filled, "ord_block", "left_anti"))
-
-
-def _drop_blocks(spark: SparkSession, path: str, blocks: DataFrame) -> None:
-    """Remove the folders of blocks that have lost their last row."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for row in blocks.toLocalIterator():
-        files.delete(jvm.org.apache.hadoop.fs.Path(folder, f"ord_block={row['ord_block']}"), True)
+    emptied = [r["ord_block"] for r in touched.join(filled, "ord_block", "left_anti").toLocalIterator()]
+    overwrite_blocks(new, path, block_rows, gone=emptied)
 
 
 def delete_range(df: DataFrame, start: int, stop: int | None = None, ordinal: str = "ordinal") -> DataFrame:
@@ -116,10 +120,20 @@ def delete_range(df: DataFrame, start: int, stop: int | None = None, ordinal: st
     return df.filter(~gone)
 
 
-def delete_blocks(spark: SparkSession, path: str, out: str, start: int, stop: int | None = None) -> None:
-    """Write the version without a range of ordinals as a new table."""
-    kept = delete_range(spark.read.parquet(path), start, stop)
-    kept.write.mode("errorifexists").partitionBy("ord_block").parquet(out)
+def delete_blocks(spark: SparkSession, path: str, start: int, stop: int | None = None, block_rows: int = BLOCK_ROWS) -> None:
+    """Remove a range of ordinals from a saved table.
+
+    Blocks inside the range are dropped; only the two at its ends are read and written anew.
+    """
+    base = read_blocks(spark, path)
+    stored = [r["ord_block"] for r in base.select("ord_block").distinct().toLocalIterator()]
+    low, high = start // block_rows, None if stop is None else (stop - 1) // block_rows
+    hit = [b for b in stored if b >= low and (high is None or b <= high)]
+    ends = [b for b in hit if b in (low, high)]
+    kept = delete_range(base.filter(F.col("ord_block").isin(ends)), start, stop)
+    kept = materialise(kept.drop("ord_block"), "kept")
+    filled = {r["ord_block"] for r in with_block(kept, block_rows).select("ord_block").distinct().collect()}  # two at most
+    overwrite_blocks(kept, path, block_rows, gone=[b for b in hit if b not in filled])
 
 
 def reencode_range(

@@ -2,9 +2,9 @@
 
 Tables of a saved index:
 
-* ``segments``  ordinal, script_id, video_id, timestamp, text; a folder per ordinal block
+* ``segments``  ordinal, script_id, video_id, timestamp, text; a folder per ordinal block and version
 * ``postings``  lv2_id, cluster_id, script_id, rank, distance, vector; a folder per
-  level-2 cluster and sorted by level-1 cluster, so a routed query opens one folder
+  level-2 cluster and version, sorted by level-1 cluster, so a routed query opens one folder
   and skips the row groups of the other clusters in it
 * ``lv1``, ``lv2``  centroids
 """
@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 from verbatlas import schemas
 from verbatlas.functions.ids import encode_id
 from verbatlas.functions.text import cluster_key
-from verbatlas.operators import cluster, maintain
+from verbatlas.operators import cluster, fits, maintain
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.nearest import assign
-from verbatlas.operators.ordering import global_ordinals, ranks_within
+from verbatlas.operators.ordering import batch_number, batch_window, global_ordinals, ranks_within
+from verbatlas.operators.versions import batches, read_latest, write_version
 from verbatlas.session import broadcast_if_small, materialise, spread
 
+# Segments that are encoded as one batch; fixed value: the batch size of the original build.
+ENCODE_BATCH = 1000
+
 
 @dataclass(frozen=True)
 class VectorIndex:
@@ -47,11 +51,11 @@ class VectorIndex:
         names = ["cluster_id", "script_id", "rank", "distance", "vector"]
         postings = self.postings.withColumn("vector", F.col("vector").cast("array<float>"))
         postings = postings.select(*names, *(["lv2_id"] if self.lv2 is not None else []))
-        if not self.in_order:
-            postings = postings.repartitionByRange(*keys)
-        ordered = postings.sortWithinPartitions(*keys)
-        writer = ordered.write.mode("overwrite")
-        (writer.partitionBy("lv2_id") if self.lv2 is not None else writer).parquet(f"{path}/postings")
+        if self.lv2 is not None:
+            write_version(postings, f"{path}/postings", "lv2_id", keys[1:], replace=True, in_order=self.in_order)
+        else:
+            ordered = postings if self.in_order else postings.repartitionByRange(*keys)
+            ordered.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{path}/postings")
         self.lv1.write.mode("overwrite").parquet(f"{path}/lv1")
         if self.lv2 is not None:
             self.lv2.write.mode("overwrite").parquet(f"{path}/lv2")
@@ -65,9 +69,10 @@ def load_index(
         return spark.read.schema(schema).parquet(f"{path}/{name}")
 
     upper = levels == 2
+    by_level2 = read_latest(spark, f"{path}/postings", "lv2_id", schemas.POSTINGS_BY_LEVEL2) if upper else None
     return VectorIndex(
-        read("segments", schemas.SEGMENTS),
-        read("postings", schemas.POSTINGS_BY_LEVEL2 if upper else schemas.POSTINGS),
+        maintain.read_blocks(spark, f"{path}/segments", schemas.SEGMENTS),
+        by_level2 if upper else read("postings", schemas.POSTINGS),
         read("lv1", schemas.LV1_BY_LEVEL2 if upper else schemas.LV1),
         read("lv2", schemas.LV2) if upper else None,
         block_rows,
@@ -86,6 +91,71 @@ def second_level(lv1: DataFrame, k2: int, **fit) -> tuple[DataFrame, DataFrame]:
     return with_parent.select("cluster_id", "lv2_id", "centroid"), lv2.join(used, "lv2_id", "left_semi")
 
 
+def _encoded(segments: DataFrame, encoder: Encoder) -> DataFrame:
+    """``ordinal, script_id, vector`` in single precision of every segment with a text."""
+    vectors = embed(spread(segments.select("ordinal", "script_id", "text")), encoder).drop("text")
+    return vectors.withColumn("vector", F.col("vector").cast("array<float>"))
+
+
+def encode_batches(
+    segments: DataFrame,
+    encoder: Encoder,
+    path: str,
+    batch_size: int = ENCODE_BATCH,
+    *,
+    resume: int | None = None,
+    until: int | None = None,
+    at_once: int = 64,
+) -> list[tuple[int, int]]:
+    """Encode the batches ``resume <= batch < until`` of ordinals that the table at ``path`` does not hold yet.
+
+    Up to ``at_once`` batches are one job and are committed together, so what a build that was stopped has
+    finished is not encoded again. The ranges of batches encoded now are returned. All starts must
+    use one ``batch_size``.
+    """
+    spark = segments.sparkSession
+    last = segments.agg(F.max("ordinal")).first()[0]
+    stop = 0 if last is None else last // batch_size + 1
+    done: set[int] = set()
+    for name in batches(spark, path):
+        size, low, high = map(int, name.split(":"))
+        if size != batch_size:
+            raise ValueError(f"the table at {path} has batches of {size}")
+        done.update(range(low, high))
+    todo = [b for b in range(resume or 0, stop if until is None else min(until, stop)) if b not in done]
+    ranges: list[tuple[int, int]] = []
+    for b in todo:
+        if ranges and ranges[-1][1] == b and b - ranges[-1][0] < at_once:
+            ranges[-1] = (ranges[-1][0], b + 1)
+        else:
+            ranges.append((b, b + 1))
+    for low, high in ranges:
+        rows = _encoded(batch_window(segments, batch_size, low, high).drop("batch_no"), encoder)
+        rows = rows.withColumn("batch_no", batch_number(F.col("ordinal"), batch_size))
+        write_version(rows, path, "batch_no", ["ordinal"], batch=f"{batch_size}:{low}:{high}")
+    return ranges
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """The vectors of all batches that are committed, with ``batch_no``."""
+    return read_latest(spark, path, "batch_no", "ordinal bigint, script_id string, vector array<float>, batch_no bigint")
+
+
+def _nested_index(segments: DataFrame, vectors: DataFrame, k1: int, k2: int, chunk_size: int, seed: int) -> VectorIndex:
+    each = -(-k1 // k2)
+    level1, level2, cells = fits.fit_nested(vectors, k2, each, coarse_steps=5, chunk_size=chunk_size, seed=seed)
+    name = cluster_key(F.col("cell") * F.lit(each) + F.col("label")).alias("cluster_id")
+    cell = cluster_key(F.col("cell"), 2).alias("lv2_id")
+    lv1 = materialise(level1.select(name, cell, "centroid"), "lv1")
+    keyed = cells.select("script_id", "vector", cell)
+    placed = materialise(assign(keyed, lv1, key="lv2_id", keep=["vector", "lv2_id"]), "placed")
+    used = materialise(placed.select("cluster_id", "lv2_id").distinct(), "used")
+    lv1 = materialise(lv1.join(used.select("cluster_id"), "cluster_id", "left_semi"), "lv1")
+    lv2 = level2.select(cell, "centroid").join(used.select("lv2_id").distinct(), "lv2_id", "left_semi")
+    postings = ranks_within(placed, ["lv2_id", "cluster_id"], ["distance", "script_id"])
+    return VectorIndex(segments, postings, lv1.select("cluster_id", "lv2_id", "centroid"), materialise(lv2, "lv2"), in_order=True)
+
+
 def build_index(
     segments: DataFrame,
     encoder: Encoder,
@@ -94,12 +164,26 @@ def build_index(
     *,
     chunk_size: int = cluster.MINIBATCH_CHUNK,
     seed: int = cluster.KMEANS_SEED,
+    nested: bool = False,
+    work: str | None = None,
+    batch_size: int = ENCODE_BATCH,
 ) -> VectorIndex:
-    """Encode, fit, assign, rank; with ``k2`` a second level over the centroids."""
+    """Encode, fit, assign, rank; with ``k2`` a second level over the centroids.
+
+    ``nested`` turns the levels round: ``k2`` cells are fitted first and about ``k1 / k2`` centres inside
+    each, all cells at once (see `fits`). With ``work`` the vectors are encoded into that table batch by
+    batch, and a second start goes on behind the last batch of the first one (see `encode_batches`).
+    """
     segments = materialise(segments, "segments")
-    vectors = embed(spread(segments.select("ordinal", "script_id", "text")), encoder).drop("text")
-    vectors = vectors.withColumn("vector", F.col("vector").cast("array<float>"))
-    vectors = materialise(vectors, "vectors")
+    if work is not None:
+        encode_batches(segments, encoder, work, batch_size)
+        vectors = read_vectors(segments.sparkSession, work)
+    else:
+        vectors = materialise(_encoded(segments, encoder), "vectors")
+    if nested:
+        if k2 is None:
+            raise ValueError("a nested fit needs k2")
+        return _nested_index(segments, vectors, k1, k2, chunk_size, seed)
     centres = cluster.fit_minibatch(vectors, k1, chunk_size, seed=seed)
     lv1 = centres.select(cluster_key(F.col("label")).alias("cluster_id"), "centroid")
     lv2 = None
@@ -124,14 +208,18 @@ def append_to_index(
     encoder: Encoder,
     order_by: list[str],
     block_rows: int = maintain.BLOCK_ROWS,
+    batch: str | None = None,
 ) -> None:
     """Add captions (``video_id, timestamp, text`` and what orders them) to a saved two-level index.
 
     Ordinals go on where the index ends. New vectors join the cluster of the nearest level-1
     centroid, as in the build; the level-2 folders they fall into are ranked anew and replaced, all
     others stay as they are. Centroids do not move. Segments are written last: rows that a failed
-    run left among the postings get the same ids, and so the same places, when it is run again.
+    run left among the postings get the same ids, and so the same places, when it is run again. A
+    ``batch`` that the index has already is not added twice.
     """
+    if batch is not None and batch in batches(spark, f"{path}/segments"):
+        return
     index = load_index(spark, path, block_rows=block_rows)
     last = index.segments.agg(F.max("ordinal")).first()[0]
     numbered = global_ordinals(arrivals, order_by, "_place")
@@ -149,9 +237,9 @@ def append_to_index(
     stored = stored.join(broadcast_if_small(placed.select("script_id")), "script_id", "left_anti")
     ranked = ranks_within(stored.select(*names).unionByName(placed), ["lv2_id", "cluster_id"], ["distance", "script_id"])
     ranked = materialise(ranked.select("cluster_id", "script_id", "rank", "distance", "vector", "lv2_id"), "ranked")
-    keys = ["lv2_id", "cluster_id", "rank"]
-    writer = ranked.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("lv2_id").parquet(f"{path}/postings")
-    blocks = maintain.with_block(rows, block_rows).repartitionByRange("ord_block", "ordinal")
-    blocks = blocks.sortWithinPartitions("ord_block", "ordinal")
-    blocks.write.mode("append").partitionBy("ord_block").parquet(f"{path}/segments")
+    write_version(ranked, f"{path}/postings", "lv2_id", ["cluster_id", "rank"])
+    # The block that the index ends in gets its old rows again.
+    fresh = maintain.with_block(rows, block_rows)
+    first = fresh.agg(F.min("ord_block")).first()[0]
+    old = index.segments.filter(F.col("ord_block") == F.lit(first)).select(*rows.columns)
+    maintain.overwrite_blocks(rows.unionByName(old), f"{path}/segments", block_rows, batch=batch)

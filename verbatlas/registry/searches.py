@@ -34,6 +34,7 @@ from verbatlas.registry.common import (
 from verbatlas.functions.ids import decode_id, encode_id
 from verbatlas.functions.text import cluster_key
 from verbatlas.session import materialise, scratch_path
+from verbatlas.streaming.incremental import grow_available
 
 THRESHOLD = 1.35
 
@@ -310,14 +311,19 @@ def text_search_served(spark, folder):
     return _published_shape(S.search(S.encode_queries(queries, ENCODER), index, 10))
 
 
-@query(
-    f"""{_TEXT_ROUTED}, near as (select * from (select d.id, c.cluster_id, c.lv2_id, row_number() over (
+_GROWN = f"""{_TEXT_ROUTED}, near as (select * from (select d.id, c.cluster_id, c.lv2_id, row_number() over (
             partition by d.id order by round(list_distance(d.e, c.c), 9), c.cluster_id) as r from dv d, cen c) where r = 1)
         select {encoded("id")} as script_id, cluster_id, lv2_id, md5(text) as text_md5
         from near join documents on doc_id = id"""
-)
+
+
+@query(_GROWN)
 def incremental_index(spark, folder):
     """An index of the first half of the documents, to which the second half is added."""
+    return _grown(spark, folder, streamed=False)
+
+
+def _grown(spark, folder, streamed):
     number = F.substring("video_id", 4, 10).cast("int")
     keys = {"cluster_id": cluster_key(number), "lv2_id": cluster_key(number % 3, 2)}
     docs = materialise(text_vectors(spark, folder).withColumns(keys), "docs")
@@ -333,7 +339,18 @@ def incremental_index(spark, folder):
     index = VectorIndex(rows.filter(F.col("ordinal") < half), members_ranked(first), lv1, lv2)
     index.save(path, block_rows=300)
     late = rows.filter(F.col("ordinal") >= half).withColumnRenamed("ordinal", "arrival").drop("script_id")
-    append_to_index(spark, path, late, ENCODER, ["arrival"], block_rows=300)
+    if streamed:
+        for part in (F.col("arrival") < half + half // 2, F.col("arrival") >= half + half // 2):
+            late.filter(part).write.mode("append").parquet(f"{path}-in")
+            grow_available(spark, f"{path}-in", late.schema, path, f"{path}-state", ENCODER, ["arrival"], block_rows=300)
+    else:
+        append_to_index(spark, path, late, ENCODER, ["arrival"], block_rows=300)
     grown = load_index(spark, path, block_rows=300)
     texts = grown.segments.select("script_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
     return grown.postings.select("script_id", "cluster_id", "lv2_id").join(texts, "script_id")
+
+
+@query(_GROWN)
+def streaming_index(spark, folder):
+    """The same index grown by two deliveries of a stream."""
+    return _grown(spark, folder, streamed=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import text as X
 from verbatlas.functions.distance import norm
-from verbatlas.functions.ids import encode_id
+from verbatlas.functions.ids import decode_id, encode_id
 from verbatlas.operators import cluster as C
 from verbatlas.operators import maintain as M
 from verbatlas.operators import publish as P
@@ -30,6 +30,7 @@ from verbatlas.registry.common import (
 )
 from verbatlas.session import materialise, scratch_path, spread
 from verbatlas.sources import tables as T
+from verbatlas.streaming.incremental import publish_available, read_published
 
 
 def _ids(df, column):
@@ -246,7 +247,7 @@ def upsert_in_blocks(spark, folder):
     M.save_blocks(base, path, block_rows=5000)
     changes = _changes(o).withColumn("ordinal", F.col("o_orderkey"))
     M.upsert_blocks(spark, path, changes, "o_orderkey", block_rows=5000)
-    stored = spark.read.parquet(path)
+    stored = M.read_blocks(spark, path)
     return stored.select("o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"))
 
 
@@ -255,12 +256,12 @@ def upsert_in_blocks(spark, folder):
        from orders) where ord < (select count(*) // 2 from orders)"""
 )
 def delete_range(spark, folder):
-    """Deleted from the middle on, as a new version of a saved table."""
-    root = scratch_path(spark, "versions")
+    """Deleted from the middle on in a saved table, where one block is rewritten."""
+    path = scratch_path(spark, "versions")
     o = table(spark, folder, "orders").select("o_orderkey")
-    M.save_blocks(global_ordinals(o, ["o_orderkey"]), f"{root}/v1", block_rows=2000)
-    M.delete_blocks(spark, f"{root}/v1", f"{root}/v2", o.count() // 2)
-    return spark.read.parquet(f"{root}/v2").select("o_orderkey", "ordinal")
+    M.save_blocks(global_ordinals(o, ["o_orderkey"]), path, block_rows=2000)
+    M.delete_blocks(spark, path, o.count() // 2, block_rows=2000)
+    return M.read_blocks(spark, path).select("o_orderkey", "ordinal")
 
 
 @query(
@@ -313,6 +314,20 @@ def publish_docs(spark, folder):
     return _doc_shape(spark.read.parquet(path))
 
 
+@query(_DOC)
+def publish_stream(spark, folder):
+    """Three deliveries that overlap and repeat rows, each published by its own run of the stream."""
+    root = scratch_path(spark, "published")
+    docs = materialise(_docs(spark, folder), "docs")
+    n = docs.count()
+    number = decode_id(F.col("script_id"))
+    for part in (number < n // 2, number >= n // 3, F.lit(True)):
+        delivered = docs.filter(part)
+        delivered.union(delivered.filter(number % 7 == 0)).write.mode("append").parquet(f"{root}/in")
+        publish_available(spark, f"{root}/in", docs.schema, f"{root}/store", f"{root}/state")
+    return _doc_shape(read_published(spark, f"{root}/store", docs.schema))
+
+
 @query(_DOC)
 def publish_docs_json(spark, folder):
     path = scratch_path(spark, "published")
@@ -334,7 +349,7 @@ def publish_docs_upsert(spark, folder):
     lang = table(spark, folder, "documents").select(F.col("doc_id").alias("ordinal"), F.col("lang").alias("text"))
     M.save_blocks(docs.drop("text").join(lang, "ordinal"), path, block_rows=500)
     P.upsert_documents(spark, docs, path, batch_size=500, resume=n // 2, block_rows=500)
-    stored = spark.read.parquet(path)
+    stored = M.read_blocks(spark, path)
     return stored.select("script_id", "video_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 

@@ -9,8 +9,9 @@ from verbatlas.functions.ids import decode_id, encode_id, expected_ids
 from verbatlas.operators.encode import count_unusable, embed
 from verbatlas.operators.ordering import assign_ordinals, global_ordinals
 from verbatlas.operators.sets import resolve
+from verbatlas.plans.index import encode_batches, read_vectors
 from verbatlas.registry import query
-from verbatlas.registry.common import ENCODER, encoded, hashed, table, text_vectors, time_padded, time_plain
+from verbatlas.registry.common import ENCODER, encoded, hashed, segments, table, text_vectors, time_padded, time_plain
 from verbatlas.session import materialise, scratch_path, spread
 from verbatlas.sources import lines, pages, transcripts
 
@@ -295,6 +296,30 @@ def build_tables(spark, folder):
     )
 
 
+@query(
+    f"""with n as (select ceil(count(*) / 6.0)::bigint as size from documents), {hashed("d", "documents", "doc_id")}
+        select doc_id // size as batch_no, count(*) as n, min({encoded("doc_id")}) as first_id, max(doc_id) as last_ordinal,
+               round(sum(list_sum(e)), 3) + 0.0 as total
+        from documents join dv on id = doc_id, n where text <> '' group by 1"""
+)
+def build_tables_window(spark, folder):
+    """A build of six batches that is stopped before the fourth, and a second start that encodes the rest only."""
+    path = scratch_path(spark, "vectors")
+    rows = segments(spark, folder)
+    size = -(-rows.count() // 6)
+    encode_batches(rows, ENCODER, path, size, until=3, at_once=2)
+    late = encode_batches(rows, ENCODER, path, size)
+    if late[0][0] != 3:
+        raise ValueError(f"batches {late} were encoded by the second start")
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    return read_vectors(spark, path).groupBy(F.col("batch_no").cast("bigint").alias("batch_no")).agg(
+        F.count("*").alias("n"),
+        F.min("script_id").alias("first_id"),
+        F.max("ordinal").alias("last_ordinal"),
+        (F.round(F.sum(total), 3) + 0.0).alias("total"),
+    )
+
+
 @query("select 'v' || conv_id || '_' || turn as video_id from conversations")
 def json_pages(spark, folder):
     """Saved API pages of 50 items, one JSON file each, next to files cut off in the middle."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions.ids import encode_id
 from verbatlas.functions.text import clean_caption, repair_quotes
-from verbatlas.operators.ordering import global_ordinals
+from verbatlas.operators.ordering import batch_window, global_ordinals
 from verbatlas.schemas import SCRIPT_COLUMNS, SCRIPTS
 
 # Longest list of captions in one row of a nested transcript.
@@ -76,9 +76,17 @@ def stringify_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("string"))
 
 
-def to_segments(scripts: DataFrame, order_by: list[str]) -> DataFrame:
-    """Give every caption its ordinal and id: the ``segments`` table."""
+def to_segments(
+    scripts: DataFrame, order_by: list[str], *, batch_size: int | None = None, resume: int | None = None, until: int | None = None
+) -> DataFrame:
+    """Give every caption its ordinal and id: the ``segments`` table.
+
+    With ``batch_size`` only the batches ``resume <= batch < until`` of ordinals are returned; the
+    ordinals are those of the whole table.
+    """
     numbered = global_ordinals(scripts, order_by)
+    if batch_size is not None:
+        numbered = batch_window(numbered, batch_size, resume, until)
     return numbered.select(
         "ordinal",
         encode_id(F.col("ordinal")).alias("script_id"),

@@ -1,4 +1,4 @@
-"""Assign newly arrived vectors to the clusters, each file once."""
+"""Streams of arrivals: assigned to the clusters, added to an index, published; each file and key once."""
 
 from __future__ import annotations
 
@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbatlas.operators.encode import Encoder, embed
+from verbatlas.operators.maintain import BLOCK_ROWS, append_new
 from verbatlas.operators.nearest import assign
+from verbatlas.operators.versions import batches, read_latest, write_version
+from verbatlas.plans.index import append_to_index
+from verbatlas.session import materialise
 
 
 def run_available(
@@ -46,3 +50,81 @@ def run_available(
 
 def read_assigned(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch_no")
+
+
+def _run(stream, work, checkpoint: str) -> None:
+    stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def _source(spark: SparkSession, source: str, schema: T.StructType, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(source)
+
+
+def grow_available(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    index_path: str,
+    checkpoint: str,
+    encoder: Encoder,
+    order_by: list[str],
+    *,
+    block_rows: int = BLOCK_ROWS,
+    max_files: int | None = None,
+    name: str = "stream",
+) -> None:
+    """Add all captions that arrived in ``source`` since the last call to a saved two-level index.
+
+    Ordinals go on where the index ends. The number of a micro-batch is kept with the version of the segments
+    that it wrote, so a batch that is run again after a failure, or with a lost checkpoint of its end,
+    changes nothing.
+    """
+
+    def work(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            append_to_index(spark, index_path, batch, encoder, order_by, block_rows, batch=f"{name}-{number}")
+
+    _run(_source(spark, source, schema, max_files), work, checkpoint)
+
+
+def publish_available(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    path: str,
+    checkpoint: str,
+    *,
+    key: str = "script_id",
+    event_time: str | None = None,
+    delay: str = "1 hour",
+    max_files: int | None = None,
+    name: str = "stream",
+) -> None:
+    """Publish all documents that arrived in ``source`` since the last call, every key once.
+
+    Within a micro-batch one row per key is kept, keys that the store holds are looked up and left out, and
+    the number of the batch is kept with what it wrote, so a batch that is run again writes nothing. With
+    ``event_time`` repeated keys within ``delay`` are dropped by the stream's own state before they reach
+    a batch, which spares the look-up; like every watermark it also drops rows that lag behind the newest
+    by more than ``delay``. Without it nothing is dropped but repeated keys.
+    """
+    stream = _source(spark, source, schema, max_files)
+    if event_time is not None:
+        stream = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+
+    def work(batch: DataFrame, number: int) -> None:
+        label = f"{name}-{number}"
+        if label in batches(spark, path):
+            return
+        arrived = materialise(batch, "arrived")
+        fresh = append_new(read_published(spark, path, schema), arrived, key)
+        write_version(fresh.withColumn("delivery", F.lit(label)), path, "delivery", [key], batch=label)
+
+    _run(stream, work, checkpoint)
+
+
+def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The published documents."""
+    with_part = T.StructType([*schema.fields, T.StructField("delivery", T.StringType())])
+    return read_latest(spark, path, "delivery", with_part).drop("delivery")
