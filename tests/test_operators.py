@@ -329,6 +329,15 @@ def test_nested_fit_is_a_fit_in_every_cell(spark, points, limit):
         assert np.allclose(np.array(own.centroid.tolist()), centres) and own.n.tolist() == n.tolist()
 
 
+@pytest.mark.parametrize("limit", [None, 8 * 6 * 2])
+def test_running_steps_above_and_below_a_block(spark, points, limit):
+    v = frame(spark, points).withColumn("ordinal", F.col("script_id"))
+    c = spark.createDataFrame([(i, points[i].tolist(), 0) for i in range(4)], "label int, centroid array<double>, n bigint")
+    got = fits.run(v, c, 0, ordinal="ordinal", chunk_size=100, limit_bytes=limit).toPandas().sort_values("label")
+    want = cluster.fit_minibatch(v, 4, 100, init=v.filter("script_id < 4")).toPandas().sort_values("label")
+    assert np.allclose(np.array(got.centroid.tolist()), np.array(want.centroid.tolist())) and got.n.tolist() == want.n.tolist()
+
+
 def test_nested_fit_by_chunks_and_with_small_cells(spark, points):
     data = np.vstack([points[:60], points[:1] + 1000.0])  # the last vector may be alone in its cell
     v = frame(spark, data).withColumn("ordinal", F.col("script_id"))
@@ -356,7 +365,7 @@ def test_sums_of_many_sources_and_small_memory(spark, points, monkeypatch):
     monkeypatch.setattr(fits, "HELD_BYTES", 8 * points.shape[1] * 2)
     v = frame(spark, points).repartition(70)
     c = spark.createDataFrame([(i, points[i].tolist(), 0) for i in range(6)], "label int, centroid array<double>, n bigint")
-    got = fits.step(v, c, running=False, limit_bytes=8 * points.shape[1] * 4).toPandas().sort_values("label")
+    got = fits.run(v, c, 1, limit_bytes=8 * points.shape[1] * 4).toPandas().sort_values("label")
     centres, n = plain_lloyd(points, points[:6], 1)
     assert np.allclose(np.array(got.centroid.tolist()), centres) and got.n.tolist() == n.tolist()
 

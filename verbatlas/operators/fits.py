@@ -2,8 +2,9 @@
 
 Points never move. Centres that fit one block are broadcast, and each task adds up its own points per
 centre in the same pass that finds the closest; more centres go through the assignment by blocks. Only
-sums per centre are shuffled, and merged in two rounds of Arrow groups. New centres are written to the
-shared folder, so a step starts from a table and not from the driver's memory.
+sums per centre are shuffled, and merged in two rounds of Arrow groups. Centres that fit a block are set
+anew by the driver, which has to broadcast them anyway, so a step is one job; more of them are joined with
+their sums and written to the shared folder, and never pass through the driver.
 
 A nested fit gives every centre a ``key`` (the cell it belongs to). All cells take their steps together:
 the number of jobs depends on the number of steps alone.
@@ -147,34 +148,45 @@ def merge_sums(partial: DataFrame, keys: list[str]) -> DataFrame:
     return first.groupBy(bucket.alias("_b")).applyInArrow(add, schema).drop("source")
 
 
-def step_sums(points: DataFrame, centres: DataFrame, vector: str, key: str | None, limit_bytes: int | None = None) -> DataFrame:
-    """Number and sum of the points that each centre wins: ``[key,] label, n, sums``."""
+def _points(points: DataFrame, vector: str, key: str | None) -> DataFrame:
+    return points.filter(F.col(vector).isNotNull()).select(*([key] if key else []), vector)
+
+
+def _block_step(points: DataFrame, table: pa.Table, vector: str, key: str | None, running: bool, schema: T.StructType) -> tuple[pa.Table, bool]:
+    """One step of centres that fit a block, and whether one of them moved."""
     keys = [key, "label"] if key else ["label"]
-    points = points.filter(F.col(vector).isNotNull()).select(*([key] if key else []), vector)
-    schema = _sums_schema(points, keys, centres.schema["label"].dataType)
-    wanted = centres.select(*keys, "centroid")
-    table = fits_block(wanted, "centroid", limit_bytes)
-    if table is not None and table.num_rows:
-        partial = _block_sums(points, table, vector, key, schema)
+    table = table.sort_by([(k, "ascending") for k in keys]).combine_chunks()
+    won = merge_sums(_block_sums(points, table, vector, key, schema), keys).toArrow()
+    place = {k: i for i, k in enumerate(zip(*(table[k].to_pylist() for k in keys), strict=True))}
+    at = np.array([place[k] for k in zip(*(won[k].to_pylist() for k in keys), strict=True)], np.int64)
+    old, seen = blocks.to_matrix(table["centroid"]), table["n"].to_numpy()
+    counts, sums = won["n"].to_numpy(), blocks.to_matrix(won["sums"], old.shape[1])
+    new, n = old.copy(), seen.copy() if running else np.zeros_like(seen)
+    if running:
+        new[at] = (old[at] * seen[at, None] + sums) / (seen[at] + counts)[:, None]
+        n[at] += counts
     else:
-        placed = assign(
-            points.withColumn("_none", F.lit(0)), wanted, item_id="_none", vector=vector, centre_id="label", key=key,
-            keep=[*([key] if key else []), vector], limit_bytes=limit_bytes,
-        )
-        partial = _labelled_sums(placed, keys, vector, schema)
-    return merge_sums(partial, keys)
+        new[at], n[at] = sums / counts[:, None], counts
+    columns = {**{k: table[k] for k in keys}, "centroid": blocks.to_lists(new), "n": pa.array(n)}
+    return pa.table(columns), not np.array_equal(old, new)
 
 
-def step(
-    points: DataFrame, centres: DataFrame, *, vector: str = "vector", key: str | None = None, running: bool, limit_bytes: int | None = None
-) -> DataFrame:
-    """The centres after one step, written: ``[key,] label, centroid, n, moved``.
+def _table_sums(points: DataFrame, centres: DataFrame, vector: str, key: str | None, limit_bytes: int | None, schema: T.StructType) -> DataFrame:
+    """Number and sum of the points that each of many centres wins."""
+    keys = [key, "label"] if key else ["label"]
+    placed = assign(
+        points.withColumn("_none", F.lit(0)), centres.select(*keys, "centroid"), item_id="_none", vector=vector, centre_id="label", key=key,
+        keep=[*([key] if key else []), vector], limit_bytes=limit_bytes,
+    )
+    return merge_sums(_labelled_sums(placed, keys, vector, schema), keys)
 
-    A running step makes every centre the mean of all points it has won so far, another one that of the
-    points it wins now. A centre that wins nothing stays.
-    """
+
+def _table_step(
+    points: DataFrame, centres: DataFrame, vector: str, key: str | None, running: bool, limit_bytes: int | None, schema: T.StructType
+) -> DataFrame:
+    """One step of any number of centres, written, with the column ``moved``."""
     keys = [key, "label"] if key else ["label"]
-    sums = step_sums(points, centres, vector, key, limit_bytes).withColumnRenamed("n", "won")
+    sums = _table_sums(points, centres, vector, key, limit_bytes, schema).withColumnRenamed("n", "won")
     both = centres.select(*keys, "centroid", "n").join(sums, keys, "left")
     if running:
         mean = F.zip_with("centroid", "sums", lambda c, s: (c * F.col("n") + s) / (F.col("n") + F.col("won")))
@@ -186,6 +198,34 @@ def step(
     return materialise(out, "centres")
 
 
+class _State:
+    """The centres between two steps: an Arrow table of at most one block, or a written table."""
+
+    def __init__(self, points: DataFrame, centres: DataFrame, vector: str, key: str | None, limit_bytes: int | None):
+        self.names = [*([key] if key else []), "label", "centroid", "n"]
+        self.vector, self.key, self.limit, self.spark = vector, key, limit_bytes, points.sparkSession
+        self.schema = _sums_schema(points, self.names[:-2], centres.schema["label"].dataType)
+        self.centres = centres.select(*self.names)
+        self.table = fits_block(self.centres, "centroid", limit_bytes)
+
+    def step(self, points: DataFrame, running: bool) -> bool:
+        """Every centre becomes the mean of all points it has won so far (``running``), or of those it wins now.
+
+        One that wins nothing stays. Whether any has moved is returned.
+        """
+        points = _points(points, self.vector, self.key)
+        if self.table is not None and self.table.num_rows:
+            self.table, moved = _block_step(points, self.table, self.vector, self.key, running, self.schema)
+            return moved
+        self.centres = _table_step(points, self.centres, self.vector, self.key, running, self.limit, self.schema)
+        return bool(self.centres.agg(F.bool_or("moved")).first()[0])
+
+    def result(self) -> DataFrame:
+        if self.table is not None and self.table.num_rows:
+            return self.spark.createDataFrame(self.table.select(self.names), self.centres.schema)
+        return self.centres.select(*self.names)
+
+
 def start(vectors: DataFrame, k: int, init: DataFrame | None, item_id: str, vector: str, seed: int) -> DataFrame:
     """``label, centroid, n`` of ``k`` distinct starting vectors, numbered in id order: given, or an exact seeded sample."""
     if init is None:
@@ -216,18 +256,16 @@ def run(
     limit_bytes: int | None = None,
 ) -> DataFrame:
     """Full passes until ``steps`` or until no centre moves; with ``chunk_size`` one running step per chunk of ordinals."""
-    names = [*([key] if key else []), "label", "centroid", "n"]
+    state = _State(points, centres, vector, key, limit_bytes)
     if chunk_size:
         last = points.agg(F.max(ordinal)).first()[0]
         for low in range(0, 0 if last is None else last + 1, chunk_size):
-            chunk = points.filter((F.col(ordinal) >= low) & (F.col(ordinal) < low + chunk_size))
-            centres = step(chunk, centres, vector=vector, key=key, running=True, limit_bytes=limit_bytes)
-        return centres.select(*names)
+            state.step(points.filter((F.col(ordinal) >= low) & (F.col(ordinal) < low + chunk_size)), True)
+        return state.result()
     for _ in range(steps):
-        centres = step(points, centres, vector=vector, key=key, running=False, limit_bytes=limit_bytes)
-        if not centres.agg(F.bool_or("moved")).first()[0]:
+        if not state.step(points, False):
             break
-    return centres.select(*names)
+    return state.result()
 
 
 def fit_nested(
