@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
 from verbatlas.operators import nearest as nearest_module
-from verbatlas.operators import cluster, fits, maintain, pivots, pruned, publish, quality, sampling, sets, versions
+from verbatlas.operators import cluster, encode, fits, maintain, pivots, pruned, publish, quality, reduction, sampling, sets, versions
 from verbatlas.operators.encode import HashedEncoder, ModelEncoder, count_unusable, embed
 from verbatlas.operators.nearest import assign, nearest
 from verbatlas.operators.ordering import (
@@ -650,3 +650,59 @@ def test_first_n_by_either_way(spark, points, monkeypatch, limit):
         first = close[np.argsort(rank[close])][:5]
         want = first[np.lexsort((first, np.round(d[i][first], 9)))]
         assert got[got.query_id == i].sort_values("rank").script_id.tolist() == want.tolist()
+
+
+def test_moments_of_chunks_are_those_of_all(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(400, 5)) @ rng.normal(size=(5, 5)) + 1e6  # a mean that drowns plain sums of products
+    v = frame(spark, data)
+    path = str(tmp_path / "moments")
+    for k, cond in enumerate(("script_id < 30", "script_id between 30 and 299", "script_id >= 300")):
+        reduction.add_chunk(v.filter(cond).repartition(k * 20 + 1), path, str(k))
+    reduction.add_chunk(v, path, "1")  # sent again
+    mean, axes, variances = reduction.components(reduction.kept_moments(spark, path), 5)
+    values, want = np.linalg.eigh(np.cov(data.T, bias=True))
+    assert np.allclose(mean, data.mean(axis=0)) and np.allclose(variances, values[::-1], rtol=1e-6)
+    assert np.allclose(np.abs((axes * want[:, ::-1]).sum(axis=0)), 1, atol=1e-6)
+    assert (axes[np.abs(axes).argmax(axis=0), range(5)] > 0).all()
+    some = reduction.components(reduction.kept_moments(spark, path, ["0"]), 2)
+    assert np.allclose(some[0], data[:30].mean(axis=0)) and some[1].shape == (5, 2)
+    got = reduction.project(v, mean, axes, keep=["script_id"]).toPandas().sort_values("script_id")
+    assert np.allclose(np.array(got.reduced.tolist()), (data - mean) @ axes, atol=1e-4)
+    with pytest.raises(ValueError):
+        reduction.components(reduction.moments(v.limit(0)), 2)
+
+
+def test_ensemble_labels_equal_numpy(spark):
+    rng = np.random.default_rng(6)
+    data = clustered(rng, 4, 20, 6)[rng.permutation(80)]
+    got = cluster.ensemble(frame(spark, data, "ordinal"), 3, 2, chunks=2, item_id="ordinal", iterations=4).toPandas()
+    for i, n in enumerate((40, 80)):
+        rows = data[:n]
+        values, axes = np.linalg.eigh(np.cov(rows.T, bias=True))
+        axes = axes[:, ::-1][:, :2]
+        axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), range(2)])
+        points = (rows - rows.mean(axis=0)) @ axes
+        first = sorted(range(n), key=lambda r: (hashlib.md5(f"{cluster.ENSEMBLE_SEED}:{r}".encode()).hexdigest()[:15], r))[:3]
+        centres, _ = plain_lloyd(points, points[sorted(first)], 4)
+        want = ((points[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        assert got[got.chunk_no == i].sort_values("ordinal").label.tolist() == want.tolist()
+
+
+def test_each_text_is_encoded_once(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = spark.createDataFrame([(1, "sun moon"), (2, "sun moon"), (3, ""), (4, None), (5, "sea")], "k int, text string")
+    assert encode.encode_missing(rows, path, HashedEncoder(8)) == 2
+    assert encode.encode_missing(rows.union(spark.createDataFrame([(6, "sky")], rows.schema)), path, HashedEncoder(8)) == 1
+    assert encode.encode_missing(rows.limit(0), path, HashedEncoder(8)) == 0
+    got = {r.k: r.vector for r in encode.with_vectors(rows, path).collect()}
+    want = {r.k: r.vector for r in embed(rows, HashedEncoder(8)).collect()}
+    assert set(got) == {1, 2, 5} and all(np.allclose(got[k], want[k]) for k in got)
+    assert encode.stored_vectors(spark, path).count() == 3
+
+
+def test_draws_refuse_repeated_ids_and_take_any_name(spark):
+    twice = spark.range(50).union(spark.range(50)).toDF("script_id")
+    with pytest.raises(ValueError):
+        sampling.sample_exact(twice, 9)
+    assert sampling.sample_exact(spark.range(50).toDF("ordinal"), 9, "ordinal").count() == 9

@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatlas.functions import blocks
-from verbatlas.operators import fits
+from verbatlas.operators import fits, reduction
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.ordering import ranks_within
-from verbatlas.session import materialise
+from verbatlas.session import materialise, scratch_path
 
 # Seeds and chunk sizes of the original fits.
 KMEANS_SEED = 4526
@@ -196,6 +196,7 @@ def ensemble(
     *,
     chunk_size: int | None = None,
     chunks: int = ENSEMBLE_CHUNKS,
+    iterations: int = 5,
     ordinal: str = "ordinal",
     item_id: str = "script_id",
     vector: str = "vector",
@@ -204,25 +205,28 @@ def ensemble(
     """Reduce and cluster growing prefixes of the corpus: ``chunk_no, item_id, label``.
 
     Fit ``i`` covers the chunks ``0..i``, and the last fit the whole corpus: without
-    ``chunk_size`` the corpus has ``chunks`` chunks, with it as many as it takes. Labels
-    of different fits are not matched with each other.
+    ``chunk_size`` the corpus has ``chunks`` chunks, with it as many as it takes. The moments of
+    each chunk are taken once and added up from fit to fit; a fit starts from the rows with the
+    smallest seeded hashes, so its labels are the same on every run. Labels of different fits are
+    not matched with each other.
     """
+    vectors = vectors.filter(F.col(vector).isNotNull())
     n = vectors.agg(F.max(ordinal).alias("m")).first()["m"]
-    size = chunk_size or (1 if n is None else -(-(n + 1) // chunks))
-    fits = 0 if n is None else n // size + 1
-    parts = []
-    for i in range(fits):
-        prefix = vectors.filter(F.col(ordinal) < (i + 1) * size)
-        points = materialise(reduce(prefix, components, vector=vector, keep=[item_id]), "ensemble")
-        points = points.withColumn("features", array_to_vector("reduced"))
-        model = KMeans(k=k, seed=seed, predictionCol="label").fit(points)
-        labels = model.transform(points).select(F.lit(i).alias("chunk_no"), item_id, "label")
-        parts.append(labels)
-    if not parts:
+    if n is None:
         raise ValueError("there are no vectors to cluster")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    size = chunk_size or -(-(n + 1) // chunks)
+    kept = scratch_path(vectors.sparkSession, "moments")
+    out = None
+    for i in range(n // size + 1):
+        chunk = vectors.filter((F.col(ordinal) >= i * size) & (F.col(ordinal) < (i + 1) * size))
+        reduction.add_chunk(chunk, kept, str(i), vector)
+        mean, axes, _ = reduction.components(reduction.kept_moments(vectors.sparkSession, kept), components)
+        prefix = vectors.filter(F.col(ordinal) < (i + 1) * size)
+        points = materialise(reduction.project(prefix, mean, axes, vector=vector, keep=[item_id]), "ensemble")
+        centres = fit_lloyd(points, k, iterations, item_id=item_id, vector="reduced", seed=seed)
+        labels = assign(points, centres, item_id=item_id, vector="reduced", centre_id="label")
+        labels = labels.select(F.lit(i).alias("chunk_no"), item_id, "label")
+        out = labels if out is None else out.unionByName(labels)
     return out
 
 

@@ -9,11 +9,13 @@ from typing import Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from verbatlas.functions import blocks
+from verbatlas.operators.versions import read_latest, versions, write_version
+from verbatlas.session import broadcast_if_small, materialise, spread
 
 # Tokens are runs of letters and digits.
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
@@ -95,6 +97,41 @@ def embed(df: DataFrame, encoder: Encoder, text: str = "text", vector: str = "ve
     return usable.withColumn(vector, encoder.column(F.col(text)))
 
 
+def text_digest(text: str = "text") -> Column:
+    return F.sha2(F.col(text).cast("binary"), 256)
+
+
+def encode_missing(rows: DataFrame, path: str, encoder: Encoder, text: str = "text") -> int:
+    """Encode the texts that the store at ``path`` does not hold yet, each different text once; how many.
+
+    The store is keyed by the digest of the text, so a repeated text, a later build and a backfill find the
+    vector that is there. Only digests are compared with the store; texts move only if they are new.
+    """
+    spark = rows.sparkSession
+    usable = rows.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(text_digest(text).alias("digest"), F.col(text).alias("text"))
+    wanted = materialise(usable.select("digest").distinct(), "wanted")
+    missing = materialise(wanted.join(stored_vectors(spark, path).select("digest"), "digest", "left_anti"), "missing")
+    count = missing.count()
+    if count:
+        new = usable.join(broadcast_if_small(missing, 128), "digest", "left_semi")
+        once = spread(materialise(new.groupBy("digest").agg(F.min("text").alias("text")), "texts"))
+        vectors = embed(once, encoder).select("digest", "vector")
+        number = F.lit(max(versions(spark, path), default=-1) + 1)
+        write_version(vectors.withColumn("delivery", number), path, "delivery", ["digest"])
+    return count
+
+
+def stored_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """``digest, vector`` of every text encoded so far."""
+    return read_latest(spark, path, "delivery", "digest string, vector array<double>, delivery int").drop("delivery")
+
+
+def with_vectors(rows: DataFrame, path: str, text: str = "text", vector: str = "vector") -> DataFrame:
+    """The rows whose text is in the store, with its vector."""
+    found = stored_vectors(rows.sparkSession, path).withColumnRenamed("vector", vector)
+    return rows.withColumn("digest", text_digest(text)).join(found, "digest").drop("digest")
+
+
 def count_unusable(df: DataFrame, text: str = "text") -> DataFrame:
     return df.agg(
         F.count("*").alias("n"),

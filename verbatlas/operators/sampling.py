@@ -36,7 +36,9 @@ def sample_exact(df: DataFrame, n: int, item_id: str = "script_id", seed: int =
     below = materialise(keyed.filter(F.col("_key") <= F.lit(cut)), "below")
     if below.count() < n:
         below = keyed
-    last = global_ordinals(below, ["_key", item_id]).filter(F.col("ordinal") == n - 1).first()
+    last = global_ordinals(below, ["_key", item_id], "_place").filter(F.col("_place") == n - 1).first()
+    if below.filter((F.col("_key") == F.lit(last["_key"])) & (F.col(item_id) == F.lit(last[item_id]))).count() > 1:
+        raise ValueError(f"{item_id} {last[item_id]!r} is not unique, so no exact number of rows can be drawn")
     key, edge = sample_key(item_id, seed), F.lit(last["_key"])
     return df.filter((key < edge) | ((key == edge) & (F.col(item_id) <= F.lit(last[item_id]))))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from verbatlas.functions.distance import norm
 from verbatlas.functions.text import cluster_key
 from verbatlas.operators import cluster as C
+from verbatlas.operators import reduction
 from verbatlas.operators.fits import fit_nested
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.pruned import assign_pruned
@@ -310,6 +311,26 @@ def pca_uncorrelated(spark, folder):
     return spark.createDataFrame(row, "total_variance double, largest_covariance double, descending boolean")
 
 
+@query(
+    f"""with {V}, a as (select i, avg(e[i]) as x from v, range(1, 65) t(i) group by i),
+        mean as (select list(x order by i) as c from a), x as (select i, var_pop(e[i]) as s from v, range(1, 65) t(i) group by i)
+        select vec_id, round(list_distance(e, c), 5) as length, round(total, 5) as total_variance, true as descending
+        from v, mean, (select sum(s) as total from x)"""
+)
+def pca_in_chunks(spark, folder):
+    """All directions from three chunks of vectors, one of them sent twice; centred rows keep their lengths."""
+    path = scratch_path(spark, "moments")
+    v = vectors(spark, folder)
+    for chunk in (0, 1, 0, 2):
+        reduction.add_chunk(v.filter(F.col("vec_id") % 3 == chunk), path, str(chunk))
+    mean, axes, variances = reduction.components(reduction.kept_moments(spark, path), 64)
+    reduced = reduction.project(v, mean, axes, keep=["vec_id"])
+    total, falling = F.lit(float(variances.sum())), F.lit(bool((np.diff(variances) <= 0).all()))
+    return reduced.select(
+        "vec_id", F.round(norm(F.col("reduced")), 5).alias("length"), F.round(total, 5).alias("total_variance"), falling.alias("descending")
+    )
+
+
 def _ensemble(spark, folder):
     v = vectors(spark, folder).withColumnRenamed("vec_id", "ordinal")
     return C.ensemble(v, 5, 8, item_id="ordinal")
@@ -317,7 +338,7 @@ def _ensemble(spark, folder):
 
 @query()
 def ensemble_chunks(spark, folder):
-    """Random starting centres, so only the rows can be compared."""
+    """Labels of reduced vectors, for which SQL has no form; the tests hold them against NumPy."""
     return _ensemble(spark, folder)
 
 

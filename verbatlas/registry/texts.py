@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.functions import text as X
 from verbatlas.functions.ids import decode_id, encode_id, expected_ids
+from verbatlas.operators import encode as E
 from verbatlas.operators.encode import count_unusable, embed
 from verbatlas.operators.ordering import assign_ordinals, global_ordinals
 from verbatlas.operators.sets import resolve
@@ -320,6 +321,25 @@ def build_tables_window(spark, folder):
     )
 
 
+@query(
+    f"""with {hashed("d", "documents", "doc_id")}, half as (select count(*) // 2 as h from documents),
+        one as (select count(distinct text) as first_run from documents, half where doc_id < h and text <> ''),
+        every as (select count(distinct text) as n from documents where text <> '')
+        select d.doc_id, round(list_sum(e), 4) + 0.0 as total, first_run, n - first_run as second_run, 0::bigint as third_run
+        from documents d join dv on dv.id = d.doc_id, one, every where d.text <> ''"""
+)
+def encode_missing(spark, folder):
+    """Half of the documents, all of them, all of them again: every different text is encoded once."""
+    path = scratch_path(spark, "store")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    half = docs.count() // 2
+    runs = [E.encode_missing(rows, path, ENCODER) for rows in (docs.filter(F.col("doc_id") < half), docs, docs)]
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    found = E.with_vectors(docs, path).select("doc_id", (F.round(total, 4) + 0.0).alias("total"))
+    names = ("first_run", "second_run", "third_run")
+    return found.select("*", *[F.lit(n).cast("bigint").alias(name) for n, name in zip(runs, names, strict=True)])
+
+
 @query("select 'v' || conv_id || '_' || turn as video_id from conversations")
 def json_pages(spark, folder):
     """Saved API pages of 50 items, one JSON file each, next to files cut off in the middle."""
