@@ -141,6 +141,19 @@ def test_near_of_odd_rows(spark):
     assert pigeonhole.near(df.limit(0)).count() == 0
 
 
+def test_near_vectors_of_any_size_and_width(spark):
+    v = np.array([1.0, 2.0, 3.0])
+    sizes = [1.0, 1e-25, 1e25, 1e200, 1e-200, 5e-324, 1.7e308 / 3]
+    rows = [(k, (v * s).tolist()) for k, s in enumerate(sizes)]  # the smallest double keeps the direction, roughly
+    rows += [(10, [3.0, -1.0, 0.0]), (11, [2e-30, 1e-30]), (12, [4.0, 2.0]), (13, [7.0]), (14, [1e-9]), (15, [-7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.id: (r.n_links, r.component_id) for r in pigeonhole.near(df).collect()}
+    near = {k: (6, 0) for k in range(7)}
+    assert got == {**near, 10: (0, 10), 11: (1, 11), 12: (1, 11), 13: (1, 13), 14: (1, 13), 15: (0, 15)}
+    small = spark.createDataFrame([(1, [1e-25, 2e-25]), (2, [1.0, 2.0]), (3, [1e25, 2e25]), (4, [2.0, -1.0])], "vec_id long, embedding array<float>")
+    assert {r.id: (r.n_links, r.component_id) for r in pigeonhole.near(small).collect()} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
 def test_embeddings_query(spark, folder):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     got = {r.vec_id: (r.n_links, r.component_id) for r in queries.op8_pigeonhole(spark, folder).collect()}

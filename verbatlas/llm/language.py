@@ -171,6 +171,13 @@ def _units(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return data, starts, ends, docs
 
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column in a row, and the offset of each value."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def _gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, blank: bool) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of some units one after another, each behind a blank or not, and their offsets."""
     sizes = ends - starts + blank
@@ -239,7 +246,7 @@ def train(docs: DataFrame, vocabulary: list[bytes] | None = None, language: str
                     total = uses.setdefault(k, np.zeros(len(pieces)))
                     for low in range(0, rows.num_rows, step):
                         part = rows.slice(low, step)
-                        data, offsets = tokens.text_bytes_of_binary(part.column("unit"))
+                        data, offsets = _bytes(part.column("unit"))
                         lattice = Lattice(pieces, data, offsets)
                         own = chances[k].astype(float)[lattice.piece]
                         ahead, behind = lattice.forward(own), lattice.backward(own)

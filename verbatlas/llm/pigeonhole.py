@@ -16,8 +16,11 @@ of each vector and a spanning forest, never the pairs.
 
 Vectors equal in every component are one member; only their number goes on.
 
-Defined results: vectors that are null, zero, of another width than most or with null or non-finite
-components link with nothing; rows without an id have no component; rows with the same id count as one
+Vectors are multiplied by a power of two first, which changes no cosine, so their size does not matter.
+Each width has blocks of its own; vectors of different widths have no cosine.
+
+Defined results: vectors that are null, zero or with null or non-finite components link with nothing,
+those of one width only with each other; rows without an id have no component; rows with the same id count as one
 vector; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +44,7 @@ CHUNK = 2048  # vectors of a cell in one unit, on either side
 TILE = 1024
 SLACK = 1e-5  # of the single-precision screening; verification is exact
 
-_KEYS = ("block", "x1", "y1", "c1", "x2", "y2", "c2")
+_KEYS = ("width", "block", "x1", "y1", "c1", "x2", "y2", "c2")
 
 
 def rotation(width: int, seed: int = 7) -> np.ndarray:
@@ -64,26 +68,36 @@ def radii(width: int, cosine: float, dims: int = DIMS) -> np.ndarray:
     return np.array([(2 - 2 * cosine) * (b - a) / width for a, b in cuts(width, dims)])
 
 
+def scaled(flat: np.ndarray) -> np.ndarray:
+    """Rows in double precision, times the power of two that brings their largest component below 1."""
+    flat = flat.astype(float)
+    _, exponent = np.frexp(np.abs(flat).max(axis=1, keepdims=True))
+    return np.ldexp(flat, -exponent)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     values = column.flatten() if isinstance(column, (pa.ListArray, pa.LargeListArray)) else column
     return values.to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _cells(batches: Iterator[pa.RecordBatch], width: int, cosine: float, dims: int) -> Iterator[pa.RecordBatch]:
-    """``block, x, y, id, weight, vector`` of every vector and block."""
-    turn, sizes = rotation(width), np.sqrt(radii(width, cosine, dims) + SLACK)
+def _cells(batches: Iterator[pa.RecordBatch], cosine: float, dims: int) -> Iterator[pa.RecordBatch]:
+    """``width, block, x, y, id, weight, vector`` of every vector and block."""
+    known: dict[int, tuple] = {}
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        flat = _matrix(batch.column("vector"))
-        unit = flat / np.linalg.norm(flat, axis=1, keepdims=True)
-        turned = unit @ turn
-        for k, (a, b) in enumerate(cuts(width, dims)):
-            x = np.floor(turned[:, a] / sizes[k]).astype(np.int32)
-            y = np.floor(turned[:, min(a + 1, b - 1)] / sizes[k]).astype(np.int32)
-            block = np.full(len(x), k, np.int32)
-            columns = [pa.array(block), pa.array(x), pa.array(y), batch.column("id"), batch.column("weight"), batch.column("vector")]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "x", "y", "id", "weight", "vector"])
+        widths = pc.list_value_length(batch.column("vector")).to_numpy(zero_copy_only=False)
+        for width in np.unique(widths).tolist():
+            if width not in known:
+                known[width] = rotation(width), np.sqrt(radii(width, cosine, dims) + SLACK)
+            turn, sizes = known[width]
+            part = batch.filter(pa.array(widths == width))
+            flat = scaled(_matrix(part.column("vector")))
+            turned = flat / np.linalg.norm(flat, axis=1, keepdims=True) @ turn
+            for k, (a, b) in enumerate(cuts(width, dims)):
+                x = np.floor(turned[:, a] / sizes[k]).astype(np.int32)
+                y = np.floor(turned[:, min(a + 1, b - 1)] / sizes[k]).astype(np.int32)
+                of = pa.array(np.full(len(x), width, np.int32)), pa.array(np.full(len(x), k, np.int32))
+                columns = [*of, pa.array(x), pa.array(y), part.column("id"), part.column("weight"), part.column("vector")]
+                yield pa.RecordBatch.from_arrays(columns, ["width", "block", "x", "y", "id", "weight", "vector"])
 
 
 class _Unit:
@@ -95,6 +109,7 @@ class _Unit:
 
     def __call__(self, block: int, ids: np.ndarray, sides: np.ndarray, weights: np.ndarray, flat: np.ndarray) -> list[tuple]:
         two = bool(sides.any())
+        flat = scaled(flat)
         unit = flat / np.linalg.norm(flat, axis=1, keepdims=True)
         turned = unit @ self.turn
         a, b = self.cuts[block]
@@ -140,15 +155,18 @@ class _Unit:
                 forest.append((int(ids[a]), int(ids[b]), 0))
 
 
-def _joined(batches: Iterator[pa.RecordBatch], unit: _Unit) -> Iterator[pa.RecordBatch]:
+def _joined(batches: Iterator[pa.RecordBatch], cosine: float, dims: int) -> Iterator[pa.RecordBatch]:
     """Work off unit after unit; their rows follow each other."""
+    units: dict[int, _Unit] = {}
 
     def done(parts: list) -> pa.RecordBatch | None:
         table = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
         if table.num_rows < 2:
             return None
         ids, sides, weights = (table.column(c).to_numpy() for c in ("id", "side", "weight"))
-        found = unit(table.column("block")[0].as_py(), ids, sides, weights, _matrix(table.column("vector")).astype(float))
+        width = table.column("width")[0].as_py()
+        unit = units.setdefault(width, units.get(width) or _Unit(width, cosine, dims))
+        found = unit(table.column("block")[0].as_py(), ids, sides, weights, _matrix(table.column("vector")))
         if not found:
             return None
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["id", "other", "links"])
@@ -178,17 +196,17 @@ def _units(cells: DataFrame, chunk: int) -> DataFrame:
     The number of chunks per cell has one row per cell. On the sphere of length 1 a block has at most
     (2 / radius + 2)**2 cells, whatever the number of vectors.
     """
-    counts = cells.groupBy("block", "x", "y").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+    counts = cells.groupBy("width", "block", "x", "y").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
     counts = materialise(counts, "cells")
     few = counts.count() * 32 <= BROADCAST_LIMIT_BYTES
     sent = F.broadcast(counts) if few else counts
     steps = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ((0, 0), (1, -1), (1, 0), (1, 1), (0, 1))]))
-    mine = cells.join(sent, ["block", "x", "y"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    mine = cells.join(sent, ["width", "block", "x", "y"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     mine = mine.withColumn("step", steps).withColumn("as_left", F.explode(F.array(F.lit(True), F.lit(False))))
     sign = F.when(F.col("as_left"), 1).otherwise(-1)
     mine = mine.withColumn("ox", F.col("x") + sign * F.col("step.dx")).withColumn("oy", F.col("y") + sign * F.col("step.dy"))
-    other = sent.select("block", F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("chunks").alias("other_chunks"))
-    both = mine.join(other, ["block", "ox", "oy"])
+    other = sent.select("width", "block", F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("chunks").alias("other_chunks"))
+    both = mine.join(other, ["width", "block", "ox", "oy"])
     inside = (F.col("step.dx") == 0) & (F.col("step.dy") == 0)
     both = both.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("other_chunks") - 1)))
     # In a cell with itself chunk a meets chunks b > a on the right, and itself alone on the left.
@@ -196,6 +214,7 @@ def _units(cells: DataFrame, chunk: int) -> DataFrame:
     both = both.where(keep)
     left = F.col("as_left")
     return both.select(
+        "width",
         "block",
         F.when(left, F.col("x")).otherwise(F.col("ox")).alias("x1"), F.when(left, F.col("y")).otherwise(F.col("oy")).alias("y1"),
         F.when(left, F.col("own")).otherwise(F.col("with")).alias("c1"),
@@ -209,24 +228,20 @@ def near(vectors: DataFrame, item_id: str = "vec_id", vector: str = "embedding",
     """``id, n_links, component_id, kept`` of every row."""
     rows = vectors.select(F.col(item_id).cast("long").alias("id"), F.col(vector).alias("vector"))
     rows = materialise(spread(rows), "vectors")
-    width = rows.where("vector is not null").groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    width = width["w"] if width else 0
-    if not width:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    fit = F.col("id").isNotNull() & (F.size("vector") == width) & ~bad & F.exists("vector", lambda x: x != 0)
+    fit = F.col("id").isNotNull() & F.col("vector").isNotNull() & ~bad & F.exists("vector", lambda x: x != 0)
     usable = rows.where(fit)
     members = usable.groupBy("vector").agg(F.min("id").alias("member"), F.countDistinct("id").alias("copies"))
     members = materialise(members, "members")
 
     cells = spread(members).select(F.col("member").alias("id"), F.col("copies").alias("weight"), "vector")
     kind = rows.schema["vector"].dataType.simpleString()
-    schema = f"block int, x int, y int, id long, weight long, vector {kind}"
-    cells = cells.mapInArrow(lambda it: _cells(it, width, cosine, dims), schema)
+    schema = f"width int, block int, x int, y int, id long, weight long, vector {kind}"
+    cells = cells.mapInArrow(lambda it: _cells(it, cosine, dims), schema)
     dealt = _units(cells, CHUNK)
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(parts, *_KEYS).sortWithinPartitions(*_KEYS, "side", "id")
-    found = dealt.mapInArrow(lambda it: _joined(it, _Unit(width, cosine, dims)), "id long, other long, links long")
+    found = dealt.mapInArrow(lambda it: _joined(it, cosine, dims), "id long, other long, links long")
     found = materialise(found, "links")
     classes = components(found.where("other is not null"), "id", "other").toDF("member", "component_id")
     links = found.where("other is null").groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "member")
