@@ -9,7 +9,10 @@ from verbatlas.functions.distance import same_vector
 from verbatlas.functions.ids import expected_ids
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.ordering import zip_positions
+from verbatlas.operators.sampling import sample_exact
 from verbatlas.operators.sets import distinct_characters, reconcile
+from verbatlas.session import materialise
+from verbatlas.sources.tables import pick
 
 
 def key_check(stored: DataFrame, count: int, item_id: str = "script_id") -> DataFrame:
@@ -43,6 +46,17 @@ def sample_check(
     )
 
 
+def drawn_check(
+    texts: DataFrame, info: DataFrame, vectors: DataFrame, encoder: Encoder, n: int, seed: int = 0, key: str = "script_id"
+) -> DataFrame:
+    """The check of ``n`` original texts drawn by the seeded hash of their keys, the same ones on every run.
+
+    Only the drawn texts are encoded, and only their rows are looked up in the store.
+    """
+    drawn = materialise(sample_exact(texts.select(key, "text"), n, key, seed), "drawn")
+    return sample_check(drawn, pick(info.select(key, "text"), drawn, key), pick(vectors.select(key, "vector"), drawn, key), encoder, key)
+
+
 def tally(checks: DataFrame) -> DataFrame:
     return checks.agg(
         F.count("*").alias("n"),

@@ -23,6 +23,7 @@ from verbatlas.registry.common import (
     encoded,
     hashed,
     label_centres,
+    label_levels,
     label_members,
     segments,
     table,
@@ -415,9 +416,7 @@ def publish_levels(spark, folder):
 
 @query("select distinct 'cc' || (label % 3) as lv2_id from embeddings")
 def level2_keys(spark, folder):
-    from verbatlas.registry.common import label_index
-
-    return label_index(spark, folder).level2_ids
+    return label_levels(spark, folder).level2_ids
 
 
 @query(f"select {encoded('doc_id')} as script_id, source as video_id, n_chars from documents")
@@ -480,6 +479,25 @@ def quality_tally(spark, folder):
     return Q.tally(Q.sample_check(d.select("script_id", "text"), stored, v, ENCODER))
 
 
+@query(
+    f"""with drawn as (select doc_id, text from documents order by substr(md5('11:' || {encoded("doc_id")}), 1, 15), {encoded("doc_id")}
+            limit (select greatest(count(*) // 10, 1) from documents)),
+        changed as (select doc_id, {_OTHER} as text from drawn),
+        {hashed('old_', 'drawn', 'doc_id')}, {hashed('new_', 'changed', 'doc_id')}
+        select {encoded("d.doc_id")} as script_id, list_distance(old_v.e, new_v.e) < 1e-4 as vector_ok,
+               len(list_distinct(string_split(d.text, ''))) = len(list_distinct(string_split(c.text, ''))) as text_ok,
+               d.text = c.text as text_equal
+        from drawn d join changed c using (doc_id) join old_v on old_v.id = d.doc_id join new_v on new_v.id = d.doc_id
+        where d.text <> ''"""
+)
+def quality_sample(spark, folder):
+    """A tenth of the original texts, drawn by hash, against the same store; only these are encoded."""
+    d = segments(spark, folder)
+    stored = d.withColumn("text", X.normalise_punctuation(F.col("text")))
+    v = materialise(embed(spread(stored.select("script_id", "text")), ENCODER).drop("text"), "stored")
+    return Q.drawn_check(d, stored, v, ENCODER, max(d.count() // 10, 1), 11)
+
+
 @query("select count(*) as n from lineitem")
 def row_count(spark, folder):
     return Q.row_count(table(spark, folder, "lineitem"))
