@@ -706,3 +706,18 @@ def test_draws_refuse_repeated_ids_and_take_any_name(spark):
     with pytest.raises(ValueError):
         sampling.sample_exact(twice, 9)
     assert sampling.sample_exact(spark.range(50).toDF("ordinal"), 9, "ordinal").count() == 9
+
+
+def test_seeded_starts_find_the_clusters(spark):
+    rng = np.random.default_rng(12)
+    data = np.vstack([clustered(rng, 4, 40, 4), np.full((3, 4), 500.0)])
+    v = frame(spark, data)
+    found = fits.candidates(v, 5, seed=3).toPandas()
+    again = fits.candidates(v.repartition(9), 5, seed=3).toPandas()
+    assert sorted(found.candidate) == sorted(again.candidate) and found.weight.sum() == len(data) and 5 <= len(found) < 60
+    got = cluster.fit_seeded(v, 5, 10, seed=3).toPandas()
+    assert got.n.sum() == len(data) and got.n.max() <= 83
+    same = frame(spark, np.ones((6, 4)))
+    assert fits.candidates(same, 2).toPandas().weight.tolist() == [6]
+    with pytest.raises(ValueError):
+        cluster.fit_seeded(same, 2)

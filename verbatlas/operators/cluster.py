@@ -101,6 +101,15 @@ def fit_lloyd(
     return fits.run(vectors, fits.start(vectors, k, init, item_id, vector, seed), iterations, vector=vector)
 
 
+def fit_seeded(
+    vectors: DataFrame, k: int, iterations: int = 20, *, item_id: str = "script_id", vector: str = "vector", seed: int = KMEANS_SEED
+) -> DataFrame:
+    """Full passes from the ``k`` heaviest candidates of the k-means|| rounds; ``label, centroid, n``, the same on every run."""
+    chosen = fits.heaviest(fits.candidates(vectors, k, item_id=item_id, vector=vector, seed=seed), k)
+    init = materialise(chosen.select(F.col("candidate").alias(item_id), F.col("centroid").alias(vector)), "starts")
+    return fit_lloyd(vectors, k, iterations, init=init, item_id=item_id, vector=vector)
+
+
 def fit_full(vectors: DataFrame, k: int, *, vector: str = "vector", seed: int = KMEANS_SEED, max_iter: int = 20) -> DataFrame:
     """MLlib k-means with parallel seeding; returns ``label, centroid, n``."""
     points = vectors.filter(F.col(vector).isNotNull()).select(array_to_vector(vector).alias("features"))

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,6 +244,41 @@ def start(vectors: DataFrame, k: int, init: DataFrame | None, item_id: str, vect
     return rows.select("label", "centroid", F.lit(0).cast("bigint").alias("n"))
 
 
+def _draw(item_id: str, seed: int, number: int) -> Column:
+    """A number from 0 up to 1 by the hash of seed, round and id: the first 52 bits."""
+    text = F.concat(F.lit(f"{seed}:{number}:"), F.col(item_id).cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
+
+
+def candidates(
+    vectors: DataFrame, k: int, *, rounds: int = 2, share: float = 2.0, item_id: str = "script_id", vector: str = "vector", seed: int = 0
+) -> DataFrame:
+    """``candidate, centroid, weight``: vectors drawn far from each other, and how many are nearest to each.
+
+    The rounds of k-means||: from the vector with the smallest hash on, every vector is drawn with ``share * k``
+    times its part of the sum of squared distances to the candidates so far. Draws are hashes of the ids,
+    so the same vectors come out on every run. A round is one assignment; nothing is gathered.
+    """
+    points = vectors.filter(F.col(vector).isNotNull()).select(item_id, vector)
+    first = points.orderBy(sample_key(item_id, seed), item_id).limit(1)
+    found = materialise(first.select(F.col(item_id).alias("candidate"), F.col(vector).alias("centroid")), "candidates")
+    for number in range(1, rounds + 1):
+        near = assign(points, found, item_id=item_id, vector=vector, centre_id="candidate", keep=[vector])
+        near = materialise(near.withColumn("square", F.col("distance") * F.col("distance")), "near")
+        total = near.agg(F.sum("square")).first()[0]
+        if not total:
+            break
+        drawn = near.filter(_draw(item_id, seed, number) < F.lit(share * k) * F.col("square") / F.lit(total))
+        found = materialise(found.unionByName(drawn.select(F.col(item_id).alias("candidate"), F.col(vector).alias("centroid"))), "candidates")
+    held = assign(points, found, item_id=item_id, vector=vector, centre_id="candidate").groupBy("candidate").agg(F.count(F.lit(1)).alias("weight"))
+    return found.join(held, "candidate", "left").select("candidate", "centroid", F.coalesce("weight", F.lit(0)).alias("weight"))
+
+
+def heaviest(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` candidates that most vectors are nearest to; the smaller id of equal ones."""
+    return found.orderBy(F.desc("weight"), "candidate").limit(k)
+
+
 def run(
     points: DataFrame,
     centres: DataFrame,

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from verbatlas.functions.distance import norm
 from verbatlas.functions.text import cluster_key
 from verbatlas.operators import cluster as C
-from verbatlas.operators import reduction
-from verbatlas.operators.fits import fit_nested
+from verbatlas.operators import fits, reduction
 from verbatlas.operators.nearest import assign
 from verbatlas.operators.pruned import assign_pruned
 from verbatlas.operators.publish import member_chunks, reassemble
@@ -267,10 +266,31 @@ _SEEDED = f"('0x' || substr(md5('{SEED}:' || vec_id), 1, 15))::bigint, vec_id"
 )
 def nested_fit_two_steps(spark, folder):
     """Four cells after one pass, and up to six centres inside each after two, all cells in the same jobs."""
-    level1, _, _ = fit_nested(vectors(spark, folder), 4, 6, coarse_steps=1, steps=2, item_id="vec_id", seed=SEED)
+    level1, _, _ = fits.fit_nested(vectors(spark, folder), 4, 6, coarse_steps=1, steps=2, item_id="vec_id", seed=SEED)
     return _cells(level1, "cell", "label", "n")
 
 
+def _drawn(number: int, before: str) -> str:
+    """CTE ``c<number>(candidate, e)``: the candidates ``before`` and those that this round draws."""
+    return f"""d{number} as (select v.vec_id, any_value(v.e) as e, pow(min(list_distance(v.e, c.e)), 2) as square from v, {before} c group by v.vec_id),
+    c{number} as (select * from {before} union all select vec_id, e from d{number}, (select sum(square) as total from d{number})
+        where ('0x' || substr(md5('{SEED}:{number}:' || vec_id), 1, 13))::bigint / 4503599627370496.0 < 20 * square / total)"""
+
+
+@query(
+    f"""with {V}, c0 as (select vec_id as candidate, e from v order by {_SEEDED} limit 1), {_drawn(1, "c0")}, {_drawn(2, "c1")},
+        near as (select candidate, count(*) as weight from (select c.candidate, row_number() over (
+            partition by v.vec_id order by round(list_distance(v.e, c.e), 9), c.candidate) as r from v, c2 c) where r = 1 group by 1)
+        select candidate, coalesce(weight, 0) as weight,
+               row_number() over (order by coalesce(weight, 0) desc, candidate) <= 10 as chosen from c2 left join near using (candidate)"""
+)
+def kmeans_starts(spark, folder):
+    """Candidates of two rounds of k-means|| for ten clusters, their weights, and the ten that a fit starts from."""
+    found = materialise(fits.candidates(vectors(spark, folder), 10, item_id="vec_id", seed=SEED), "candidates")
+    chosen = fits.heaviest(found, 10).select("candidate", F.lit(True).alias("chosen"))
+    return found.join(chosen, "candidate", "left").select("candidate", "weight", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+
+
 @query()
 def kmeans_mllib(spark, folder):
     """Random starting centres, so only the rows can be compared."""
