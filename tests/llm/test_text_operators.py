@@ -34,6 +34,16 @@ def test_toxicity_on_held_out_rows(spark, folder):
     assert clean.predicted.mean() < 0.02
 
 
+def test_toxicity_recall_on_held_out_rows(spark):
+    """The larger table has enough toxic rows that were not learned from: most are found, no clean one is."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = queries.op1_toxicity(spark, folder).join(labels, "doc_id").where("held_out").toPandas()
+    toxic, clean = got[got.toxic == 1], got[got.toxic == 0]
+    assert len(toxic) >= 10 and toxic.predicted.mean() >= 0.65 and clean.predicted.mean() <= 0.01
+    assert toxic.score.mean() > 0.6 > 0.2 > clean.score.mean()
+
+
 def test_toxicity_learns_words_and_pairs(spark):
     fill = ["lorem ipsum dolor sit amet", "consectetur adipiscing elit sed", "do eiusmod tempor incididunt"]
     rows = [(k, f"{fill[k % 3]} {'vile scoundrel' if k % 4 == 0 else 'kind neighbour'} {fill[(k + 1) % 3]}", int(k % 4 == 0)) for k in range(400)]
