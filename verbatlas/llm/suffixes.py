@@ -42,7 +42,8 @@ from verbatlas.session import materialise
 LENGTH = 400
 ANCHOR = 24
 PERIOD = 64  # of the difference cover, a square
-BLOCK_BYTES = 2 * 1024 * 1024
+BLOCK_BYTES = 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 BUCKET = 2000
 
 _PLACE_BITS = np.uint64(28)
@@ -106,7 +107,7 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
     """Pieces of every text; equal ones of a text, as periodic text has by the hundred, share a row."""
     names = ["anchor", "piece", "id", "key", "n", "starts"]
     for batch in batches:
-        for part in tokens.slices(batch, "body"):
+        for part in tokens.slices(batch, "body", SLICE_BYTES):
             owner, start, sizes, anchors, prints = pieces(part.column("body"), length)
             order = np.lexsort((start, prints, anchors, owner))
             owner, start, sizes, anchors, prints = (x[order] for x in (owner, start, sizes, anchors, prints))
