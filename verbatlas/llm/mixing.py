@@ -14,9 +14,13 @@ Rates become whole copies by one cut per source: a document with rate r gets flo
 more if its hash falls below the fraction of r plus a shift t(s); t(s) is found by three rounds of
 histograms of 256 bins over (hash - fraction), to about one document, and then the one document whose
 change brings the source nearest to its target changes sides. No window, sort or join holds more than bins or cells of a source.
+The hash is that of the id and of a number among the rows of a source with this id, so that rows
+without id or with one id move one by one and not as a block.
 
 Defined results: null text has size 0 and takes 0; null source is a source of its own, the last one;
-equal rows get equal copies; an empty table gives an empty result; other columns are not looked at.
+rows that are equal in every column may get different copies, and how many of them get which number is
+the same on every run; an empty table gives an empty result; texts of any length count whole; other
+columns only settle the order of rows with one id.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verbatlas.llm.tables import word_count
+from verbatlas.llm.tables import numbered, word_count
 from verbatlas.operators.ordering import global_ordinals
 from verbatlas.session import BROADCAST_LIMIT_BYTES, materialise
 
@@ -124,12 +128,13 @@ def tilts(counted: DataFrame, wanted: DataFrame, most: int = MOST, steps: int =
 
 
 def plan(docs: DataFrame, item_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """One row per source: ``key, source_size, n_all, target, tilt, cut, moved``, written once.
+    """One row per source: ``key, source_size, n_all, target, tilt, cut, moved, moved_number``, written once.
 
     ``cut`` and ``moved`` say which documents get one copy more than the whole part of their rate.
     """
     sizes = materialise(sized(docs, item_id, text, source), "sizes")
     counted = materialise(cells(sizes), "cells")
+    sizes = numbered(sizes, ["key", "id"], [F.col("size")])
     wanted = targets(counted, weights, share, most)
     solved = tilts(counted, wanted, most)
     few = _few(wanted)
@@ -138,7 +143,7 @@ def plan(docs: DataFrame, item_id: str = "doc_id", text: str = "text", source: s
         return F.broadcast(df) if few else df
 
     rated = _rated(sizes.join(small(solved), "key"), most)
-    movable = rated.where("size > 0 and place is not null").select("id", "key", "size", "place")
+    movable = rated.where("size > 0 and place is not null").select("id", "number", "key", "size", "place")
     movable = materialise(movable, "movable")
 
     # The words that one more copy of some documents must give, source by source.
@@ -163,14 +168,16 @@ def plan(docs: DataFrame, item_id: str = "doc_id", text: str = "text", source: s
     change = F.when(F.col("place") < F.col("cut"), -F.col("size")).otherwise(F.col("size"))
     miss = F.abs(F.col("left") - change)
     moved = movable.join(small(cut), "key").where(miss < F.abs("left"))
-    moved = moved.groupBy("key").agg(F.min(F.struct(miss, "place", "id")).alias("one")).select("key", F.col("one.id").alias("moved"))
+    moved = moved.groupBy("key").agg(F.min(F.struct(miss, "place", "id", "number")).alias("one"))
+    moved = moved.select("key", F.col("one.id").alias("moved"), F.col("one.number").alias("moved_number"))
     return materialise(solved.join(cut.select("key", "cut"), "key", "left").join(moved, "key", "left"), "plan")
 
 
 def _rated(sizes: DataFrame, most: int) -> DataFrame:
     """Adds ``rate``, its whole part ``floor`` and the ``place`` of the rest among 2**24, null at the most."""
     rated = sizes.withColumn("rate", F.coalesce(_rate(most), F.lit(1.0))).withColumn("floor", F.floor("rate").cast("long"))
-    hashed = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
+    drawn = F.when(F.col("number") == 0, F.xxhash64("id")).otherwise(F.xxhash64("id", "number"))
+    hashed = F.shiftrightunsigned(drawn, 11) / float(1 << 53)
     place = ((hashed - (F.col("rate") - F.col("floor")) + 1.0) / 2.0 * (1 << 24)).cast("long")
     return rated.withColumn("place", F.when(F.col("floor") < most, place))
 
@@ -178,16 +185,18 @@ def _rated(sizes: DataFrame, most: int) -> DataFrame:
 def apply(docs: DataFrame, planned: DataFrame, item_id: str = "doc_id", text: str = "text", source: str = "source", most: int = MOST, column: str = "_mixed") -> DataFrame:
     """All columns of ``docs`` and a struct ``column`` of ``id, size, source_size, target, rate, copies``.
 
-    The plan has a row per source, so the texts are not shuffled.
+    The plan has a row per source, so texts are not shuffled but for those of rows with a repeated id.
     """
+    ids = docs.select(F.col(item_id).cast("long").alias("id"), source_key(F.col(source)).alias("key"))
     all_columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(
         all_columns.alias("row"), F.col(item_id).cast("long").alias("id"),
         source_key(F.col(source)).alias("key"), word_count(F.col(text).cast("string")).alias("size"),
     )
+    rows = numbered(rows, ["key", "id"], [F.col("size"), F.xxhash64(F.to_json("row"))], counted=ids)
     rated = _rated(rows.join(F.broadcast(planned) if _few(planned) else planned, "key", "left"), most)
     below = F.coalesce(F.col("place") < F.col("cut"), F.lit(False))
-    more = F.coalesce(below != (F.col("id") == F.col("moved")), below)
+    more = below != (F.col("id").eqNullSafe(F.col("moved")) & F.coalesce(F.col("number") == F.col("moved_number"), F.lit(False)))
     more = F.when(F.col("place").isNull() | (F.col("size") == 0), False).otherwise(more).cast("long")
     result = F.struct(
         "id", "size", F.coalesce("source_size", F.lit(0).cast("long")).alias("source_size"),
