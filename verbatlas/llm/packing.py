@@ -1,8 +1,8 @@
 """Operator 6, best-fit packing: variable-capacity best-fit.
 
 Texts are packed into sequences whose length is one of several permitted ones. A text longer than the
-longest is cut into pieces, so nothing is lost. Pieces are dealt by the hash of their id into shards of
-a bounded number of rows, and each shard is packed on its own, largest piece first. A piece goes to the
+longest is cut into pieces, so nothing is lost. Pieces are dealt by the hash of their id, and of a number
+among the rows with this id, into shards of a bounded number of rows, and each shard is packed on its own, largest piece first. A piece goes to the
 open bin that it leaves fullest. If none has room, a bin is opened: for every permitted length that
 holds the piece, the pieces still to come that would fill it are looked up, largest first, and the
 length with the least cost per token wins. A bin costs its length plus ``overhead``. In the end each
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbatlas.llm.tables import word_count
+from verbatlas.llm.tables import numbered, word_count
 
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 16
@@ -109,10 +109,13 @@ def pack_sizes(sizes: DataFrame, lengths: tuple = LENGTHS, overhead: int = OVERH
         out.loc[some, "capacity"], out.loc[some, "offset"] = capacity[place], offset
         return out[names]
 
-    cut = sizes.select("id", "size", F.posexplode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("n", "piece"))
+    sizes = numbered(sizes.select("id", "size"), ["id"], [F.col("size")])
+    cut = sizes.select("id", "number", "size", F.posexplode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("n", "piece"))
     start = F.col("piece") * longest
-    cut = cut.select("id", "piece", start.alias("start"), F.least(F.col("size") - start, F.lit(longest)).alias("size"))
-    shard = F.pmod(F.xxhash64("id", "piece", F.lit("shard")), F.lit(shards))
+    cut = cut.select("id", "number", "piece", start.alias("start"), F.least(F.col("size") - start, F.lit(longest)).alias("size"))
+    # The number is left out of the hash where it is 0, and so are null ids by the hash itself.
+    told = F.when(F.col("number") > 0, F.col("number"))
+    shard = F.pmod(F.xxhash64("id", "piece", F.lit("shard"), told), F.lit(shards))
     return cut.withColumn("shard", shard).groupBy("shard").applyInPandas(run, _SCHEMA)
 
 
