@@ -5,8 +5,8 @@ Three plain patterns find assignments, access keys and long hexadecimal runs. Be
 Markov models of its characters: one trained on random strings, one on ordinary identifiers. It counts
 as a secret if the log-likelihood ratio is above a threshold, in sum and per character.
 
-Labelled samples: the words of a bounded number of texts, as they stand, in capitals and joined in camel case, and decimal
-numbers as ordinary identifiers; random strings, drawn by hashing numbers, in four alphabets; own labelled rows can be given to ``train``. A
+Labelled samples: the words of a bounded number of different texts, as they stand, in capitals and joined in
+camel case, as paths and as names of constants, and decimal numbers and times as ordinary identifiers; random strings, drawn by hashing numbers, in four alphabets; own labelled rows can be given to ``train``. A
 model is a table of 65 x 65 log probabilities, whatever the size of the corpus.
 
 Defined results: null and empty texts have no spans; equal texts have equal spans; offsets count code
@@ -66,22 +66,32 @@ def random_strings(df: DataFrame) -> DataFrame:
 
 
 def ordinary_words(docs: DataFrame, rows: int = 500, text: str = "text") -> DataFrame:
-    """``string, label = 0``: the words of at most ``rows`` texts, those with the smallest hash.
+    """``string, label = 0``: the words of at most ``rows`` different texts, those with the smallest hash, as
+    they stand, in capitals, in camel case, and joined as paths and names of constants are.
 
     Words with a digit, and what stands behind a colon or an equals sign, may be secrets and are left out.
     """
     some = docs.select(F.col(text).cast("string").alias("body")).where("body is not null")
     some = some.withColumn("place", F.xxhash64("body"))
-    last = some.select("place").orderBy("place").limit(rows).agg(F.max("place")).first()[0]
-    some = some.where(F.col("place") <= F.lit(last)).dropDuplicates(["place"])  # equal texts teach once
+    last = some.select("place").distinct().orderBy("place").limit(rows).agg(F.max("place")).first()[0]
+    some = some.where(F.col("place") <= F.lit(last))
+    some = some.groupBy("place").agg(F.min("body").alias("body"))  # equal texts teach once
     found = F.regexp_extract_all("body", F.lit(r"(?:^|[\s])([A-Za-z_-]{4,})(?=[\s.,;]|$)"), 1)
     words = some.select(F.explode(found).alias("string"))
-    return words.select(F.explode(F.array("string", F.upper("string"), F.concat("string", F.initcap("string")))).alias("string"), F.lit(0).alias("label"))
+    low, high = F.lower("string"), F.upper("string")
+    forms = [
+        F.col("string"), high, F.concat("string", F.initcap("string")), F.concat_ws("_", high, high), F.concat_ws("_", low, low),
+        F.concat(F.lit("/"), low, F.lit("/"), low), F.concat_ws("-", low, low), F.concat(low, F.length("string").cast("string")),
+    ]
+    return words.select(F.explode(F.array(*forms)).alias("string"), F.lit(0).alias("label"))
 
 
 def ordinary_numbers(df: DataFrame) -> DataFrame:
-    """``string, label = 0``: decimal numbers, as ordinary records carry them, one for each ``id``."""
-    return df.select(F.abs(F.xxhash64("id")).cast("string").alias("string"), F.lit(0).alias("label"))
+    """``string, label = 0``: a decimal number and a time, as ordinary records carry them, for each ``id``."""
+    number = F.abs(F.xxhash64("id"))
+    when = F.timestamp_seconds(F.pmod(number, F.lit(2_000_000_000)))
+    forms = F.array(number.cast("string"), *[F.date_format(when, p) for p in ("yyyy-MM-dd", "yyyy_MM_dd_HH_mm_ss", "yyyyMMdd-HHmmss")])
+    return df.select(F.explode(forms).alias("string"), F.lit(0).alias("label"))
 
 
 def train(samples: DataFrame, total: float = 16.0, mean: float = 1.0) -> Model:
