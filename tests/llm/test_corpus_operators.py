@@ -60,9 +60,40 @@ def test_mix_of_odd_rows(odd, none):
     assert rows.columns == [*odd.columns, "_told"]
 
 
+def test_rows_with_one_id_move_one_by_one(spark):
+    """Null ids and repeated ids: each source ends within half a document of its target, on every run."""
+    rows = [(None, "a", f"{k} " * 10) for k in range(300)] + [(7, "b", "same words " * 5)] * 200 + [(k, "c", "x " * 10) for k in range(500)]
+    df = spark.createDataFrame([r + ({"k": 1},) for r in rows], "doc_id long, source string, text string, extra map<string, int>")
+    runs = []
+    for _ in range(2):
+        got = mixing.apply(df, mixing.plan(df)).selectExpr("source", "doc_id", "text", "_mixed.*").collect()
+        assert len(got) == len(rows)
+        taken, target = Counter(), {}
+        for r in got:
+            taken[r.source] += r.copies * r["size"]
+            target[r.source] = r.target
+        assert all(abs(taken[s] - t) <= 5 for s, t in target.items()) and len(target) == 3
+        runs.append(Counter((r.source, r.text, r.copies) for r in got))
+    assert runs[0] == runs[1]
+    assert Counter((r.source, r.copies) for r in mixing.mix(df.select("doc_id", "source", "text")).join(
+        df.selectExpr("doc_id as id", "source").distinct(), "id").collect() if r.source == "b") == Counter({(s, c): n for (s, _, c), n in runs[0].items() if s == "b"})
+
+
 # --- n-gram join ---
 
 
+def test_join_of_texts_with_one_id(spark):
+    """Ids shared by different texts lose no link, held against brute force over rows."""
+    a, b = " ".join(f"a{k}" for k in range(200)), " ".join(f"b{k}" for k in range(200))
+    docs = [(1, a), (1, b), (2, a), (3, b), (4, a + " x"), (5, b + " y"), (6, b), (6, b), (6, "c d")]
+    expect = brute.jaccard_classes([(k, t) for k, (_, t) in enumerate(docs)])
+    ids = [i for i, _ in docs]
+    named = {c: min(ids[k] for k, (d, _) in expect.items() if d == c) for c, _ in expect.values()}
+    want = Counter((ids[k], named[c], n) for k, (c, n) in expect.items())
+    got = ngram_join.join(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter((r.id, r.class_id, r.n_links) for r in got) == want
+    assert len({r.class_key for r in got}) == 3
+
 def test_join_equals_brute_force(spark, folder, plain):
     got = {r.doc_id: (r.class_id, r.n_links) for r in queries.op3_ngram_join(spark, folder).collect()}
     assert got == brute.jaccard_classes(plain)

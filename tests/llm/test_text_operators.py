@@ -174,6 +174,15 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack_texts(none).count() == 0
 
 
+def test_packing_deals_rows_with_one_id(spark):
+    """Rows without id or with one id do not share a group."""
+    df = spark.range(400).selectExpr("if(id < 300, null, 5) as doc_id", "repeat('w ', 1 + cast(id % 7 as int)) as text")
+    got = packing.pack_texts(df, shard_rows=50).toPandas()
+    assert len(got) == 400 and got["size"].sum() == sum(1 + k % 7 for k in range(400))
+    assert got.bin_id.str.split("-").str[0].nunique() == 8
+    assert got.groupby(got.bin_id.str.split("-").str[0]).size().max() < 100
+
+
 # --- secrets ---
 
 
@@ -207,3 +216,26 @@ def test_markov_models_tell_random_strings(documents, odd, none):
     assert clean.schema == odd.schema and "[SECRET]" in clean.where("doc_id = 11").first().text
     assert clean.where("doc_id = 1").first().text is None
     assert secrets.scan(none, model).count() == 0 and math.isfinite(secrets.model_of(none).ratio.sum())
+
+
+IDENTIFIERS = (
+    "MAX_CONNECTION_POOL_SIZE_DEFAULT com/example/projects/some/path/index /usr/local/lib/python3/site-packages getUserAccountSettings "
+    "backup_2024_01_31_23_59_59 20240131-235959-report user-account-settings-page HTTP_REQUEST_TIMEOUT_SECONDS readOnlyMemoryRegion "
+    "/var/log/service/requests some_function_with_long_name internationalization_of_identifiers"
+).split()
+
+
+def test_markov_precision_and_recall(spark, documents):
+    """Identifiers of several forms are left alone, random strings of 20 to 40 characters found."""
+    model = secrets.model_of(documents)
+    marked = [w for w, f in zip(IDENTIFIERS, secrets.find(IDENTIFIERS, model), strict=True) if f]
+    assert not marked
+    rng = np.random.default_rng(11)
+    drawn = ["".join(rng.choice(list(secrets.ALPHABET[:62]), int(rng.integers(20, 41)))) for _ in range(400)]
+    assert sum(bool(f) for f in secrets.find(drawn, model)) >= 0.95 * len(drawn)
+
+
+def test_copies_do_not_narrow_the_sample(documents):
+    text = documents.select("doc_id", "text").where("text is not null")
+    one = text.orderBy("doc_id").limit(1).crossJoin(documents.sparkSession.range(600)).select("doc_id", "text")
+    assert secrets.ordinary_words(text.union(one)).count() == secrets.ordinary_words(text).count()

@@ -1,7 +1,7 @@
 """Operator 3, n-gram Jaccard join: MinHash banding, then verification on the full n-gram sets.
 
 1. Every text becomes the set of its five-word shingles (all words, if there are fewer). Texts with
-   equal sets form one member; only its least id goes on.
+   equal sets form one member, which gets a number; only its least id and that row's text go on.
 2. ``bands`` picks rows and bands for a target recall at the threshold. Band hashes are shuffled
    together with one byte of each MinHash value.
 3. Within a bucket, members whose bytes agree as often as a similarity little below the threshold would
@@ -13,9 +13,10 @@
 5. The forest's components are the classes.
 
 Defined results: null and empty texts have no shingles, link with nothing and are classes of their own;
-rows without an id have no class and no links; rows with the same id count as one document; white
-space does not matter, letter case does; a class is named by its least id; other columns are not
-looked at.
+rows without an id have no class and no links; rows with one id and different texts are documents of
+their own, so no link of either is lost, and two classes may have one name; texts of any length are
+read whole; white space does not matter, letter case does; a class is named by its least id; other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbatlas.llm import tokens
 from verbatlas.llm.components import components
 from verbatlas.llm.tables import texts
+from verbatlas.operators.ordering import global_ordinals
 from verbatlas.session import materialise
 
 WORDS = 5
@@ -82,7 +84,7 @@ def shingles(column: pa.Array, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], n: int, count: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """``id, k1, k2, sketch, keys`` of every text; k1 and k2 name the set and are null without shingles."""
+    """``id, digest, k1, k2, sketch, keys`` of every text; k1 and k2 name the set and are null without shingles."""
     factors = _multipliers(count * rows)
     for batch in batches:
         for part in tokens.slices(batch, "body"):
@@ -105,12 +107,12 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int, count: int, rows: int
 
             at = np.full(part.num_rows, -1)
             at[some] = np.arange(len(some))
-            columns = [part.column("id")]
+            columns = [part.column("id"), part.column("digest")]
             for k in (k1, k2):
                 columns.append(pa.array([None if a < 0 else int(v) for a, v in zip(at.tolist(), _signed(k, at), strict=True)], pa.int64()))
             columns.append(pa.array([None if a < 0 else sketch[a].tobytes() for a in at.tolist()], pa.binary()))
             columns.append(pa.array([None if a < 0 else keys[a].view(np.int64).tolist() for a in at.tolist()], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, ["id", "k1", "k2", "sketch", "keys"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "k1", "k2", "sketch", "keys"])
 
 
 def _signed(values: np.ndarray, at: np.ndarray) -> list:
@@ -248,21 +250,23 @@ def join(
     recall: float = RECALL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """``id, class_id, n_links, representative`` of every row.
+    """``id, class_id, n_links, representative, class_key, digest`` of every row.
 
     ``class_id`` is the least id that can be reached by links, ``n_links`` the number of other documents
     with a Jaccard similarity of ``threshold`` or more, copies included, and ``representative`` the least
-    id with the same set of shingles.
+    id with the same set of shingles. ``class_key`` tells classes apart even if ids are repeated, and is
+    null for rows without shingles or id; ``digest`` is ``body_digest`` of the row's text.
     """
     count, rows = bands(threshold, recall)
-    plain = texts(docs, item_id, text)
-    schema = "id long, k1 long, k2 long, sketch binary, keys array<long>"
+    plain = texts(docs, item_id, text).withColumn("digest", body_digest(F.col("body")))
+    schema = "id long, digest long, k1 long, k2 long, sketch binary, keys array<long>"
     signed = materialise(plain.mapInArrow(lambda it: _signatures(it, words, count, rows), schema), "signatures")
     named = signed.where("id is not null and k1 is not null")
     members = named.groupBy("k1", "k2").agg(
-        F.min("id").alias("member"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")
+        F.min(F.struct("id", "digest")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")
     )
-    members = materialise(members, "members")
+    members = members.select("k1", "k2", F.col("least.id").alias("name"), F.col("least.digest").alias("digest"), "copies", "sketch", "keys")
+    members = materialise(global_ordinals(members, ["k1", "k2"], "member"), "members")
 
     dealt = members.select(F.explode("keys").alias("key"), F.col("member").alias("id"), "sketch")
     width = _width(docs.sparkSession)
@@ -270,32 +274,41 @@ def join(
     ties = dealt.mapInArrow(lambda it: _ties(it, threshold - MARGIN), "a long, b long")
     groups = components(ties).toDF("member", "group")
 
-    weights = members.groupBy("member").agg(F.max("copies").alias("weight"))
-    dealt = units(groups.join(weights, "member").select(F.col("member").alias("id"), "group", "weight"), block)
-    bodies = texts(docs, item_id, text)
-    bodies = bodies.where("body is not null").join(dealt.select("id").distinct(), "id", "left_semi")
-    bodies = bodies.groupBy("id").agg(F.max("body").alias("body"))
-    dealt = dealt.join(bodies, "id").repartition(width, "group", "left", "right")
+    told = members.select("member", "name", "digest", F.col("copies").alias("weight"))
+    dealt = units(groups.join(told, "member").withColumnRenamed("member", "id"), block)
+    bodies = plain.withColumnRenamed("id", "name").where("body is not null")
+    bodies = bodies.join(dealt.select("name", "digest").distinct(), ["name", "digest"], "left_semi")
+    bodies = bodies.groupBy("name", "digest").agg(F.max("body").alias("body"))
+    dealt = dealt.join(bodies, ["name", "digest"]).repartition(width, "group", "left", "right")
     dealt = dealt.sortWithinPartitions("group", "left", "right", "side", "id")
     found = dealt.mapInArrow(lambda it: _verified(it, words, threshold), "id long, other long, links long")
     found = materialise(found, "links")
 
-    classes = components(found.where("other is not null"), "id", "other").toDF("member", "class_id")
+    classes = components(found.where("other is not null"), "id", "other").toDF("member", "class_key")
+    least = classes.join(members.select("member", "name"), "member").groupBy("class_key").agg(F.min("name").alias("class_id"))
+    classes = classes.join(least, "class_key")
     links = found.where("other is null").groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "member")
-    told = members.select("k1", "k2", "member", "copies").join(classes, "member", "left").join(links, "member", "left")
+    told = members.select("k1", "k2", "member", "name", "copies").join(classes, "member", "left").join(links, "member", "left")
     told = told.select(
-        "k1", "k2", "member", F.coalesce("class_id", "member").alias("class_id"),
+        "k1", "k2", "name", F.coalesce("class_id", "name").alias("class_id"), F.coalesce("class_key", "member").alias("class_key"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    out = signed.select("id", "k1", "k2").join(told, ["k1", "k2"], "left")
+    out = signed.select("id", "digest", "k1", "k2").join(told, ["k1", "k2"], "left")
     known = F.col("id").isNotNull()
     return out.select(
         "id",
         F.when(known, F.coalesce("class_id", "id")).alias("class_id"),
         F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
-        F.when(known, F.coalesce("member", "id")).alias("representative"),
+        F.when(known, F.coalesce("name", "id")).alias("representative"),
+        F.when(known, F.col("class_key")).alias("class_key"),
+        "digest",
     )
 
 
+def body_digest(body: Column) -> Column:
+    """A text among those of one id."""
+    return F.xxhash64(body)
+
+
 def _width(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

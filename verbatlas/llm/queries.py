@@ -53,7 +53,8 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.join(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+    found = ngram_join.join(read(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "representative")
 
 
 @query
