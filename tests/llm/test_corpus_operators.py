@@ -354,3 +354,12 @@ def test_pipeline_on_odd_rows(spark, folder, odd, none):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, folder).cache()
         assert (rows.count() > 0) == (docs is odd)
+
+
+def test_one_row_of_each_class_stays(spark, folder):
+    """Ids shared by texts of different classes, and repeated rows."""
+    a, b = " ".join(f"a{k}" for k in range(200)), " ".join(f"b{k}" for k in range(200))
+    rows = [(1, a, "x"), (1, b, "x"), (2, a, "x"), (2, a + " z", "y"), (3, b, None), (4, "c d", "x"), (4, "c d", "y"), (5, "", "x"), (5, "", "x"), (None, a, "x"), (6, None, None)]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text, r.source) for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect())
+    assert got == Counter({(1, a, "x"): 1, (1, b, "x"): 1, (4, "c d", "x"): 1, (5, "", "x"): 2, (None, a, "x"): 1, (6, None, None): 1})
