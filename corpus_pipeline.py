@@ -5,8 +5,8 @@ and returns documents with the same columns; the last returns the places of thei
 stages the documents are written as Parquet and read again.
 
 1. ``toxicity``: documents whose score is 0.7 or more go.
-2. ``near_duplicates``: one document of each class of the n-gram Jaccard join stays, the one with the
-   least id; of rows that are equal in all columns one stays. Documents without an id stay.
+2. ``near_duplicates``: one row of each class of the n-gram Jaccard join stays, the one with the least id;
+   among rows with this id and text the least by the other columns. Rows without a word or an id stay.
 3. ``secrets``: every span found is replaced by a mark; ``n_chars`` follows where the length changes.
 4. ``mixing``: each document is repeated as often as the mix takes it, which may be never.
 5. ``packing``: the words of all copies are packed into sequences.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbatlas.llm import mixing, ngram_join, packing, secrets, toxicity
-from verbatlas.llm.tables import DOCUMENTS, read
+from verbatlas.llm.tables import DOCUMENTS, read, word_count
 from verbatlas.session import materialise
 
 TOXIC = 0.7
@@ -36,12 +36,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*DOCUMENTS)
-    classes = ngram_join.join(docs)
-    kept = classes.where("id = class_id").groupBy("id").agg(F.count(F.lit(1)).alias("_times"))
-    found = docs.join(kept, docs["doc_id"] == kept["id"]).drop("id")
-    once = found.where("_times = 1").select(*DOCUMENTS)
-    several = found.where("_times > 1").select(*DOCUMENTS).dropDuplicates()
-    return once.union(several).union(docs.where("doc_id is null"))
+    classes = ngram_join.join(docs).where("class_key is not null")
+    first = classes.groupBy("class_key").agg(F.min(F.struct("id", "digest")).alias("first"))
+    first = first.select(F.col("first.id").alias("_id"), F.col("first.digest").alias("_digest"))
+    told = docs.withColumn("_words", word_count(F.col("text")) > 0).withColumn("_text", ngram_join.body_digest(F.col("text")))
+    # Copies of one text under one id are merged before they meet, so a hot one is reduced in every task.
+    one = F.min(F.struct("text", *[c for c in DOCUMENTS if c not in ("doc_id", "text")])).alias("_row")
+    found = told.where("_words and doc_id is not null").groupBy("doc_id", "_text").agg(one)
+    found = found.join(first, (F.col("doc_id") == F.col("_id")) & (F.col("_text") == F.col("_digest")))
+    found = found.select("doc_id", "_row.*").select(*DOCUMENTS)
+    return found.union(told.where("not (_words and doc_id is not null)").select(*DOCUMENTS))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
