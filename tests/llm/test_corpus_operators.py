@@ -1,5 +1,6 @@
 """Operators on pairs and sources, and the pipeline."""
 
+import random
 from collections import Counter, defaultdict
 
 import brute
@@ -19,6 +20,21 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_random_graphs_and_hubs(spark):
+    """Hubs that are the least, the greatest or neither of their neighbours, long chains, dense groups."""
+    draw = random.Random(5)
+    hubs = [(0, k) for k in range(1000, 1400)] + [(5000, k) for k in range(2000, 2400)] + [(3200, k) for k in range(3000, 3400)]
+    chain = list(range(10_000, 10_300))
+    draw.shuffle(chain)
+    dense = [(draw.randrange(20_000, 20_060), draw.randrange(20_000, 20_060)) for _ in range(400)]
+    sparse = [(draw.randrange(30_000, 31_000), draw.randrange(30_000, 31_000)) for _ in range(450)]
+    for edges in (hubs, list(zip(chain, chain[1:])), dense + sparse, hubs + [(1399, 2000), (3399, 2399)] + dense):
+        got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        nodes = {x for a, b in edges if a != b for x in (a, b)}
+        expect = brute.components(nodes, edges)
+        assert got == {k: expect[k] for k in nodes}
+
+
 # --- mixing ---
 
 
