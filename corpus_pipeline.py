@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from verbatlas.llm import mixing, ngram_join, packing, secrets, toxicity
 from verbatlas.llm.tables import DOCUMENTS, read, word_count
-from verbatlas.session import materialise
+from verbatlas.session import scratch_path, scratch_scope
 
 TOXIC = 0.7
 
@@ -84,5 +84,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):  # what a stage wrote for itself goes when its result stands
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
