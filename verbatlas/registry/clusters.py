@@ -151,6 +151,16 @@ def chunk_reassembly(spark, folder):
     return back.select("cluster_id", "vec_id", "chunk_no", F.col("place").cast("bigint").alias("place"))
 
 
+@query(
+    f"""with {V}, {MEANS}, {RANKED} select cluster_id, vec_id, (place - 1) // 16 + 1 as chunk_no,
+        (place - 1) % 16 as place from ranked where (place - 1) // 16 + 1 between 2 and 3"""
+)
+def chunk_reassembly_range(spark, folder):
+    """The members of some chunks only; clusters without such chunks are no error."""
+    back = reassemble(_ranked_chunks(spark, folder), 2, 3, item_id="vec_id")
+    return back.select("cluster_id", "vec_id", "chunk_no", F.col("place").cast("bigint").alias("place"))
+
+
 @query(
     f"""with {V}, {MEANS}, {RANKED}
         select cluster_id, vec_id, round(cd, 5) as distance from ranked where place = 1"""

@@ -337,6 +337,18 @@ def publish_docs_json(spark, folder):
     return _doc_shape(spark.read.schema(docs.schema).json(path))
 
 
+def _stale_store(spark, folder, docs):
+    path = scratch_path(spark, "store")
+    lang = table(spark, folder, "documents").select(F.col("doc_id").alias("ordinal"), F.col("lang").alias("text"))
+    M.save_blocks(docs.drop("text").join(lang, "ordinal"), path, block_rows=500)
+    return path
+
+
+def _stored_shape(spark, path):
+    stored = M.read_blocks(spark, path)
+    return stored.select("script_id", "video_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query(
     f"""select {encoded("doc_id")} as script_id, source as video_id,
             case when doc_id >= (select count(*) // 2 from documents) then md5(text) else md5(lang) end as text_md5
@@ -344,14 +356,23 @@ def publish_docs_json(spark, folder):
 )
 def publish_docs_upsert(spark, folder):
     """A store with stale texts, set again document by document from the middle on."""
-    path = scratch_path(spark, "store")
     docs = segments(spark, folder)
-    n = docs.count()
-    lang = table(spark, folder, "documents").select(F.col("doc_id").alias("ordinal"), F.col("lang").alias("text"))
-    M.save_blocks(docs.drop("text").join(lang, "ordinal"), path, block_rows=500)
-    P.upsert_documents(spark, docs, path, batch_size=500, resume=n // 2, block_rows=500)
-    stored = M.read_blocks(spark, path)
-    return stored.select("script_id", "video_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    path = _stale_store(spark, folder, docs)
+    P.upsert_documents(spark, docs, path, batch_size=500, resume=docs.count() // 2, block_rows=500)
+    return _stored_shape(spark, path)
+
+
+@query(
+    f"""select {encoded("doc_id")} as script_id, source as video_id,
+            case when doc_id >= n // 2 and doc_id < n // 2 + n // 5 then md5(text) else md5(lang) end as text_md5
+        from documents, (select count(*) as n from documents)"""
+)
+def publish_docs_one_batch(spark, folder):
+    """As `publish_docs_upsert`, but it stops after one batch of a fifth of all documents."""
+    docs = segments(spark, folder)
+    path, n = _stale_store(spark, folder, docs), docs.count()
+    P.upsert_documents(spark, docs, path, batch_size=n // 5, resume=n // 2, stop=True, block_rows=500)
+    return _stored_shape(spark, path)
 
 
 @query(f"{_DOC} and d.doc_id = 0")

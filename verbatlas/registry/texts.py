@@ -260,6 +260,34 @@ def segments_flatten(spark, folder):
     return _script_digest(transcripts.flatten_transcripts(nested))
 
 
+@query(
+    f"{_FLAT} where conv_id >= (select count(distinct conv_id) // 2 from conversations)"
+)
+def segments_resumed(spark, folder):
+    """Transcripts flattened from the middle of the videos on, as after a break."""
+    nested = transcripts.nest_transcripts(_captions(spark, folder), "turn")
+    nested = nested.withColumn("place", F.substring("video_id", 2, 20).cast("long"))
+    half = nested.select("video_id").distinct().count() // 2
+    return _script_digest(transcripts.flatten_transcripts(nested, half, "place"))
+
+
+@query(
+    """select position - 1 as position, value from (
+        select value, row_number() over (order by part, doc_id) as position from (
+            select o_orderkey as doc_id, o_orderkey % 3 as part, o_orderkey || ' ' || o_orderstatus as value
+            from orders))"""
+)
+def line_positions(spark, folder):
+    """Lists in three files, read back in the order of files and lines."""
+    path = scratch_path(spark, "lists")
+    o = table(spark, folder, "orders")
+    value = F.concat(F.col("o_orderkey").cast("string"), F.lit(" "), F.col("o_orderstatus"))
+    for part in range(3):
+        own = o.where(F.col("o_orderkey") % 3 == part).orderBy("o_orderkey").coalesce(1)
+        own.select(value.alias("value")).write.text(f"{path}/part={part}")
+    return lines.read_lines(spark, f"{path}/*")
+
+
 @query(_FLAT)
 def csv_roundtrip(spark, folder):
     """Captions written as quoted CSV in two appends, checked and read back."""
@@ -340,8 +368,7 @@ def encode_missing(spark, folder):
     return found.select("*", *[F.lit(n).cast("bigint").alias(name) for n, name in zip(runs, names, strict=True)])
 
 
-@query("select 'v' || conv_id || '_' || turn as video_id from conversations")
-def json_pages(spark, folder):
+def _saved_pages(spark, folder):
     """Saved API pages of 50 items, one JSON file each, next to files cut off in the middle."""
     root = scratch_path(spark, "api")
     rows = table(spark, folder, "conversations").select("conv_id", "turn")
@@ -353,7 +380,24 @@ def json_pages(spark, folder):
     for kind, value in (("whole", F.col("value")), ("cut", F.expr("left(value, length(value) - 3)"))):
         files = page.select("page", value.alias("value")).repartition("page")
         files.write.partitionBy("page").text(f"{root}/{kind}", compression="none")
-    return pages.read_api_pages(spark, root, "*.txt")
+    return root
+
+
+@query("select 'v' || conv_id || '_' || turn as video_id from conversations")
+def json_pages(spark, folder):
+    """Ids of the whole pages; the others give none."""
+    return pages.read_api_pages(spark, _saved_pages(spark, folder), "*.txt")
+
+
+@query(
+    """select 'cut' as kind, unnest(range(0, (count(*) + 49) // 50))::bigint as page
+        from (select conv_id, turn from conversations)"""
+)
+def json_pages_broken(spark, folder):
+    """The report of pages that could not be read."""
+    broken = pages.broken_api_pages(spark, _saved_pages(spark, folder), "*.txt")
+    told = F.regexp_extract("file", "/([a-z]+)/page=[0-9]+/", 1), F.regexp_extract("file", "/page=([0-9]+)/", 1)
+    return broken.select(told[0].alias("kind"), told[1].cast("long").alias("page"))
 
 
 @query(
