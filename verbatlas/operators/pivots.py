@@ -32,6 +32,7 @@ from verbatlas.session import BROADCAST_LIMIT_BYTES, materialise
 PIVOTS = 16
 BLOCK_ROWS = 4096
 QUERIES = 4096  # queries that meet a block in one unit
+PAIRS = 4096  # pairs of a query and a block that a task hands on at a time
 SEED = 3571
 MARGIN = 1e-7  # on bounds, relative to the distances: rounding, and distances that count as equal
 
@@ -136,6 +137,15 @@ class _Bounds:
         return out
 
 
+def _met(part: pa.RecordBatch, wanted: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The queries of ``part`` with every block they want; each pair carries its vector, and a query may want all blocks."""
+    q, b = np.nonzero(wanted)
+    for low in range(0, len(q), PAIRS):
+        columns = [c.take(pa.array(q[low : low + PAIRS])) for c in part.columns]
+        columns.append(pa.array(block[b[low : low + PAIRS]], pa.int32()))
+        yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "block"])
+
+
 def search_pivots(
     queries: DataFrame, table: PivotTable, k: int, *, query_id: str = "query_id", vector: str = "vector", report: dict | None = None
 ) -> DataFrame:
@@ -165,9 +175,7 @@ def search_pivots(
                     if late:
                         limit = pc.fill_null(part.column("_limit"), np.inf).to_numpy(zero_copy_only=False)[:, None]
                         wanted = ~wanted & (lower <= limit + MARGIN * (1.0 + limit))
-                    q, b = np.nonzero(wanted)
-                    columns = [c.take(pa.array(q)) for c in part.columns]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(bounds.block[b], pa.int32())], [*part.schema.names, "block"])
+                    yield from _met(part, wanted, bounds.block)
 
         return rows.mapInArrow(choose, T.StructType([*rows.schema.fields, T.StructField("block", T.IntegerType())]))
 
