@@ -20,6 +20,9 @@ from verbatlas.session import broadcast_if_small, materialise, spread
 # Tokens are runs of letters and digits.
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 
+# Bytes of text that the hashed encoder cuts into words at once.
+SLICE_BYTES = 8 * 1024 * 1024
+
 
 class Encoder(Protocol):
     dim: int
@@ -30,8 +33,9 @@ class Encoder(Protocol):
 class HashedEncoder:
     """Signed bag of words: every token adds +1 or -1 to one of ``dim`` components.
 
-    Works on whole Arrow batches: the texts are cut by one vectorised call, each
-    distinct word of a batch is hashed once, and one ``bincount`` adds everything up.
+    Works on slices of Arrow batches of about ``SLICE_BYTES`` of text, so memory does not grow with the
+    batch: the texts are cut by one vectorised call, each distinct word of a slice is hashed
+    once, and one ``bincount`` adds everything up.
     The row stays in its partition; no tokens are exploded or shuffled.
     """
 
@@ -41,8 +45,7 @@ class HashedEncoder:
     def column(self, text: Column) -> Column:
         dim = self.dim
 
-        @arrow_udf("array<double>")
-        def encode(texts: pa.Array) -> pa.Array:
+        def some(texts: pa.Array) -> np.ndarray:
             words = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), pattern=TOKEN_BREAK)
             used = words.flatten().dictionary_encode()
             hashes = np.array([_hash(w) for w in used.dictionary.to_pylist()], dtype=np.int64)
@@ -52,11 +55,26 @@ class HashedEncoder:
             cells = np.bincount(rows * dim + (hashes % dim)[at], weights=signs[at], minlength=len(texts) * dim)
             matrix = cells.reshape(len(texts), dim)
             length = np.sqrt(np.square(matrix).sum(axis=1, keepdims=True))
-            return blocks.to_lists(np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0))
+            return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
+
+        @arrow_udf("array<double>")
+        def encode(texts: pa.Array) -> pa.Array:
+            parts = [some(texts.slice(low, high - low)) for low, high in _slices(texts)]
+            return blocks.to_lists(np.concatenate(parts) if parts else np.zeros((0, dim)))
 
         return _once(encode)(text)
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLICE_BYTES`` together; a longer text is a range of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low, before = 0, 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield low, high
+        low, before = high, int(ends[high - 1])
+
+
 def _once(udf):
     """Keep the optimizer from copying the call into filters on its result.
 
