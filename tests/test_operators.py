@@ -1,7 +1,9 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +195,16 @@ def test_pivots_skip_blocks_and_lose_nothing(spark, metric, monkeypatch):
     assert report["all"] == len(asked) * 41 and report["compared"] < 0.3 * report["all"]
 
 
+def test_pairs_of_queries_and_blocks_come_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(pivots, "PAIRS", 16)
+    part = pa.RecordBatch.from_pydict({"query_id": list(range(9)), "vector": [[float(i)] for i in range(9)]})
+    wanted = np.random.default_rng(1).random((9, 12)) < 0.7
+    got = list(pivots._met(part, wanted, np.arange(100, 112, dtype=np.int32)))
+    assert len(got) > 3 and max(b.num_rows for b in got) == 16
+    rows = pa.Table.from_batches(got).to_pylist()
+    assert [(r["query_id"], r["vector"][0], r["block"] - 100) for r in rows] == [(q, float(q), b) for q, b in zip(*np.nonzero(wanted))]
+
+
 def test_pivots_of_few_and_undefined_rows(spark, points):
     rows = frame(spark, points[:3])
     bad = spark.createDataFrame([(10, None), (11, [float("nan")] * 6), (12, [None] * 6)], "script_id long, vector array<double>")
@@ -410,6 +422,19 @@ def test_hashed_vectors_are_unit_and_case_blind(spark):
     assert tuple(count_unusable(df).first()) == (5, 1, 1)
 
 
+def test_encoder_works_on_slices_of_a_batch(spark, monkeypatch):
+    texts = ["", "é " * 9, "alpha beta", "x" * 70, "beta, gamma"] * 5
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    want = {r.i: r.vector for r in embed(df, HashedEncoder(8)).collect()}
+    got = pa.array([*texts, None])
+    for size in (1, 30, 10**6):
+        monkeypatch.setattr(encode, "SLICE_BYTES", size)
+        ranges = list(encode._slices(got))
+        assert [a for a, _ in ranges] == [0, *[b for _, b in ranges[:-1]]] and ranges[-1][1] == len(got)
+        assert all(sum(len(t.encode()) for t in [*texts, ""][a:b]) <= size or b == a + 1 for a, b in ranges)
+    assert all(want[i] == want[i % 5] for i in want) and len(want) == 20
+
+
 def test_model_encoder_gets_batches(spark):
     def load():
         return lambda texts: np.array([[len(t), t.count("a")] for t in texts], dtype=float)
@@ -636,6 +661,40 @@ def test_within_holds_k_per_reference():
         assert sorted(v2[r2 == i].tolist()) == sorted(close[np.argsort(place[close])][:3].tolist())
 
 
+def _peak_mb(call):
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_unit_of_pairs():
+    rng = np.random.default_rng(3)
+    data, refs = rng.normal(size=(6000, 16)), rng.normal(size=(6000, 16))
+    assert _peak_mb(lambda: blocks.within(data, refs, "euclidean", 2.0, 10, np.full(6000, np.inf), np.arange(6000))) < 40
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "sqeuclidean", "cityblock", "chebyshev"])
+@pytest.mark.parametrize("shift, scale", [(0.0, 1.0), (1e4, 1e-3), (0.0, 1e-15), (0.0, 1e20), (3.0, 1e6)])
+def test_screening_in_single_precision_loses_nothing(metric, shift, scale):
+    rng = np.random.default_rng(5)
+    data = rng.integers(-3, 4, size=(400, 3)) * scale + shift  # many ties
+    refs = data[::9] + scale / 7
+    full = np.array([blocks.row_distance(data, np.broadcast_to(r, data.shape), metric) for r in refs])
+    want = np.argsort(np.round(full, 9), axis=1, kind="stable")[:, :6]
+    r, v, _ = blocks.within(data, refs, metric, 2.0, 6, np.full(len(refs), np.inf), np.arange(400))
+    assert v[np.lexsort((v, np.round(full, 9)[r, v], r))].reshape(-1, 6).tolist() == want.tolist()
+
+
+def test_units_do_not_grow_with_the_tables(spark):
+    cores = spark.sparkContext.defaultParallelism
+    sides = [nearest_module._unit_rows(spark, n, "cityblock") for n in (20_000, 100_000, 10**6, 10**9)]
+    assert sides == sorted(sides) and sides[-1] ** 2 <= 2**28
+    assert (100_000 / sides[1]) ** 2 >= 4 * cores * 0.99  # several units for every core, not one block of all
+
+
 @pytest.mark.parametrize("limit", [None, 8 * 9 * 4])
 def test_first_n_by_either_way(spark, points, monkeypatch, limit):
     """Few queries as one broadcast block, many as pairs of blocks and slices: the same first n."""

@@ -2,8 +2,8 @@
 
 Each works on a block of corpus vectors against a bounded block of reference
 vectors (queries or cluster centres). Euclidean-like metrics are screened by one
-matrix product; every value that is kept is then computed again row by row, so the
-screening never decides between close candidates.
+matrix product, in single precision where a search looks at many pairs; every value that is
+kept is then computed again row by row, so the screening never decides between close candidates.
 """
 
 from __future__ import annotations
@@ -11,14 +11,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-# Cells of the largest temporary array in one step (float64, so 8 bytes each).
-CELLS = 4_000_000
+# Cells of the largest temporary array in one step (8 bytes each, 4 in single precision).
+CELLS = 1_000_000
 TILE_CELLS = 32_768
 
 # Distances are compared to so many decimals. Vectors at the same distance whose float
 # sums differ in the last bits are then ordered by id, on every machine alike.
 TIE_DIGITS = 9
 
+SINGLE = 2.0**-24  # relative rounding of single precision
+
 
 def to_matrix(column: pa.Array, dim: int | None = None) -> np.ndarray:
     """A list column as an (n, dim) float64 matrix; all rows must have one width."""
@@ -118,14 +120,70 @@ def slack(vectors: np.ndarray, refs: np.ndarray, metric: str) -> float:
     """
     if len(vectors) == 0 or len(refs) == 0:
         return 0.0
+    return _slack(np.sqrt(max(np.square(vectors).sum(axis=1).max(), np.square(refs).sum(axis=1).max())), metric)
+
+
+def _slack(length: float, metric: str) -> float:
     if metric == "cosine":
         return 1e-6
     if metric in ("euclidean", "sqeuclidean"):
-        length = np.sqrt(max(np.square(vectors).sum(axis=1).max(), np.square(refs).sum(axis=1).max()))
         return 2e-9 * (metric == "sqeuclidean") + 8e-9 * length + 1e-9 * length * length
     return 2e-9
 
 
+class Single:
+    """``screen`` in single precision for one set of references."""
+
+    def __init__(self, refs: np.ndarray, metric: str):
+        self.metric, self.n = metric, len(refs)
+        squares = np.square(refs).sum(axis=1)
+        self.usable = metric in ("euclidean", "sqeuclidean", "cityblock", "chebyshev") and len(refs) > 0
+        self.square = squares.max() if len(refs) else 0.0
+        if self.usable and self.square < 1e30:
+            columns = np.column_stack((-2.0 * refs, squares, np.ones(len(refs)))) if "euclidean" in metric else refs.T
+            self.refs = np.ascontiguousarray(columns, np.float32)
+
+    def __call__(self, vectors: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """The values and the width of their band, which covers the rounding of both sides of a comparison.
+
+        Nothing is returned for other metrics, for undefined numbers and for lengths whose squares single precision cannot hold.
+        """
+        if not self.usable or not len(vectors):
+            return None
+        dim, squares = vectors.shape[1], np.square(vectors).sum(axis=1)
+        length = np.sqrt(max(self.square, squares.max()))
+        if not 1e-12 < length < 1e15:
+            return None
+        if "euclidean" in self.metric:
+            other = np.column_stack((vectors, np.ones(len(vectors)), squares)).astype(np.float32)
+            return self.refs @ other.T, 8.8 * (dim + 8) * SINGLE * length**2 + _slack(length, self.metric)
+        other = np.ascontiguousarray(vectors.T, np.float32)
+        add = np.add if self.metric == "cityblock" else np.maximum
+        out = _by_component(self.refs, other, add) if self.n < len(vectors) else _by_component(other, self.refs, add).T
+        # No sum of absolute components is above sqrt(dim) times the length.
+        return out, 4.4 * (dim + 4) * SINGLE * np.sqrt(dim) * length + _slack(length, self.metric)
+
+
+def _by_component(a: np.ndarray, b: np.ndarray, add: np.ufunc) -> np.ndarray:
+    """Absolute differences of all columns of ``a`` and ``b`` added up over the rows, in tiles that stay in the cache."""
+    out = np.empty((a.shape[1], b.shape[1]), np.float32)
+    wide = max(1, min(TILE_CELLS // 8, b.shape[1]))
+    high = max(1, TILE_CELLS // wide)
+    held = np.empty((2, high * wide), np.float32)
+    for low in range(0, b.shape[1], wide):
+        for top in range(0, a.shape[1], high):
+            left, right = a[:, top : top + high], b[:, low : low + wide]
+            shape = left.shape[1], right.shape[1]
+            step, total = (h[: shape[0] * shape[1]].reshape(shape) for h in held)
+            total[:] = 0.0
+            for j in range(len(a)):
+                np.subtract(right[j], left[j][:, None], out=step)
+                np.abs(step, out=step)
+                add(total, step, out=total)
+            out[top : top + high, low : low + wide] = total
+    return out
+
+
 def step_rows(m: int, dim: int) -> int:
     """Rows that keep a (rows, m) and a (rows, dim) block below ``CELLS``."""
     return max(1, CELLS // max(m, dim, 1))
@@ -181,6 +239,9 @@ def within(
     ordered by ``tie``. ``bounds`` holds a distance per reference beyond which none counts,
     ``below`` one that all must stay under. What has been found is cut to ``k`` per reference
     whenever it has doubled, so memory is that of ``k`` per reference and one step.
+
+    Where single precision lets more than twice as many pass as can count, as among vectors that lie close
+    together far from zero, a step is screened again in double precision.
     """
     limits = np.array(bounds, float)
     held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -200,22 +261,31 @@ def within(
             full = counts == k
             limits[found[full]] = np.minimum(limits[found[full]], worst[full])
 
+    def candidates(part: np.ndarray, approx: np.ndarray, spare: float) -> np.ndarray:
+        most = screened_bound(limits, metric) + spare
+        if approx.dtype == np.float32:
+            keep = approx <= np.nextafter(most.astype(np.float32), np.float32(np.inf))[:, None]
+        else:
+            keep = (approx <= most[:, None]) & np.isfinite(approx)
+        if place is None and len(part) > k and np.count_nonzero(keep) > 2 * k * len(refs):
+            kth = np.partition(approx, k - 1, axis=1)[:, k - 1].astype(np.float64) + spare
+            keep &= approx <= np.nextafter(kth.astype(approx.dtype), approx.dtype.type(np.inf))[:, None]
+        return np.flatnonzero(keep)
+
+    single = Single(refs, metric)
     rows = step_rows(len(refs), vectors.shape[1])
     for start in range(0, len(vectors), rows):
         part = vectors[start : start + rows]
-        approx = screen(part, refs, metric, p)
-        spare = slack(part, refs, metric)
-        keep = (approx <= (screened_bound(limits, metric) + spare)[:, None]) & np.isfinite(approx)
-        if place is None and len(part) > k and np.count_nonzero(keep) > 2 * k * len(refs):
-            kth = np.partition(approx, k - 1, axis=1)[:, k - 1] + spare
-            keep &= approx <= kth[:, None]
-        ri, vi = np.nonzero(keep)
+        found = None if (approx := single(part)) is None else candidates(part, *approx)
+        if found is None or (place is None and len(found) > 2 * k * len(refs)):
+            found = candidates(part, screen(part, refs, metric, p), slack(part, refs, metric))
+        ri, vi = np.divmod(found, len(part))
         dist = _exact_pairs(part, vi, refs, ri, metric, p)
         if below is not None:
             ri, vi, dist = ri[dist < below], vi[dist < below], dist[dist < below]
         waiting.append((ri, vi + start, dist))
         size += len(ri)
-        if size >= max(CELLS, len(held[0])):
+        if size >= max(min(CELLS, k * len(refs)), len(held[0])):
             merge()
     merge()
     return held

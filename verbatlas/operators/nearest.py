@@ -9,12 +9,13 @@ blocks meet slices of the other side on the executors, one block in a task at a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +28,14 @@ from verbatlas.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, materia
 # A table with no more rows than this is fetched without numbering its rows first.
 HEAD_ROWS = 16_384
 
-# Corpus rows that meet a block of queries in one unit of work.
+# Corpus rows that meet a block of queries or centres in one unit of work.
 SLICE_ROWS = 50_000
 
+# Rows of either side of a unit that pairs queries with a corpus, at most: those of metrics that a matrix product
+# screens, and of the others, which cost several times as much a pair.
+UNIT_ROWS, DEAR_UNIT_ROWS = 32_768, 16_384
+LEAST_UNIT_ROWS = 4_096
+
 # Longest IN list pushed to the scan of a keyed corpus; with more keys it reads all.
 PRUNE_KEYS = 1000
 
@@ -40,6 +46,12 @@ def _block_rows(sample: pa.Table, vector: str, limit_bytes: int | None, results:
     return max(1, (limit_bytes or BROADCAST_LIMIT_BYTES) // (8 * (width + results)))
 
 
+def _unit_rows(spark: SparkSession, count: int, metric: str) -> int:
+    """Rows of either side of a unit for ``count`` queries: few enough that all cores get several units of like size."""
+    most = UNIT_ROWS if metric in ("euclidean", "sqeuclidean", "cosine") else DEAR_UNIT_ROWS
+    return min(most, max(LEAST_UNIT_ROWS, math.ceil(count / math.sqrt(4 * spark.sparkContext.defaultParallelism))))
+
+
 def _check_metric(metric: str) -> None:
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose one of {sorted(METRICS)}")
@@ -345,10 +357,12 @@ def nearest(
         """More queries than one block: blocks of queries meet slices of the corpus on the executors.
 
         The corpus goes to those blocks only that have its key, or to all of them without one. Each
-        pair is a block and a slice of bounded size, so no query passes through the driver.
+        pair is a block and a slice of bounded size, so no query passes through the driver and the pairs
+        of a task do not grow with the tables.
         """
-        rows = _block_rows(sample, query_vector, limit_bytes, k)
         numbered = global_ordinals(q, [*shared_cols, query_id], "_position")
+        side = _unit_rows(spark, numbered.count(), metric)
+        rows = min(side, _block_rows(sample, query_vector, limit_bytes, k))
         left = numbered.withColumn("_block", F.floor(F.col("_position") / F.lit(rows))).drop("_position")
         left = materialise(left, "queries")
         if shared_cols:
@@ -358,7 +372,7 @@ def nearest(
             last = left.agg(F.max("_block")).first()[0]
             right = c.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last))))
         right = right.select(*dict.fromkeys(columns), "_block")
-        right, left = deal(right, left, ["_block"], [item_id], SLICE_ROWS)
+        right, left = deal(right, left, ["_block"], [item_id], min(side, SLICE_ROWS))
 
         def unit(some: pa.Table, rows: pa.Table) -> pa.Table:
             matrix = blocks.to_matrix(some[query_vector]) if some.num_rows else np.zeros((0, 1))
