@@ -425,3 +425,16 @@ def test_nested_index_finds_its_texts(spark, segments, tmp_path):
     own = embed(segments, ENCODER).select(F.col("ordinal").alias("query_id"), "vector").limit(5)
     hits = search.search(own, index, 1, route_metric="euclidean").collect()
     assert len(hits) == 5 and all(h.distance < 1e-3 for h in hits)
+
+
+def test_a_delivery_is_not_copied_before_it_is_published(spark, tmp_path, monkeypatch):
+    from verbatlas.streaming import incremental
+
+    written, plain = [], incremental.materialise
+    monkeypatch.setattr(incremental, "materialise", lambda df, name: (written.append(name), plain(df, name))[1])
+    rows = spark.createDataFrame([(f"k{i % 40}", "text") for i in range(60)] + [(None, "x")], "script_id string, text string")
+    for part in range(2):
+        rows.filter(f"{part} = 1 or script_id < 'k3'").write.mode("append").parquet(f"{tmp_path}/in")
+        incremental.publish_available(spark, f"{tmp_path}/in", rows.schema, f"{tmp_path}/store", f"{tmp_path}/state")
+    got = [r.script_id for r in incremental.read_published(spark, f"{tmp_path}/store", rows.schema).collect() if r.script_id]
+    assert sorted(got) == sorted(f"k{i}" for i in range(40)) and written == []

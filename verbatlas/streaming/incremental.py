@@ -117,7 +117,8 @@ def publish_available(
         label = f"{name}-{number}"
         if label in batches(spark, path):
             return
-        arrived = materialise(batch, "arrived")
+        # The files of a batch are fixed, so it can be read twice; only what passed the stream's own state is kept.
+        arrived = batch if event_time is None else materialise(batch, "arrived")
         fresh = append_new(read_published(spark, path, schema), arrived, key)
         write_version(fresh.withColumn("delivery", F.lit(label)), path, "delivery", [key], batch=label)
 
