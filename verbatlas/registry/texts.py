@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from verbatlas.functions import text as X
@@ -17,6 +19,9 @@ from verbatlas.session import materialise, scratch_path, spread
 from verbatlas.sources import lines, pages, transcripts
 
 
+PAGES_PER_TASK = 500  # saved pages that one task writes
+
+
 def _md5(column: str):
     return F.md5(F.col(column).cast("binary"))
 
@@ -377,9 +382,13 @@ def _saved_pages(spark, folder):
     item = F.struct(F.struct(F.struct(video.alias("videoId")).alias("resourceId")).alias("snippet"))
     page = numbered.groupBy("page").agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("value"))
     page = materialise(page, "pages")
+    # The files are many and small: a number of tasks of its own keeps them from being merged into a few by their
+    # bytes, and the second commit algorithm moves the files of a task in that task, not all of them in the driver.
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(page.count() / PAGES_PER_TASK))
     for kind, value in (("whole", F.col("value")), ("cut", F.expr("left(value, length(value) - 3)"))):
-        files = page.select("page", value.alias("value")).repartition("page")
-        files.write.partitionBy("page").text(f"{root}/{kind}", compression="none")
+        files = page.select("page", value.alias("value")).repartition(tasks, "page")
+        writer = files.write.partitionBy("page").option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+        writer.text(f"{root}/{kind}", compression="none")
     return root
 
 
