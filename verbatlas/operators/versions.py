@@ -71,7 +71,10 @@ def write_version(
     number = max(versions(spark, path), default=-1) + 1
     ordered = df if in_order else df.repartitionByRange(part, *sort)
     ordered = ordered.sortWithinPartitions(part, *sort)
-    ordered.write.mode("overwrite").partitionBy(part).parquet(f"{path}/table_version={number}")
+    # Nothing counts before the small file below, so tasks may move their files to the folders themselves; by the
+    # first algorithm the driver would move those of all parts, one after the other.
+    writer = ordered.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    writer.partitionBy(part).parquet(f"{path}/table_version={number}")
     jvm, files, done = _files(spark, f"{path}/table_version={number}/{_DONE}")
     text = json.dumps({"gone": [str(g) for g in gone], "replace": replace, "batch": batch})
     stream = files.create(done, False)
