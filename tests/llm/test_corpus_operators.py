@@ -1,11 +1,13 @@
 """Operators on pairs and sources, and the pipeline."""
 
+import itertools
 import random
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from verbatlas.llm import chaining, components, mixing, ngram_join, pigeonhole, queries, suffixes
@@ -325,6 +327,20 @@ def test_passages_that_one_text_holds_twice(spark):
         assert {(r.id, r.partner) for r in got} == {(1, 2), (2, 1)}
 
 
+@pytest.mark.parametrize("copies", [1, 9, 34])
+def test_fuzzy_passages_that_no_reference_holds(spark, copies):
+    """Every two parts of the passage stand together in ``copies`` other texts, all of them references before the two that hold it all."""
+    rng = np.random.default_rng(14)
+    prose = lambda n: [f"w{x}" for x in rng.integers(0, 50000, n)]
+    parts = [prose(12) for _ in range(5)]
+    text = lambda held: [w for k in range(5) for w in (parts[k] if k in held else prose(12)) + prose(1)]
+    docs = [(n, prose(30) + text(held) + prose(30)) for n, held in enumerate(sorted([*itertools.combinations(range(5), 2)] * copies))]
+    last = [r.id for r in spark.range(1000, 1300).orderBy(F.xxhash64("id").desc()).limit(2).collect()]
+    docs += [(i, prose(50) + text(range(5)) + prose(40)) for i in last]
+    got = chaining.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")).collect()
+    assert sorted((r.id, r.partner, r.start, r.end) for r in got) == sorted((i, j, 50, 114) for i, j in (last, last[::-1]))
+
+
 def test_chains_pay_for_gaps():
     s = chaining.Settings()
     here = np.array([0, 10, 20, 30, 300, 310])
