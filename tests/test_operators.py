@@ -496,6 +496,16 @@ def test_append_is_idempotent(spark):
     assert [r[0] for r in maintain.append_new(stored, arriving).collect()] == ["c"]
 
 
+@pytest.mark.parametrize("limit", [maintain.BLOCK_ROWS, 64])
+def test_append_deals_rows_to_tasks_by_their_number(spark, monkeypatch, limit):
+    monkeypatch.setattr(maintain, "TASK_ROWS", 500, raising=False)
+    monkeypatch.setattr(maintain, "BROADCAST_LIMIT_BYTES", limit * 64, raising=False)
+    arriving = spark.range(20_000).select(F.col("id").alias("script_id"), F.lit("x").alias("text"))
+    got = maintain.append_new(spark.range(0, 20_000, 2).toDF("script_id"), arriving.unionByName(arriving))
+    sizes = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.min(F.col("script_id") % 2).alias("odd")).collect()
+    assert sum(r.n for r in sizes) == 10_000 and max(r.n for r in sizes) <= 250 and all(r.odd for r in sizes)
+
+
 def test_block_upsert_leaves_other_blocks_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     base = spark.range(100).select(F.col("id").alias("ordinal"), F.col("id").alias("script_id"), F.lit(0).alias("x"))

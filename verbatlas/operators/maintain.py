@@ -7,6 +7,7 @@ from the moment it is finished (see `versions`); a job or driver that dies on th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +17,11 @@ from pyspark.sql.window import Window
 
 from verbatlas.operators.encode import Encoder, embed
 from verbatlas.operators.versions import read_latest, write_version
-from verbatlas.session import broadcast_if_small, materialise
+from verbatlas.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, materialise
 from verbatlas.sources.tables import pick
 
 BLOCK_ROWS = 1 << 20
+TASK_ROWS = 1 << 18
 
 
 def with_block(df: DataFrame, block_rows: int = BLOCK_ROWS, ordinal: str = "ordinal") -> DataFrame:
@@ -44,13 +46,22 @@ def overwrite_blocks(
     write_version(laid_out, path, "ord_block", [ordinal], gone=gone, batch=batch)
 
 
+def _by_key(rows: DataFrame, key: str) -> DataFrame:
+    """Dealt by key to so many tasks that none sorts more rows when there are more of them."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(width, math.ceil(rows.count() / TASK_ROWS)), key)
+
+
 def append_new(existing: DataFrame, arriving: DataFrame, key: str = "script_id") -> DataFrame:
     """The arriving rows whose key is not stored yet, each key once.
 
     The arriving keys are looked up in the store, so a short delivery does not make
     the keys of the whole store move. Of rows with one key the same one wins on every run.
     """
-    known = pick(existing.select(key), arriving, key)
+    arriving, stored = _by_key(arriving, key), existing.select(key)
+    if arriving.count() * 64 > BROADCAST_LIMIT_BYTES:
+        stored = _by_key(stored, key)
+    known = pick(stored, arriving, key)
     return _one_per_key(arriving.join(known, key, "left_anti"), key, [])
 
 
