@@ -341,17 +341,21 @@ def test_fuzzy_passages_that_no_reference_holds(spark, copies):
     assert sorted((r.id, r.partner, r.start, r.end) for r in got) == sorted((i, j, 50, 114) for i, j in (last, last[::-1]))
 
 
-def test_passages_of_references_are_not_paired_again(spark):
-    """Texts with one passage also share a line too short to be one; by the line they met, and gave a row for every pair."""
+def test_pairs_are_joined_in_slices(spark, monkeypatch):
+    """Texts of one passage meet by a line too short to be one; slices give the rows of one join, and shuffle files go with their job."""
     rng = np.random.default_rng(15)
     prose = lambda n: [f"w{x}" for x in rng.integers(0, 50000, n)]
     passage, line = prose(80), prose(26)
-    docs = [(i, prose(20) + passage + prose(30) + line + prose(20)) for i in range(12)]
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = [(i, prose(20) + passage + prose(30) + line + prose(20 * i)) for i in range(12)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    key, made = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
     before = spark.conf.get(key, None)
-    got = chaining.passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")).collect()
-    assert {r.id for r in got} == set(range(12)) and all(r.start <= 20 and r.end >= 100 for r in got)
-    assert len(got) <= 4 * 12 and spark.conf.get(key, None) == before
+    monkeypatch.setattr(chaining, "_anchors", lambda p, h, s, real=chaining._anchors: [made.append(spark.conf.get(key)) or a for a in real(p, h, s)])
+    whole = chaining.passages(df).collect()
+    assert made == ["true"] and spark.conf.get(key, None) == before
+    assert {(r.id, r.partner) for r in whole} == {(i, j) for i in range(12) for j in range(12) if i != j}
+    sliced = chaining.passages(df, settings=chaining.Settings(beside=1)).collect()
+    assert len(made) > 3 and Counter(whole) == Counter(sliced)
 
 
 def test_chains_pay_for_gaps():
