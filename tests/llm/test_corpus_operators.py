@@ -173,6 +173,36 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, chunk):
     assert got == near_brute(rows)
 
 
+def test_vectors_are_not_sent_again_for_each_unit(spark, monkeypatch):
+    """Many small chunks, a block at a time: nothing is shuffled for the units, and the pairs are those of brute force."""
+    for name, value in (("CHUNK", 16), ("PACK", 1), ("TILE", 8), ("PASS_BYTES", 1), ("EDGES", 20)):
+        monkeypatch.setattr(pigeonhole, name, value, raising=False)
+    plans, real = [], pigeonhole.materialise
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(pigeonhole, "materialise", spy)
+    rng = np.random.default_rng(11)
+    points = np.concatenate([c + rng.normal(size=(40, 20)) * 0.15 for c in rng.normal(size=(6, 20))])
+    points = np.concatenate((points, points[:9], -points[:3])).astype(np.float32)
+    rows = [(int(k) * 5, p.tolist()) for k, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r.id: (r.n_links, r.component_id) for r in pigeonhole.near(df).collect()}
+    assert got == near_brute(rows)
+    units = [p for name, p in plans if name == "links"]
+    assert len(units) == 3 and not any("Exchange" in p for p in units)
+
+
+def test_forest_spans_what_the_edges_join():
+    rng = np.random.default_rng(3)
+    i, j = rng.integers(0, 6000, (2, 5000))
+    parent, kept = pigeonhole._hung(np.arange(6000), i, j)
+    whole, part = (brute.components(range(6000), list(zip(i[n].tolist(), j[n].tolist()))) for n in (slice(None), kept))
+    assert whole == part and len(kept) == 6000 - len(set(whole.values()))
+
+
 def test_rotation_is_orthogonal():
     for width in (1, 3, 64):
         q = pigeonhole.rotation(width)
