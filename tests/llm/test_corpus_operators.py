@@ -1,6 +1,7 @@
 """Operators on pairs and sources, and the pipeline."""
 
 import itertools
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from verbatlas import session
 from verbatlas.llm import chaining, components, mixing, ngram_join, pigeonhole, queries, suffixes
 
 
@@ -388,6 +390,25 @@ def test_pairs_are_joined_in_slices(spark, monkeypatch):
     assert len(made) > 3 and Counter(whole) == Counter(sliced)
 
 
+def test_tables_of_steps_go_with_them(spark, monkeypatch):
+    """The strings around open seeds are written for some seeds at a time, with the rows of one table, and no step leaves its tables."""
+    rng = np.random.default_rng(16)
+    prose = lambda n: [f"w{x}" for x in rng.integers(0, 50000, n)]
+    passage, line, frame = prose(80), prose(26), prose(12)
+    docs = [(i, prose(20) + passage + prose(30) + line + prose(25) + frame + prose(20 * i)) for i in range(12)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    root, names = session.scratch_root(spark), []
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    monkeypatch.setattr(chaining, "materialised", lambda df, name, real=session.materialised: names.append(name) or real(df, name))
+    whole = chaining.passages(df, settings=chaining.Settings(group=2, around=1000))
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before}
+    assert names.count("edges") == 1 and not left & {"seeds", "chains", "stretches", "windows", "sizes", "hot", "edges", "edge_sizes", "hot_edges", "frames", "contents"}
+    whole = whole.collect()
+    assert {r.id for r in whole} == set(range(12))
+    sliced = chaining.passages(df, settings=chaining.Settings(group=2, around=1)).collect()
+    assert names.count("edges") > 3 and Counter(whole) == Counter(sliced)
+
+
 def test_chains_pay_for_gaps():
     s = chaining.Settings()
     here = np.array([0, 10, 20, 30, 300, 310])
